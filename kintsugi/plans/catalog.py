@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from kintsugi.plans import registry
-from kintsugi.plans import repair_queries  # noqa: F401  (registers queries)
+from kintsugi.plans import join_profile_queries, repair_queries  # noqa: F401  (register)
 
 
 def queries():
