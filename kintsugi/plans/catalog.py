@@ -12,3 +12,4 @@ def queries():
 
 def oracle_sql():
     return dict(registry.ORACLE)
+from kintsugi.plans import quality_queries  # noqa: F401,E402
