@@ -13,3 +13,5 @@ def queries():
 def oracle_sql():
     return dict(registry.ORACLE)
 from kintsugi.plans import quality_queries  # noqa: F401,E402
+from kintsugi.plans import score_log_queries  # noqa: F401,E402
+from kintsugi.plans import flagship  # noqa: F401,E402
