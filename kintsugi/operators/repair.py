@@ -135,12 +135,9 @@ def fill_nulls(df: DataFrame, column: str, value=None, strategy: str | None = No
 
     if strategy == "mean":
         if partition_by:
-            stats = df.groupBy(*partition_by).agg(
+            stats = df.groupBy(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(partition_by)]).agg(
                 F.avg(nullify_nan(column, dt).cast("double")).alias("__fill"))
-            joined = df.join(stats, on=[df[g].eqNullSafe(stats[g]) for g in partition_by],
-                             how="left")
-            expr = F.when(miss, F.col("__fill")).otherwise(df[column].cast(out_t))
-            return joined.select(*[expr.alias(x) if x == column else df[x] for x in df.columns])
+            return _join_group_fill(df, stats, column, partition_by, miss, c.cast(out_t))
         fill = df.select(F.avg(nullify_nan(column, dt).cast("double"))).scalar()
         return _replace(df, column, F.when(miss, fill).otherwise(c.cast(out_t)))
 
@@ -154,13 +151,11 @@ def fill_nulls(df: DataFrame, column: str, value=None, strategy: str | None = No
 
     if strategy == "mode":
         if partition_by:
-            counts = df.filter(~miss).groupBy(*partition_by, column).count()
-            modes = counts.groupBy(*partition_by).agg(
-                F.min_by(F.col(column), F.struct(-F.col("count"), F.col(column))).alias("__fill"))
-            joined = df.join(modes, on=[df[g].eqNullSafe(modes[g]) for g in partition_by],
-                             how="left")
-            expr = F.when(miss, F.col("__fill")).otherwise(df[column])
-            return joined.select(*[expr.alias(x) if x == column else df[x] for x in df.columns])
+            gk = [F.col(g).alias(f"__g{i}") for i, g in enumerate(partition_by)]
+            counts = df.filter(~miss).groupBy(*gk, F.col(column).alias("__v")).count()
+            modes = counts.groupBy(*[f"__g{i}" for i in range(len(partition_by))]).agg(
+                F.min_by(F.col("__v"), F.struct(-F.col("count"), F.col("__v"))).alias("__fill"))
+            return _join_group_fill(df, modes, column, partition_by, miss, c)
         fill = mode_value(df, column)
         guarded = F.coalesce(fill, F.raise_error(
             F.lit(f"mode of {column!r} is undefined: no value present")).cast(dt))
@@ -185,6 +180,20 @@ def fill_nulls(df: DataFrame, column: str, value=None, strategy: str | None = No
     return _replace(df, column, F.when(miss, F.lit(value).cast(dt)).otherwise(c))
 
 
+def _join_group_fill(df: DataFrame, stats: DataFrame, column: str, partition_by: list[str],
+                     miss: Column, keep: Column) -> DataFrame:
+    """Attach per-group fill values (one row per group) and fill.  Skewed
+    groups are split by AQE's skew-join handling; a small stats side is
+    broadcast by AQE from its measured size."""
+    cond = None
+    for i, g in enumerate(partition_by):
+        e = F.col(g).eqNullSafe(F.col(f"__g{i}"))
+        cond = e if cond is None else cond & e
+    joined = df.join(stats, on=cond, how="left")
+    expr = F.when(miss, F.col("__fill")).otherwise(keep)
+    return joined.select(*[expr.alias(x) if x == column else F.col(x) for x in df.columns])
+
+
 # ---------------------------------------------------------------- dedup ----
 
 def drop_duplicates(df: DataFrame, subset: list[str] | None = None,

@@ -15,3 +15,4 @@ def oracle_sql():
 from kintsugi.plans import quality_queries  # noqa: F401,E402
 from kintsugi.plans import score_log_queries  # noqa: F401,E402
 from kintsugi.plans import flagship  # noqa: F401,E402
+from kintsugi.plans import stream_queries  # noqa: F401,E402
