@@ -152,51 +152,39 @@ def schema_score(tables: dict[str, DataFrame], contract: Contract) -> float:
 
 
 def contract_scores(tables: dict[str, DataFrame], contract: Contract) -> DataFrame:
-    """One row: schema_score, validity_score, row_integrity."""
-    facts = [table_facts(df, name, contract) for name, df in tables.items()
-             if name in contract.schema]
-    # validity: per live contract table, null-free contract columns + no duplicates
-    val_rows = [f.select(
-        (F.aggregate(F.col("nulls"), F.lit(0), lambda acc, x: acc + F.when(x["n"] == 0, 1)
-                     .otherwise(0)) + F.when(F.col("duplicates") == 0, 1).otherwise(0))
-        .alias("passed"), (F.size("nulls") + 1).alias("total")) for f in facts]
-    # row integrity: one score per table with an expected count
-    ri = []
-    for name, exp in contract.expected_rows.items():
-        if name not in tables:
-            continue
+    """One row: schema_score, validity_score, row_integrity.
+
+    The per-table facts (one fused aggregate + one duplicate count per
+    table) are computed once, unioned, and both data scores come from one
+    final aggregate over that small union.
+    """
+    live = [n for n in tables if n in contract.schema or n in contract.expected_rows]
+    if not live:
+        raise ValueError("no live table is named by the contract")
+    facts = None
+    for name in live:
+        f = table_facts(tables[name], name, contract)
+        in_schema = name in contract.schema
+        has_exp = name in contract.expected_rows
+        exp = _lit(contract.expected_rows.get(name, 0)).cast("double")
+        init = _lit(contract.initial_rows.get(name, contract.expected_rows.get(name, 0))).cast("double")
         rows = F.col("rows").cast("double")
-        exp_c = _lit(exp).cast("double")
-        init = _lit(contract.initial_rows.get(name, exp)).cast("double")
-        score = (F.when((init > 0) & (rows < init * OVERCLEAN_SHARE),
-                        F.greatest(F.lit(0.0), F.lit(0.5) - (1 - rows / init)))
-                  .when(exp_c == 0, F.when(rows == 0, 1.0).otherwise(0.5))
-                  .otherwise(F.greatest(F.lit(0.0), 1 - F.abs(rows / exp_c - 1))))
-        ri.append(tables[name].agg(F.count(F.lit(1)).alias("rows")).select(score.alias("s")))
-    n_missing_expected = sum(1 for name in contract.expected_rows if name not in tables)
-
-    anchor = next(iter(tables.values())).agg(F.count(F.lit(1)).alias("__n"))
-    if val_rows:
-        v = val_rows[0]
-        for f in val_rows[1:]:
-            v = v.unionByName(f)
-        validity = v.agg((F.sum("passed") / F.sum("total")).alias("x")).select("x").scalar()
-    else:
-        validity = F.lit(0.0 if not tables else 1.0)
-    if ri or n_missing_expected:
-        if ri:
-            r = ri[0]
-            for f in ri[1:]:
-                r = r.unionByName(f)
-            row_int = r.agg(F.sum("s").alias("x")).select("x").scalar()
-            row_int = row_int / F.lit(len(ri) + n_missing_expected)
-        else:
-            row_int = F.lit(0.0)
-    else:
-        row_int = F.lit(1.0)
-    return anchor.select(F.lit(schema_score(tables, contract)).alias("schema_score"),
-                         validity.cast("double").alias("validity_score"),
-                         row_int.cast("double").alias("row_integrity"))
+        rscore = (F.when((init > 0) & (rows < init * OVERCLEAN_SHARE),
+                         F.greatest(F.lit(0.0), F.lit(0.5) - (1 - rows / init)))
+                   .when(exp == 0, F.when(rows == 0, 1.0).otherwise(0.5))
+                   .otherwise(F.greatest(F.lit(0.0), 1 - F.abs(rows / exp - 1))))
+        passed = F.aggregate(F.col("nulls"), F.lit(0), lambda acc, x: acc + F.when(x["n"] == 0, 1)
+                             .otherwise(0)) + F.when(F.col("duplicates") == 0, 1).otherwise(0)
+        f = f.select(F.when(F.lit(in_schema), passed).otherwise(0).alias("passed"),
+                     F.when(F.lit(in_schema), F.size("nulls") + 1).otherwise(0).alias("total"),
+                     F.when(F.lit(has_exp), rscore).alias("row_score"))
+        facts = f if facts is None else facts.unionByName(f)
+    n_expected = len(contract.expected_rows)
+    validity = F.when(F.sum("total") > 0, F.sum("passed") / F.sum("total")).otherwise(F.lit(1.0))
+    row_int = (F.coalesce(F.sum("row_score"), F.lit(0.0)) / n_expected) if n_expected else F.lit(1.0)
+    return facts.agg(F.lit(schema_score(tables, contract)).alias("schema_score"),
+                     validity.cast("double").alias("validity_score"),
+                     row_int.cast("double").alias("row_integrity"))
 
 
 def schema_mismatches_exact(tables: dict[str, DataFrame], contract: Contract) -> list[tuple]:

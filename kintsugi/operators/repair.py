@@ -40,12 +40,25 @@ def cast_column(df: DataFrame, column: str, target: str, *, on_error: str = "nul
     ``"null"`` leaves such values NULL."""
     _require(df, column)
     dt = field_type(df, column)
+    src, pre = _prestrip(df, column, target)
     expr, strict = cast_expr(column, dt, target, null_text=null_text, truthy=truthy,
-                             formats=formats)
+                             formats=formats, stripped_col=pre)
     if strict and on_error == "fail":
         msg = f"cannot cast {column!r} to {target}: missing, non-numeric or fractional value"
         expr = F.when(expr.isNull(), F.raise_error(F.lit(msg))).otherwise(expr)
-    return _replace(df, column, expr)
+    return _replace(src, column, expr).select(*df.columns)
+
+
+_STRIP_TMP = "__stripped"
+
+
+def _prestrip(df: DataFrame, column: str, target: str) -> tuple[DataFrame, str | None]:
+    """Text parsed into numbers or times is stripped first; the stripped
+    value is projected once so the parse expressions reuse it."""
+    from kintsugi.functions.types import resolve_alias
+    if family(field_type(df, column)) != "text" or resolve_alias(target) in ("object", "bool"):
+        return df, None
+    return df.withColumn(_STRIP_TMP, strip(column)), _STRIP_TMP
 
 
 def cast_report(df: DataFrame, column: str, target: str, **kw) -> DataFrame:
@@ -54,10 +67,11 @@ def cast_report(df: DataFrame, column: str, target: str, **kw) -> DataFrame:
     would succeed."""
     _require(df, column)
     dt = field_type(df, column)
-    expr, strict = cast_expr(column, dt, target, **kw)
+    src, pre = _prestrip(df, column, target)
+    expr, strict = cast_expr(column, dt, target, stripped_col=pre, **kw)
     present = ~is_missing(column, dt)
     lost = present & expr.isNull()
-    rep = df.agg(F.count(F.lit(1)).alias("rows"),
+    rep = src.agg(F.count(F.lit(1)).alias("rows"),
                  F.count_if(~present).alias("missing_before"),
                  F.count_if(lost).alias("failed"))
     if strict:

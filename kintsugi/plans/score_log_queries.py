@@ -432,8 +432,8 @@ SELECT session_id, step AS steps, cum_invalid AS invalid_actions, cum_cost AS co
 FROM s, cs""")
 def scorecard(t):
     live, c = scenario(t)
-    scores = contract.contract_scores(live, c)
-    sc = {k: F.round(scores.select(k).scalar(), 6) for k in ("schema_score", "validity_score", "row_integrity")}
+    scores = contract.contract_scores(live, c).select(F.struct("*").alias("s")).scalar()
+    sc = {k: F.round(scores[k], 6) for k in ("schema_score", "validity_score", "row_integrity")}
     per = actionlog.summary(_annotated(t)).select(
         "session_id", F.col("steps"), F.col("invalid_actions"), F.col("cost_used"))
     sp = actionlog.step_penalty(F.col("steps"), MAX_STEPS)
