@@ -96,9 +96,9 @@ def compare_keyed(live: DataFrame, trusted: DataFrame, key: str,
     live_stats = live.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(
         F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys"),
         F.count_if(F.col("n") > 1).alias("dup_keys"))
-    live_rows = live_stats.select(F.coalesce(F.col("rows"), F.lit(0))).scalar()
-    live_keys = live_stats.select("keys").scalar()
-    dup_keys = live_stats.select("dup_keys").scalar()
+    ls = live_stats.select(F.struct(F.coalesce(F.col("rows"), F.lit(0)).alias("rows"), "keys",
+                                    "dup_keys").alias("s")).scalar()
+    live_rows, live_keys, dup_keys = ls["rows"], ls["keys"], ls["dup_keys"]
     agg = joined.agg(F.count(F.lit(1)).alias("trusted_rows"),
                      F.sum(cells).alias("matched_cells"),
                      F.count_if(~present).alias("missing_keys"),

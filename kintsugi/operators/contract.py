@@ -46,8 +46,8 @@ def table_facts(df: DataFrame, name: str, contract: Contract) -> DataFrame:
     exists, its missing count (array ``nulls`` of (column_name, n))."""
     expected = contract.schema.get(name, {})
     present = [c for c in expected if c in df.columns]
-    dup = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n")) \
-        .agg(F.sum(F.col("n") - 1).alias("d")).select("d").scalar()
+    from kintsugi.operators.repair import dedup_report
+    dup = dedup_report(df).select("dropped").scalar()
     aggs = [F.count(F.lit(1)).alias("rows")] + [
         F.count_if(is_missing(c, df.schema[c].dataType)).alias(f"__n{i}")
         for i, c in enumerate(present)]

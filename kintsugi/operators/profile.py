@@ -34,8 +34,8 @@ def table_profile(df: DataFrame, table: str) -> DataFrame:
     """One row per column: table, column, dtype, rows, nulls, plus the
     table-level ``n_columns`` and ``duplicates`` (rows minus distinct rows)."""
     stats = df.agg(F.count(F.lit(1)).alias("__rows"), *_missing_aggs(df))
-    dup = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n")) \
-        .agg(F.sum(F.col("n") - 1).alias("d")).select("d").scalar()
+    from kintsugi.operators.repair import dedup_report
+    dup = dedup_report(df).select("dropped").scalar()
     per_col = F.array(*[F.struct(F.lit(c).alias("column_name"),
                                  F.lit(dtype_name(df.schema[c].dataType)).alias("dtype"),
                                  F.col(f"__n_{i}").alias("nulls"))

@@ -233,14 +233,39 @@ def drop_duplicates(df: DataFrame, subset: list[str] | None = None,
                            for c in df.columns])
 
 
+def _row_hash(df: DataFrame, cols: list[str]) -> Column:
+    """64-bit hash of the row; -0.0 is folded into 0.0 (grouping treats
+    them as equal) and NaN hashes canonically."""
+    parts = []
+    for c in cols:
+        dt = field_type(df, c)
+        col = F.col(c)
+        if is_float(dt):
+            col = F.when(col == 0, F.lit(0.0).cast(dt)).otherwise(col)
+        parts.append(col)
+    return F.xxhash64(*parts)
+
+
 def dedup_report(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
-    """One row: rows before, rows after, rows dropped (NULLs equal)."""
+    """One row: rows before, rows after, rows dropped (NULLs equal).
+
+    Exact, in two phases so whole rows are shuffled only when they might be
+    duplicates: (1) group 8-byte row hashes (pre-aggregated map-side);
+    (2) only rows whose hash occurs more than once are grouped on the real
+    columns.  The candidate-hash side of the semi join is broadcast by AQE
+    when its measured size is small, which is the usual case.
+    """
     keys = subset or df.columns
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(F.sum("n").cast("long").alias("rows_before"),
-                       F.count(F.lit(1)).alias("rows_after")) \
-        .select(F.coalesce("rows_before", F.lit(0)).alias("rows_before"), "rows_after",
-                (F.coalesce("rows_before", F.lit(0)) - F.col("rows_after")).alias("dropped"))
+    hashed = df.select(_row_hash(df, keys).alias("__h"), *keys)
+    per_hash = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("n"))
+    rows = per_hash.agg(F.sum("n").alias("r")).select(F.coalesce(F.col("r"), F.lit(0))).scalar()
+    cand = per_hash.filter(F.col("n") > 1).select("__h")
+    exact = hashed.join(cand, on="__h", how="left_semi").groupBy(*keys) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    dropped = exact.agg(F.sum(F.col("n") - 1).alias("d")).select(F.coalesce(F.col("d"), F.lit(0)))
+    return dropped.select(rows.cast("long").alias("rows_before"),
+                          (rows - F.col(dropped.columns[0])).cast("long").alias("rows_after"),
+                          F.col(dropped.columns[0]).cast("long").alias("dropped"))
 
 
 def duplicate_count(df: DataFrame, subset: list[str] | None = None) -> Column:

@@ -95,3 +95,11 @@ def test_filter_semantics(spark):
         ks("like", "s", "a")
     rep = repair.filter_report(df, "v", "notnull").first()
     assert (rep.rows_before, rep.rows_after, rep.dropped) == (4, 2, 2)
+
+
+def test_duplicate_count_float_edge_cases(spark):
+    df = spark.createDataFrame([(0.0, "a"), (-0.0, "a"), (float("nan"), "b"), (float("nan"), "b"),
+                                (None, None), (None, None), (1.0, None)], "v double, s string")
+    rep = repair.dedup_report(df).first()
+    assert (rep.rows_before, rep.dropped) == (7, df.count() - df.dropDuplicates().count())
+    assert rep.dropped == 3
