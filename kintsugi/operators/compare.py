@@ -181,3 +181,24 @@ def mismatch_ratio(live: DataFrame, trusted: DataFrame, live_order: list[str],
     return joined.agg(F.count(F.lit(1)).alias("r"), F.sum(diffs).alias("d")).select(
         F.when(F.col("r") > 0, F.round(F.col("d") / (F.col("r") * n), 6))
         .otherwise(F.lit(0.0)).alias("mismatch_ratio"))
+
+
+def mean_value_match(live: dict[str, DataFrame], trusted: dict[str, DataFrame],
+                     keys: dict[str, str]) -> DataFrame:
+    """Mean keyed score over the trusted tables; a trusted table with no
+    live counterpart scores 0.  One row ``value_match`` (NULL when no
+    trusted table is configured)."""
+    if not trusted:
+        raise ValueError("no trusted table configured")
+    frames = []
+    for name, t in trusted.items():
+        if name in live:
+            frames.append(compare_keyed(live[name], t, keys[name]).select(
+                F.lit(name).alias("table_name"), F.col("score")))
+        else:
+            frames.append(t.agg(F.count(F.lit(1)).alias("__n")).select(
+                F.lit(name).alias("table_name"), F.lit(0.0).alias("score")))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out.agg(F.avg("score").alias("value_match"))

@@ -37,3 +37,19 @@ def last_n_per_group(df: DataFrame, group: list[str], order_by: list[str], n: in
     desc: list[Column] = [F.col(o).desc_nulls_last() for o in order_by]
     ranked = segmented_scan(df, desc, [ScanSpec(name, "count")], partition_by=group)
     return ranked.filter(F.col(name) <= n)
+
+
+def shuffle_rows(df: DataFrame, key: list[str], seed: int = 42) -> DataFrame:
+    """Deterministic permutation: order by a seeded hash of ``key`` (a
+    distributed range sort, reproducible across runs and retries)."""
+    return df.orderBy(F.xxhash64(F.lit(seed), *[F.col(k) for k in key]), *key)
+
+
+def sample_rows(df: DataFrame, fraction: float, seed: int = 42,
+                key: list[str] | None = None) -> DataFrame:
+    """Seeded sample.  With ``key`` the choice is a hash threshold, so the
+    same rows are chosen whatever the partitioning (and on recomputation)."""
+    if key:
+        h = F.abs(F.xxhash64(F.lit(seed), *[F.col(k) for k in key]) % 1000000) / 1000000.0
+        return df.filter(h < fraction)
+    return df.sample(fraction=fraction, seed=seed)

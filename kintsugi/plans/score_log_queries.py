@@ -8,7 +8,7 @@ from kintsugi.functions.nulls import is_missing
 from kintsugi.functions.text import is_padded, strip
 from kintsugi.functions.types import dtype_matches, dtype_name
 from kintsugi.operators import actionlog, compare, contract, joins, repair, setops
-from kintsugi.operators.score import (Check, Rubric, final_blend, flag, row_credit,
+from kintsugi.operators.score import (Check, Rubric, final_blend, flag, row_credit, success,
                                       weighted_total)
 from kintsugi.plans.quality_queries import (CONTRACT_SCORES_SQL, REPAIRED_ORDERS_SQL, keyed_sql,
                                             num_match, scenario, text_match)
@@ -421,7 +421,7 @@ def log_required_params(t):
     return actionlog.required_params_missing(fx.action_log(t))
 
 
-@query("scorecard", f"""WITH {_ANNOTATED_SQL},
+@query("scorecard", "SELECT *, coalesce(total >= 0.1, false) AS success FROM (" + f"""WITH {_ANNOTATED_SQL},
 cs AS ({CONTRACT_SCORES_SQL}),
 s AS (SELECT session_id, max(step) AS step, max(cum_invalid) AS cum_invalid, max(cum_cost) AS cum_cost
       FROM al WHERE active GROUP BY session_id)
@@ -429,7 +429,7 @@ SELECT session_id, step AS steps, cum_invalid AS invalid_actions, cum_cost AS co
        {_STEP_PEN_SQL} AS step_pen, round({_INV_PEN_SQL}, 6) AS inv_pen, round({_COST_PEN_SQL}, 6) AS cost_pen,
        round(greatest(0.0, least(1.0, 0.30 * cs.schema_score + 0.30 * cs.validity_score + 0.30 * cs.row_integrity
              - 0.05 * ({_STEP_PEN_SQL}) - 0.05 * {_INV_PEN_SQL} - ({_COST_PEN_SQL}))), 4) AS total
-FROM s, cs""")
+FROM s, cs""" + ")")
 def scorecard(t):
     live, c = scenario(t)
     scores = contract.contract_scores(live, c).select(F.struct("*").alias("s")).scalar()
@@ -442,7 +442,7 @@ def scorecard(t):
     total = weighted_total(sc["schema_score"], sc["validity_score"], sc["row_integrity"], sp, ip, cp)
     return per.select("session_id", "steps", "invalid_actions", "cost_used", sp.alias("step_pen"),
                       F.round(ip, 6).alias("inv_pen"), F.round(cp, 6).alias("cost_pen"),
-                      F.round(total, 4).alias("total"))
+                      F.round(total, 4).alias("total"), success(F.round(total, 4)).alias("success"))
 
 
 # -------------------------------------------------------------- text logs ----
