@@ -43,20 +43,17 @@ def _lit(v) -> Column:
 
 def table_facts(df: DataFrame, name: str, contract: Contract) -> DataFrame:
     """One row: table_name, rows, duplicates, and per contract column that
-    exists, its missing count (array ``nulls`` of (column_name, n))."""
+    exists, its missing count (array ``nulls`` of (column_name, n)); one
+    fused pass (``repair.row_facts``)."""
+    from kintsugi.operators.repair import row_facts
     expected = contract.schema.get(name, {})
     present = [c for c in expected if c in df.columns]
-    from kintsugi.operators.repair import dedup_report
-    dup = dedup_report(df).select("dropped").scalar()
-    aggs = [F.count(F.lit(1)).alias("rows")] + [
-        F.count_if(is_missing(c, df.schema[c].dataType)).alias(f"__n{i}")
-        for i, c in enumerate(present)]
+    facts = row_facts(df, null_columns=present)
     nulls = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"__n{i}").alias("n"))
                       for i, c in enumerate(present)]) if present else \
         F.array().cast("array<struct<column_name:string,n:bigint>>")
-    return df.agg(*aggs).select(
-        F.lit(name).alias("table_name"), "rows",
-        F.coalesce(dup, F.lit(0)).cast("long").alias("duplicates"), nulls.alias("nulls"))
+    return facts.select(F.lit(name).alias("table_name"), "rows", "duplicates",
+                        nulls.alias("nulls"))
 
 
 def _issue(table, column, check, expected, actual, n, message, include) -> Column:

@@ -30,24 +30,28 @@ def null_counts(df: DataFrame, only_missing: bool = True) -> DataFrame:
     return out.filter(F.col("nulls") > 0) if only_missing else out
 
 
-def table_profile(df: DataFrame, table: str) -> DataFrame:
+def table_profile(df: DataFrame, table: str, materialize: bool = False) -> DataFrame:
     """One row per column: table, column, dtype, rows, nulls, plus the
-    table-level ``n_columns`` and ``duplicates`` (rows minus distinct rows)."""
-    stats = df.agg(F.count(F.lit(1)).alias("__rows"), *_missing_aggs(df))
-    from kintsugi.operators.repair import dedup_report
-    dup = dedup_report(df).select("dropped").scalar()
+    table-level ``n_columns`` and ``duplicates`` (rows minus distinct rows).
+
+    Row count, missing counts and the duplicate count come from one fused
+    pass over the input (``repair.row_facts``)."""
+    from kintsugi.operators.repair import row_facts
+    if materialize:
+        from kintsugi.session import materialize as _mat
+        df = _mat(df)
+    facts = row_facts(df, null_columns=df.columns)
     per_col = F.array(*[F.struct(F.lit(c).alias("column_name"),
                                  F.lit(dtype_name(df.schema[c].dataType)).alias("dtype"),
-                                 F.col(f"__n_{i}").alias("nulls"))
+                                 F.col(f"__n{i}").alias("nulls"))
                         for i, c in enumerate(df.columns)])
-    return stats.select(F.lit(table).alias("table_name"), F.col("__rows").alias("rows"),
-                        F.lit(len(df.columns)).alias("n_columns"),
-                        F.coalesce(dup, F.lit(0)).cast("long").alias("duplicates"),
+    return facts.select(F.lit(table).alias("table_name"), "rows",
+                        F.lit(len(df.columns)).alias("n_columns"), "duplicates",
                         F.inline(per_col))
 
 
-def profile_tables(tables: dict[str, DataFrame]) -> DataFrame:
-    frames = [table_profile(df, name) for name, df in tables.items()]
+def profile_tables(tables: dict[str, DataFrame], materialize: bool = False) -> DataFrame:
+    frames = [table_profile(df, name, materialize) for name, df in tables.items()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

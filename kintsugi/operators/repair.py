@@ -246,26 +246,43 @@ def _row_hash(df: DataFrame, cols: list[str]) -> Column:
     return F.xxhash64(*parts)
 
 
-def dedup_report(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
-    """One row: rows before, rows after, rows dropped (NULLs equal).
-
-    Exact, in two phases so whole rows are shuffled only when they might be
-    duplicates: (1) group 8-byte row hashes (pre-aggregated map-side);
-    (2) only rows whose hash occurs more than once are grouped on the real
-    columns.  The candidate-hash side of the semi join is broadcast by AQE
-    when its measured size is small, which is the usual case.
+def row_facts(df: DataFrame, null_columns: list[str] | None = None,
+              subset: list[str] | None = None) -> DataFrame:
+    """One row: ``rows``, ``duplicates`` (rows minus distinct rows over
+    ``subset``, NULLs equal) and ``__n{i}`` missing counts of ``null_columns``.
+
+    One pass groups 8-byte row hashes and carries the missing counts in the
+    same map-side pre-aggregation, so whole rows are never shuffled for it.
+    Only rows whose hash occurs more than once are grouped on the real
+    columns (exact result); when no hash repeats, the semi join's build side
+    is empty and AQE skips that pass.
     """
     keys = subset or df.columns
-    hashed = df.select(_row_hash(df, keys).alias("__h"), *keys)
-    per_hash = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("n"))
-    rows = per_hash.agg(F.sum("n").alias("r")).select(F.coalesce(F.col("r"), F.lit(0))).scalar()
-    cand = per_hash.filter(F.col("n") > 1).select("__h")
-    exact = hashed.join(cand, on="__h", how="left_semi").groupBy(*keys) \
-        .agg(F.count(F.lit(1)).alias("n"))
-    dropped = exact.agg(F.sum(F.col("n") - 1).alias("d")).select(F.coalesce(F.col("d"), F.lit(0)))
-    return dropped.select(rows.cast("long").alias("rows_before"),
-                          (rows - F.col(dropped.columns[0])).cast("long").alias("rows_after"),
-                          F.col(dropped.columns[0]).cast("long").alias("dropped"))
+    null_columns = null_columns or []
+    hashed = df.select(_row_hash(df, keys).alias("__h"), *[
+        is_missing(c, field_type(df, c)).cast("long").alias(f"__n{i}")
+        for i, c in enumerate(null_columns)])
+    per_hash = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__rows"), *[
+        F.sum(f"__n{i}").alias(f"__n{i}") for i in range(len(null_columns))])
+    cand = per_hash.filter(F.col("__rows") > 1).select("__h")
+    exact = (df.select(_row_hash(df, keys).alias("__h"), *keys)
+               .join(cand, on="__h", how="left_semi")
+               .groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    dup = exact.agg(F.sum(F.col("n") - 1).alias("d")).select("d").scalar()
+    return per_hash.agg(
+        F.coalesce(F.sum("__rows"), F.lit(0)).cast("long").alias("rows"),
+        *[F.coalesce(F.sum(f"__n{i}"), F.lit(0)).cast("long").alias(f"__n{i}")
+          for i in range(len(null_columns))]
+    ).withColumn("duplicates", F.coalesce(dup, F.lit(0)).cast("long"))
+
+
+def dedup_report(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
+    """One row: rows before, rows after, rows dropped (NULLs equal); see
+    ``row_facts`` for the two-phase exact duplicate count."""
+    f = row_facts(df, subset=subset)
+    return f.select(F.col("rows").alias("rows_before"),
+                    (F.col("rows") - F.col("duplicates")).alias("rows_after"),
+                    F.col("duplicates").alias("dropped"))
 
 
 def duplicate_count(df: DataFrame, subset: list[str] | None = None) -> Column:

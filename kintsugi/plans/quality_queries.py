@@ -11,6 +11,7 @@ from kintsugi.operators import compare, contract, joins, repair
 from kintsugi.operators.score import Check, Rubric, final_blend, flag, row_credit
 from kintsugi.plans.registry import query
 from kintsugi.plans.repair_queries import STRIP_SQL
+from kintsugi.session import materialize
 from kintsugi.sources import fixtures as fx
 
 # ------------------------------------------------------------ scenario ----
@@ -32,7 +33,9 @@ def _count(df: DataFrame):
 
 def scenario(t):
     """Broken live tables plus a contract whose row counts come from data."""
-    live = {"orders": fx.orders_dirty(t), "sessions": fx.sessions_dirty(t),
+    # sessions_dirty is an aggregate of events: materialise it once, since the
+    # contract passes and the counts read it several times
+    live = {"orders": fx.orders_dirty(t), "sessions": materialize(fx.sessions_dirty(t)),
             "orders_dup": fx.orders_dup(t).filter(F.col("orderStatus") == "F")}
     n_orders, n_sessions = _count(t["orders"]), _count(fx.sessions_clean(t))
     c = contract.Contract(

@@ -62,3 +62,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="kintsugi-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir() or folder
+
+
+def materialize(df):
+    """Write ``df`` once to the reliable checkpoint folder and read it back.
+
+    For a derived table that several passes read (profiles, contract facts),
+    this runs its lineage once instead of once per pass, and cuts the
+    lineage so a lost executor does not replay it."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
