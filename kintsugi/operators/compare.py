@@ -57,25 +57,42 @@ def _common(live: DataFrame, trusted: DataFrame, columns: list[str] | None) -> l
     return cols
 
 
+def null_safe_key(col: Column, dt: T.DataType) -> tuple[Column, Column]:
+    """``(coalesce(k, default), isnull(k))``: equal pairs exactly when the
+    keys are equal or both NULL.  Grouping and joining on this pair with
+    plain ``==`` lets the join reuse the grouping's hash partitioning."""
+    fam = family(dt)
+    if fam in ("number", "bool"):
+        default = F.lit(0).cast(dt)
+    elif fam == "text":
+        default = F.lit("")
+    else:
+        col, default = col.cast("string"), F.lit("")
+    return F.coalesce(col, default), col.isNull()
+
+
 def _keyed_cells(live: DataFrame, trusted: DataFrame, key: str, cols: list[str],
-                 order_by: list[str] | None, rtol: float, atol: float):
+                 order_by: list[str] | None, rtol: float, atol: float, how: str = "left"):
     lmap = {c: f"__a{i}" for i, c in enumerate(live.columns)}
     tmap = {c: f"__t{i}" for i, c in enumerate(trusted.columns)}
     L = live.select(*[F.col(c).alias(lmap[c]) for c in live.columns])
-    lk = lmap[key]
-    rest = [lmap[c] for c in live.columns if c != key]
-    order = [lmap[o] for o in (order_by or [])] or rest
-    # one live row per key: first in ``order_by``; partial aggregation keeps
-    # a hot key to one candidate per partition
-    picked = L.groupBy(lk).agg(
+    allc = [lmap[c] for c in live.columns]
+    order = [lmap[o] for o in (order_by or [])] or allc
+    lkc, lkn = null_safe_key(F.col(lmap[key]), live.schema[key].dataType)
+    # one live row per key: the first in ``order_by``; partial aggregation
+    # keeps a hot key to one candidate per partition
+    picked = L.groupBy(lkc.alias("__kc"), lkn.alias("__kn")).agg(
         F.count(F.lit(1)).alias("__dups"),
-        F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(o) for o in order]))
-        .alias("__row") if rest else F.lit(None).alias("__row"))
-    picked = picked.select(lk, "__dups", *[F.col(f"__row.{c}").alias(c) for c in rest])
-    picked = picked.withColumn("__present", F.lit(True))
-    Tt = trusted.select(*[F.col(c).alias(tmap[c]) for c in trusted.columns])
-    joined = Tt.join(picked, Tt[tmap[key]].eqNullSafe(picked[lk]), "left")
-    present = F.coalesce(F.col("__present"), F.lit(False))
+        F.min_by(F.struct(*[F.col(c) for c in allc]), F.struct(*[F.col(o) for o in order]))
+        .alias("__row"))
+    picked = picked.select("__kc", "__kn", "__dups", *[F.col(f"__row.{c}").alias(c) for c in allc],
+                           F.lit(True).alias("__present"))
+    tkc, tkn = null_safe_key(F.col(tmap[key]), trusted.schema[key].dataType)
+    Tt = trusted.select(*[F.col(c).alias(tmap[c]) for c in trusted.columns],
+                        tkc.alias("__tkc"), tkn.alias("__tkn"), F.lit(True).alias("__tpresent"))
+    joined = Tt.join(picked, (Tt["__tkc"] == picked["__kc"]) & (Tt["__tkn"] == picked["__kn"]), how)
+    present = F.coalesce(F.col("__present"), F.lit(False)) & \
+        F.coalesce(F.col("__tpresent"), F.lit(False))
     matches = [present & cell_match(tmap[c], trusted.schema[c].dataType,
                                     lmap[c], live.schema[c].dataType, rtol, atol) for c in cols]
     return joined, matches, present
@@ -85,33 +102,33 @@ def compare_keyed(live: DataFrame, trusted: DataFrame, key: str,
                   columns: list[str] | None = None, order_by: list[str] | None = None,
                   rtol: float = 0.01, atol: float = 0.01) -> DataFrame:
     """One row: trusted_rows, live_rows, compared_columns, matched_cells,
-    total_cells, missing_keys, extra_rows, duplicate_live_keys, score."""
+    total_cells, missing_keys, extra_rows, duplicate_live_keys, score.
+
+    One grouping of the live side (dedup + per-key counts), one full join
+    with the trusted side on the null-safe key pair, one aggregate."""
     if key not in live.columns or key not in trusted.columns:
         raise KeyError(f"key {key!r} must exist on both sides")
     cols = _common(live, trusted, columns)
     if not cols:
         raise ValueError("no common column to compare")
-    joined, matches, present = _keyed_cells(live, trusted, key, cols, order_by, rtol, atol)
+    joined, matches, present = _keyed_cells(live, trusted, key, cols, order_by, rtol, atol,
+                                            how="full")
     cells = sum((m.cast("long") for m in matches), F.lit(0))
-    live_stats = live.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(
-        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys"),
-        F.count_if(F.col("n") > 1).alias("dup_keys"))
-    ls = live_stats.select(F.struct(F.coalesce(F.col("rows"), F.lit(0)).alias("rows"), "keys",
-                                    "dup_keys").alias("s")).scalar()
-    live_rows, live_keys, dup_keys = ls["rows"], ls["keys"], ls["dup_keys"]
-    agg = joined.agg(F.count(F.lit(1)).alias("trusted_rows"),
+    t_side = F.coalesce(F.col("__tpresent"), F.lit(False))
+    l_side = F.coalesce(F.col("__present"), F.lit(False))
+    agg = joined.agg(F.count_if(t_side).alias("trusted_rows"),
+                     F.coalesce(F.sum("__dups"), F.lit(0)).cast("long").alias("live_rows"),
                      F.sum(cells).alias("matched_cells"),
-                     F.count_if(~present).alias("missing_keys"),
-                     F.count_if(present).alias("matched_keys"))
+                     F.count_if(t_side & ~l_side).alias("missing_keys"),
+                     F.count_if(l_side & ~t_side).alias("extra_rows"),
+                     F.count_if(F.col("__dups") > 1).alias("duplicate_live_keys"))
     n = len(cols)
     total = F.col("trusted_rows") * n
     return agg.select(
-        "trusted_rows", live_rows.cast("long").alias("live_rows"),
-        F.lit(n).alias("compared_columns"),
+        "trusted_rows", "live_rows", F.lit(n).alias("compared_columns"),
         F.coalesce("matched_cells", F.lit(0)).cast("long").alias("matched_cells"),
-        total.cast("long").alias("total_cells"), "missing_keys",
-        (live_keys - F.col("matched_keys")).cast("long").alias("extra_rows"),
-        dup_keys.cast("long").alias("duplicate_live_keys"),
+        total.cast("long").alias("total_cells"), "missing_keys", "extra_rows",
+        "duplicate_live_keys",
         F.when(total > 0, F.round(F.col("matched_cells") / total, 4)).otherwise(F.lit(0.0))
         .alias("score"))
 

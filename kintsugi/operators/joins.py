@@ -112,11 +112,20 @@ def join_report(left: DataFrame, right: DataFrame, on, *, null_keys: str = "matc
     joined on the key.  Row counts of inner/left/right/full joins follow by
     arithmetic, without materialising any join result.
     """
+    from kintsugi.operators.compare import null_safe_key
     lk, rk = _keys(on)
     lkey, rkey = _key_exprs(left, right, lk, rk)
-    lc = left.groupBy(lkey.alias("k")).agg(F.count(F.lit(1)).alias("lc"))
-    rc = right.groupBy(rkey.alias("k")).agg(F.count(F.lit(1)).alias("rc"))
-    cond = join_condition(lc["k"], rc["k"], null_keys)
+    lt = T.DoubleType() if _needs_double(left, right, lk, rk) else field_type(left, lk)
+    rt = T.DoubleType() if _needs_double(left, right, lk, rk) else field_type(right, rk)
+    if null_keys == "match":
+        # group on the null-safe key pair so the join reuses the grouping's
+        # hash partitioning (no second shuffle of either count table)
+        (lkc, lkn), (rkc, rkn) = null_safe_key(lkey, lt), null_safe_key(rkey, rt)
+    else:
+        (lkc, lkn), (rkc, rkn) = (lkey, F.lit(False)), (rkey, F.lit(False))
+    lc = left.groupBy(lkc.alias("kc"), lkn.alias("kn")).agg(F.count(F.lit(1)).alias("lc"))
+    rc = right.groupBy(rkc.alias("kc"), rkn.alias("kn")).agg(F.count(F.lit(1)).alias("rc"))
+    cond = (lc["kc"] == rc["kc"]) & (lc["kn"] == rc["kn"])
     both = lc.join(rc, cond, "full").select(
         F.coalesce("lc", F.lit(0)).alias("lc"), F.coalesce("rc", F.lit(0)).alias("rc"))
     l, r = F.col("lc"), F.col("rc")
