@@ -163,7 +163,6 @@ def summary(annotated: DataFrame, session: str = "session_id") -> DataFrame:
 
 def required_params_missing(log: DataFrame) -> DataFrame:
     """Required keys absent from ``params_json``, per action."""
-    req = F.lit(None).cast("array<string>")
     expr = None
     for name, keys in REQUIRED_PARAMS.items():
         arr = F.array(*[F.lit(k) for k in keys]).cast("array<string>")
@@ -173,6 +172,5 @@ def required_params_missing(log: DataFrame) -> DataFrame:
     params = F.from_json(F.col("params_json"), "map<string,string>")
     keys = F.coalesce(F.map_keys(params), F.array().cast("array<string>"))
     missing = F.array_except(required, keys)
-    del req
     return log.select("session_id", "event_id", "action_type", missing.alias("missing"),
                       F.size(missing).alias("n_missing"))
