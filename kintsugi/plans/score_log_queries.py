@@ -18,8 +18,14 @@ from kintsugi.sources import fixtures as fx
 from kintsugi.sources import runlog
 
 
-def _count(df):
-    return df.agg(F.count(F.lit(1))).scalar()
+def _count(df) -> int:
+    # constants used by several checks: one count job, then a literal
+    return df.count()
+
+
+def _score(df) -> float:
+    # a value-match score feeds the rubric, the output and the blend: evaluate once
+    return float(df.select("score").first().score)
 
 
 def _has_type(df, col, expected) -> float:
@@ -81,7 +87,7 @@ UNION ALL
 SELECT 'after', round(least(1.0, 0.60 + 0.15 * CAST(tn = 0 AS INT) + 0.15 * CAST(cn = 0 AS INT)
                              + 0.10 * {_RC.format(tol=2)}), 4) FROM fa, e""")
 def rubric_types(t):
-    expected = _count(t["orders"])
+    expected = F.lit(_count(t["orders"]))
     rows = []
     for stage, df in (("before", fx.orders_dirty(t)), ("after", _repaired_types(t))):
         rub, facts = types_rubric(df, expected)
@@ -91,7 +97,7 @@ def rubric_types(t):
 
 def rename_dedup_rubric(df: DataFrame, expected_rows) -> tuple[Rubric, DataFrame]:
     keys = [c for c in ("cust_key", "order_status", "total_price") if c in df.columns]
-    dup = repair.dedup_report(df).select("dropped").scalar()
+    dup = F.lit(repair.dedup_report(df).first().dropped)
     key_nulls = sum((F.count_if(is_missing(c, df.schema[c].dataType)) for c in keys), F.lit(0))
     facts = df.agg(F.count(F.lit(1)).alias("rows"), key_nulls.alias("kn")).withColumn("dups", dup)
     checks = [
@@ -129,7 +135,7 @@ UNION ALL
 SELECT 'after', round(least(1.0, 0.15 + 0.15 + 0.10 + 0.10 + 0.20 * CAST(dups = 0 AS INT) + 0.15
                              + 0.10 * {_RC.format(tol=2)} + 0.05 * CAST(kn = 0 AS INT)), 4) FROM fa, e""")
 def rubric_rename_dedup(t):
-    expected = _count(t["orders"])
+    expected = F.lit(_count(t["orders"]))
     rows = []
     for stage, df in (("before", fx.orders_dup(t)), ("after", _repaired_dup(t))):
         rub, facts = rename_dedup_rubric(df, expected)
@@ -205,8 +211,8 @@ def rubric_join(t):
     rows = []
     for stage in ("inner", "left"):
         final = joins.safe_join(fx.orders_orphan(t), cust, ("o_custkey", "c_custkey"), stage)
-        vm = compare.compare_keyed(final, trusted, "o_orderkey").select("score").scalar()
-        rub, facts = join_rubric(final, expected, vm)
+        vm = F.lit(_score(compare.compare_keyed(final, trusted, "o_orderkey")))
+        rub, facts = join_rubric(final, F.lit(expected), vm)
         rows.append(facts.select(F.lit(stage).alias("stage"), rub.total_expr().alias("rubric"),
                                  vm.alias("value_match"))
                     .withColumn("final_score", final_blend(F.col("rubric"), F.col("value_match"))))
@@ -225,8 +231,8 @@ def cascade_rubric(events: DataFrame, sessions: DataFrame, summary: DataFrame |
     s_stats = sessions.agg(F.count(F.lit(1)).alias("r"),
                            F.count_if(is_missing("session_id", sessions.schema["session_id"].dataType))
                            .alias("n"))
-    facts = facts.withColumn("s_rows", s_stats.select("r").scalar()) \
-                 .withColumn("s_nulls", s_stats.select("n").scalar())
+    st = s_stats.first()
+    facts = facts.withColumn("s_rows", F.lit(st.r)).withColumn("s_nulls", F.lit(st.n))
     s_rows = F.col("s_rows").cast("double")
     dur = _has_type(sessions, "session_duration", "float64")
     uid = _has_type(sessions, "user_id", "int64")
@@ -244,7 +250,7 @@ def cascade_rubric(events: DataFrame, sessions: DataFrame, summary: DataFrame |
         checks += [Check("prereq_user_id", 0.05, F.lit(uid)),
                    Check("prereq_duration", 0.05, F.lit(dur))]
     else:
-        facts = facts.withColumn("sum_rows", _count(summary))
+        facts = facts.withColumn("sum_rows", F.lit(_count(summary)))
         checks += [
             Check("summary_exists", 0.15, F.lit(1.0)),
             Check("summary_rows", 0.10, row_credit(F.col("sum_rows"), expected_summary_rows, 5)),
@@ -322,12 +328,13 @@ FROM (SELECT vm, round(least(1.0, {_EV_PART} + 0.10 + 0.10 * sc + 0.10 + 0.15
                                                 list(_CASCADE_MATCHES), _CASCADE_MATCHES)})) v)""")
 def rubric_cascade(t):
     expected = _count(fx.sessions_clean(t))
-    rub, facts = cascade_rubric(fx.events_padded(t), fx.sessions_dirty(t), None, expected, F.lit(0.0))
+    rub, facts = cascade_rubric(fx.events_padded(t), fx.sessions_dirty(t), None, F.lit(expected),
+                                F.lit(0.0))
     before = facts.select(F.lit("before").alias("stage"), rub.total_expr().alias("rubric"),
                           F.lit(0.0).alias("value_match"))
     ev, s, summary = cascade_after(t)
-    vm = compare.compare_keyed(summary, cascade_trusted(t), "session_id").select("score").scalar()
-    rub, facts = cascade_rubric(ev, s, summary, expected, vm)
+    vm = F.lit(_score(compare.compare_keyed(summary, cascade_trusted(t), "session_id")))
+    rub, facts = cascade_rubric(ev, s, summary, F.lit(expected), vm)
     after = facts.select(F.lit("after").alias("stage"), rub.total_expr().alias("rubric"),
                          vm.alias("value_match"))
     out = before.unionByName(after)
@@ -432,8 +439,9 @@ SELECT session_id, step AS steps, cum_invalid AS invalid_actions, cum_cost AS co
 FROM s, cs""" + ")")
 def scorecard(t):
     live, c = scenario(t)
-    scores = contract.contract_scores(live, c).select(F.struct("*").alias("s")).scalar()
-    sc = {k: F.round(scores[k], 6) for k in ("schema_score", "validity_score", "row_integrity")}
+    # one row of three numbers, used in every session's total: evaluate once
+    scores = contract.contract_scores(live, c).first()
+    sc = {k: F.lit(round(float(scores[k]), 6)) for k in ("schema_score", "validity_score", "row_integrity")}
     per = actionlog.summary(_annotated(t)).select(
         "session_id", F.col("steps"), F.col("invalid_actions"), F.col("cost_used"))
     sp = actionlog.step_penalty(F.col("steps"), MAX_STEPS)
