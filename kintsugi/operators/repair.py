@@ -268,12 +268,18 @@ def row_facts(df: DataFrame, null_columns: list[str] | None = None,
     exact = (df.select(_row_hash(df, keys).alias("__h"), *keys)
                .join(cand, on="__h", how="left_semi")
                .groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
-    dup = exact.agg(F.sum(F.col("n") - 1).alias("d")).select("d").scalar()
-    return per_hash.agg(
-        F.coalesce(F.sum("__rows"), F.lit(0)).cast("long").alias("rows"),
-        *[F.coalesce(F.sum(f"__n{i}"), F.lit(0)).cast("long").alias(f"__n{i}")
-          for i in range(len(null_columns))]
-    ).withColumn("duplicates", F.coalesce(dup, F.lit(0)).cast("long"))
+    # both one-row aggregates live in one plan (a union, then a sum), so the
+    # hash grouping's exchange is computed once and reused by both branches
+    n_cols = [f"__n{i}" for i in range(len(null_columns))]
+    main = per_hash.agg(F.sum("__rows").cast("long").alias("rows"),
+                        *[F.sum(c).cast("long").alias(c) for c in n_cols],
+                        F.lit(0).cast("long").alias("duplicates"))
+    dups = exact.agg(F.lit(0).cast("long").alias("rows"),
+                     *[F.lit(0).cast("long").alias(c) for c in n_cols],
+                     F.sum(F.col("n") - 1).cast("long").alias("duplicates"))
+    return main.unionByName(dups).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c)
+          for c in ["rows", *n_cols, "duplicates"]])
 
 
 def dedup_report(df: DataFrame, subset: list[str] | None = None) -> DataFrame:

@@ -14,8 +14,8 @@ one task.  ``segmented_scan`` instead:
 4. summarises each partition in one row (first group, last group, partial
    result of the last group), so the summary has exactly P rows;
 5. turns the summary into a carry-in per partition with windows over those
-   P rows, and adds it back through a broadcast join (P rows: a bound fixed
-   by the partition count, not by the data).
+   P rows, and adds it back through a broadcast join (P rows: bounded by
+   ``spark.sql.shuffle.partitions``, not by the row count).
 """
 
 from __future__ import annotations
@@ -133,10 +133,13 @@ def segmented_scan(df: DataFrame, order_by: list[str | Column], specs: list[Scan
     if not groups:
         base = base.withColumn(_G0, F.lit(0))
         groups = [_G0]
-    P = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g).asc_nulls_first() for g in groups] + [
         (F.col(o).asc_nulls_first() if isinstance(o, str) else o) for o in order_by]
-    ordered = (base.repartitionByRange(P, *keys)
+    # without an explicit count AQE coalesces adjacent range partitions to
+    # its advisory size (order is kept), so P follows the data volume
+    ranged = base.repartitionByRange(num_partitions, *keys) if num_partitions \
+        else base.repartitionByRange(*keys)
+    ordered = (ranged
                    .sortWithinPartitions(*keys)
                    .withColumn(_PID, F.spark_partition_id()))
     out_schema = T.StructType(

@@ -15,8 +15,11 @@ def test_scan_equals_windows_with_hot_group(spark):
         v = None if rng.random() < 0.3 else float(rng.randint(0, 9))
         rows.append((i, g, rng.randint(0, 500), v))
     df = spark.createDataFrame(rows, "id long, g long, o long, v double")
+    # an explicit partition count keeps several range partitions, so the
+    # cross-partition carry is exercised even on small data
     got = segmented_scan(df, ["o", "id"], [ScanSpec("rn", "count"), ScanSpec("cs", "sum", "v"),
-                                          ScanSpec("ff", "last", "v")], partition_by=["g"])
+                                          ScanSpec("ff", "last", "v")], partition_by=["g"],
+                         num_partitions=8)
     w = W.partitionBy("g").orderBy("o", "id")
     run = w.rowsBetween(W.unboundedPreceding, 0)
     exp = df.select("id", F.row_number().over(w).alias("rn"),
@@ -29,7 +32,7 @@ def test_scan_equals_windows_with_hot_group(spark):
 
 def test_global_ordinal_is_dense(spark):
     df = spark.range(0, 2000).withColumn("o", (F.col("id") * 7919) % 2003)
-    got = with_ordinal(df, ["o"], "pos").collect()
+    got = segmented_scan(df, ["o"], [ScanSpec("pos", "count")], num_partitions=8).collect()
     assert sorted(r.pos for r in got) == list(range(1, 2001))
     by_o = sorted(got, key=lambda r: r.o)
     assert [r.pos for r in by_o] == list(range(1, 2001))
