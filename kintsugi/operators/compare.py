@@ -172,7 +172,8 @@ def compare_positional(live: DataFrame, trusted: DataFrame, live_order: list[str
                             live.schema[c].dataType, rtol, atol).cast("long") for c in cols),
                 F.lit(0))
     # two numbers used in several expressions: count once each
-    t_rows, l_rows = F.lit(trusted.count()), F.lit(live.count())
+    t_rows = F.lit(trusted.count()).cast("long")
+    l_rows = F.lit(live.count()).cast("long")
     n = len(cols)
     agg = joined.agg(F.count(F.lit(1)).alias("compared_rows"), F.sum(cells).alias("m"))
     return agg.select(
