@@ -44,6 +44,22 @@ def _stages(rows):
     return out
 
 
+# Rubric weights and tolerances of the four repair tasks.
+TYPES_W = {"dtype": 0.20, "no_nulls": 0.15, "rows": 0.10}
+TYPES_ROW_TOL = 2
+RENAME_W = {"new_name": 0.15, "old_name_gone": 0.10, "no_duplicates": 0.20, "dtype": 0.15,
+            "rows": 0.10, "keys_no_nulls": 0.05}
+RENAME_ROW_TOL = 2
+JOIN_W = {"rows": 0.30, "key_filled": 0.15, "customer_key": 0.15, "total_dtype": 0.10,
+          "name": 0.10, "total_no_nulls": 0.10, "value_match": 0.10}
+JOIN_ROW_TOL = 2
+JOIN_MIN_SHARE = 0.9          # rows under this share of the expected count score 0
+CASCADE_W = {"unpadded": 0.10, "valid_types": 0.15, "duration_dtype": 0.10, "session_ids": 0.10,
+             "user_dtype": 0.10, "prereq": 0.05, "summary_exists": 0.15, "summary_rows": 0.10,
+             "join_columns": 0.10, "value_match": 0.10}
+CASCADE_ROW_TOL = 5
+BASE_NULL_RATE = 0.10         # null rate of the broken session ids
+
 _RC = "CASE WHEN abs(rows - e) <= {tol} THEN 1.0 ELSE greatest(0.0, 1 - abs(rows / e - 1)) END"
 
 # --------------------------------------------------------------- rubrics ----
@@ -55,12 +71,12 @@ def types_rubric(df: DataFrame, expected_rows) -> tuple[Rubric, DataFrame]:
     facts = df.agg(F.count(F.lit(1)).alias("rows"), miss("o_totalprice").alias("tn"),
                    miss("o_custkey").alias("cn"))
     checks = [
-        Check("o_orderkey_int64", 0.20, F.lit(_has_type(df, "o_orderkey", "int64"))),
-        Check("o_totalprice_float64", 0.20, F.lit(_has_type(df, "o_totalprice", "float64"))),
-        Check("o_custkey_int64", 0.20, F.lit(_has_type(df, "o_custkey", "int64"))),
-        Check("o_totalprice_no_nulls", 0.15, flag(F.col("tn") == 0)),
-        Check("o_custkey_no_nulls", 0.15, flag(F.col("cn") == 0)),
-        Check("rows_kept", 0.10, row_credit(F.col("rows"), expected_rows, 2)),
+        Check("o_orderkey_int64", TYPES_W["dtype"], F.lit(_has_type(df, "o_orderkey", "int64"))),
+        Check("o_totalprice_float64", TYPES_W["dtype"], F.lit(_has_type(df, "o_totalprice", "float64"))),
+        Check("o_custkey_int64", TYPES_W["dtype"], F.lit(_has_type(df, "o_custkey", "int64"))),
+        Check("o_totalprice_no_nulls", TYPES_W["no_nulls"], flag(F.col("tn") == 0)),
+        Check("o_custkey_no_nulls", TYPES_W["no_nulls"], flag(F.col("cn") == 0)),
+        Check("rows_kept", TYPES_W["rows"], row_credit(F.col("rows"), expected_rows, TYPES_ROW_TOL)),
     ]
     return Rubric(checks), facts
 
@@ -101,14 +117,14 @@ def rename_dedup_rubric(df: DataFrame, expected_rows) -> tuple[Rubric, DataFrame
     key_nulls = sum((F.count_if(is_missing(c, df.schema[c].dataType)) for c in keys), F.lit(0))
     facts = df.agg(F.count(F.lit(1)).alias("rows"), key_nulls.alias("kn")).withColumn("dups", dup)
     checks = [
-        Check("cust_key_present", 0.15, F.lit(_present(df, "cust_key"))),
-        Check("order_status_present", 0.15, F.lit(_present(df, "order_status"))),
-        Check("custKey_gone", 0.10, F.lit(1.0 - _present(df, "custKey"))),
-        Check("orderStatus_gone", 0.10, F.lit(1.0 - _present(df, "orderStatus"))),
-        Check("no_duplicates", 0.20, flag(F.col("dups") == 0)),
-        Check("total_price_float64", 0.15, F.lit(_has_type(df, "total_price", "float64"))),
-        Check("rows_near_expected", 0.10, row_credit(F.col("rows"), expected_rows, 2)),
-        Check("key_columns_no_nulls", 0.05, flag(F.col("kn") == 0) if keys else F.lit(0.0)),
+        Check("cust_key_present", RENAME_W["new_name"], F.lit(_present(df, "cust_key"))),
+        Check("order_status_present", RENAME_W["new_name"], F.lit(_present(df, "order_status"))),
+        Check("custKey_gone", RENAME_W["old_name_gone"], F.lit(1.0 - _present(df, "custKey"))),
+        Check("orderStatus_gone", RENAME_W["old_name_gone"], F.lit(1.0 - _present(df, "orderStatus"))),
+        Check("no_duplicates", RENAME_W["no_duplicates"], flag(F.col("dups") == 0)),
+        Check("total_price_float64", RENAME_W["dtype"], F.lit(_has_type(df, "total_price", "float64"))),
+        Check("rows_near_expected", RENAME_W["rows"], row_credit(F.col("rows"), expected_rows, RENAME_ROW_TOL)),
+        Check("key_columns_no_nulls", RENAME_W["keys_no_nulls"], flag(F.col("kn") == 0) if keys else F.lit(0.0)),
     ]
     return Rubric(checks), facts
 
@@ -143,22 +159,22 @@ def rubric_rename_dedup(t):
     return _stages(rows)
 
 
-def join_rubric(final: DataFrame, expected_rows, value_match, min_share: float = 0.9):
+def join_rubric(final: DataFrame, expected_rows, value_match, min_share: float = JOIN_MIN_SHARE):
     facts = final.agg(F.count(F.lit(1)).alias("rows"),
                       F.count_if(F.col("o_orderkey").isNull()).alias("kn"),
                       F.count_if(is_missing("o_totalprice", final.schema["o_totalprice"].dataType))
                       .alias("tn"))
     rows, exp = F.col("rows").cast("double"), expected_rows.cast("double")
-    within = F.abs(rows - exp) <= 2
+    within = F.abs(rows - exp) <= JOIN_ROW_TOL
     checks = [
-        Check("rows", 0.30, F.when(within, 1.0).otherwise(
+        Check("rows", JOIN_W["rows"], F.when(within, 1.0).otherwise(
             F.greatest(F.lit(0.0), 1 - F.abs(rows / exp - 1)))),
-        Check("order_key_filled", 0.15, F.when(rows > 0, 1 - F.col("kn") / rows).otherwise(0.0)),
-        Check("customer_key_present", 0.15, F.lit(_present(final, "c_custkey"))),
-        Check("total_float64", 0.10, F.lit(_has_type(final, "o_totalprice", "float64"))),
-        Check("name_present", 0.10, F.lit(_present(final, "c_name"))),
-        Check("total_no_nulls", 0.10, flag(F.col("tn") == 0)),
-        Check("value_match", 0.10, value_match),
+        Check("order_key_filled", JOIN_W["key_filled"], F.when(rows > 0, 1 - F.col("kn") / rows).otherwise(0.0)),
+        Check("customer_key_present", JOIN_W["customer_key"], F.lit(_present(final, "c_custkey"))),
+        Check("total_float64", JOIN_W["total_dtype"], F.lit(_has_type(final, "o_totalprice", "float64"))),
+        Check("name_present", JOIN_W["name"], F.lit(_present(final, "c_name"))),
+        Check("total_no_nulls", JOIN_W["total_no_nulls"], flag(F.col("tn") == 0)),
+        Check("value_match", JOIN_W["value_match"], value_match),
     ]
     return Rubric(checks, gate=(~within) & (rows < exp * min_share), gate_cap=0.25), facts
 
@@ -237,25 +253,27 @@ def cascade_rubric(events: DataFrame, sessions: DataFrame, summary: DataFrame |
     dur = _has_type(sessions, "session_duration", "float64")
     uid = _has_type(sessions, "user_id", "int64")
     checks = [
-        Check("events_unpadded", 0.10, flag(~F.col("padded"))),
-        Check("events_valid_types", 0.15, F.when(F.col("n_invalid") == 0, flag(F.col("ev_rows") > 0))
+        Check("events_unpadded", CASCADE_W["unpadded"], flag(~F.col("padded"))),
+        Check("events_valid_types", CASCADE_W["valid_types"], F.when(F.col("n_invalid") == 0, flag(F.col("ev_rows") > 0))
               .otherwise(F.coalesce(F.col("valid_share"), F.lit(0.0)))),
-        Check("duration_float64", 0.10, F.lit(dur)),
-        Check("session_id_no_nulls", 0.10, F.when(F.col("s_nulls") == 0, 1.0).otherwise(
-            F.when(s_rows > 0, F.greatest(F.lit(0.0), 0.10 - F.col("s_nulls") / s_rows) / 0.10)
+        Check("duration_float64", CASCADE_W["duration_dtype"], F.lit(dur)),
+        Check("session_id_no_nulls", CASCADE_W["session_ids"], F.when(F.col("s_nulls") == 0, 1.0).otherwise(
+            F.when(s_rows > 0, F.greatest(F.lit(0.0), BASE_NULL_RATE - F.col("s_nulls") / s_rows)
+                   / BASE_NULL_RATE)
             .otherwise(0.0))),
-        Check("user_id_int64", 0.10, F.lit(uid)),
+        Check("user_id_int64", CASCADE_W["user_dtype"], F.lit(uid)),
     ]
     if summary is None:
-        checks += [Check("prereq_user_id", 0.05, F.lit(uid)),
-                   Check("prereq_duration", 0.05, F.lit(dur))]
+        checks += [Check("prereq_user_id", CASCADE_W["prereq"], F.lit(uid)),
+                   Check("prereq_duration", CASCADE_W["prereq"], F.lit(dur))]
     else:
         facts = facts.withColumn("sum_rows", F.lit(_count(summary)))
         checks += [
-            Check("summary_exists", 0.15, F.lit(1.0)),
-            Check("summary_rows", 0.10, row_credit(F.col("sum_rows"), expected_summary_rows, 5)),
-            Check("join_columns", 0.10, F.lit(_present(summary, "plan", "region"))),
-            Check("value_match", 0.10, value_match),
+            Check("summary_exists", CASCADE_W["summary_exists"], F.lit(1.0)),
+            Check("summary_rows", CASCADE_W["summary_rows"],
+                  row_credit(F.col("sum_rows"), expected_summary_rows, CASCADE_ROW_TOL)),
+            Check("join_columns", CASCADE_W["join_columns"], F.lit(_present(summary, "plan", "region"))),
+            Check("value_match", CASCADE_W["value_match"], value_match),
         ]
     return Rubric(checks), facts
 
