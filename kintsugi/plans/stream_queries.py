@@ -27,7 +27,12 @@ _COSTS = """CASE action_type WHEN 'inspect_column' THEN 0.5 WHEN 'check_nulls' T
   WHEN 'check_pipeline_health' THEN 0.5 WHEN 'audit_log' THEN 0.0 ELSE 1.0 END"""
 
 
-@query("stream_session_budget", f"""
+@query("stream_session_budget", """SELECT *,
+       CAST(CASE WHEN actions / 20.0 <= 0.40 THEN 0.0 WHEN actions / 20.0 <= 0.70 THEN 0.10
+                 WHEN actions / 20.0 <= 0.90 THEN 0.20 ELSE 0.40 END AS DOUBLE) AS step_pen,
+       round(least(1.0, invalid_actions * CAST(0.15 AS DOUBLE)), 6) AS inv_pen,
+       round(CASE WHEN cost <= 20.0 THEN 0.0 ELSE least(0.30, (cost - 20.0) / 20.0 * 0.30) END, 6) AS cost_pen
+FROM (""" + f"""
 WITH g AS (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY session_id ORDER BY ts, event_id) IS NULL
                             OR ts - lag(ts) OVER (PARTITION BY session_id ORDER BY ts, event_id) >= INTERVAL 30 minutes
                           THEN 1 ELSE 0 END AS new_session FROM action_log),
@@ -38,7 +43,7 @@ SELECT session_id, min(ts) AS window_start, max(ts) + INTERVAL 30 minutes AS win
        CAST(count_if(NOT coalesce(valid, false) OR action_type NOT IN ('check_pipeline_health', 'inspect_column',
             'check_nulls', 'cast_type', 'fill_nulls', 'drop_duplicates', 'rename_column', 'join_tables',
             'filter_rows', 'validate_table', 'audit_log', 'finish')) AS BIGINT) AS invalid_actions
-FROM s GROUP BY session_id, sn""")
+FROM s GROUP BY session_id, sn)""")
 def stream_session_budget(t):
     out = monitors.session_budget(fx.action_log(t))
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")) \

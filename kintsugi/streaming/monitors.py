@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from kintsugi.functions.nulls import is_missing
 from kintsugi.functions.text import strip
-from kintsugi.operators.actionlog import action_cost, is_invalid
+from kintsugi.operators.actionlog import (action_cost, cost_penalty, invalid_penalty, is_invalid,
+                                          step_penalty)
 from kintsugi.sources.fixtures import VALID_EVENT_TYPES
 
 
@@ -42,7 +43,10 @@ def contract_monitor(events: DataFrame, ts: str = "ts", window: str = "1 hour",
 
 
 def session_budget(log: DataFrame, ts: str = "ts", gap: str = "30 minutes",
-                   watermark: str = "1 hour", session: str = "session_id") -> DataFrame:
+                   watermark: str = "1 hour", session: str = "session_id",
+                   max_steps: int = 20) -> DataFrame:
+    """Cost, steps and failures per session window, with the step, invalid
+    and cost penalties computed on top of the aggregates (no Python state)."""
     a = _event_time(log, ts).withWatermark(ts, watermark)
     a = a.withColumn("__cost", action_cost(F.col("action_type"))) \
          .withColumn("__inv", is_invalid(F.col("action_type"), F.col("valid")))
@@ -50,7 +54,10 @@ def session_budget(log: DataFrame, ts: str = "ts", gap: str = "30 minutes",
         F.count(F.lit(1)).alias("actions"), F.sum("__cost").alias("cost"),
         F.count_if("__inv").alias("invalid_actions"))
     return agg.select(session, F.col("w.start").alias("window_start"),
-                      F.col("w.end").alias("window_end"), "actions", "cost", "invalid_actions")
+                      F.col("w.end").alias("window_end"), "actions", "cost", "invalid_actions",
+                      step_penalty(F.col("actions"), max_steps).alias("step_pen"),
+                      F.round(invalid_penalty(F.col("invalid_actions")), 6).alias("inv_pen"),
+                      F.round(cost_penalty(F.col("cost")), 6).alias("cost_pen"))
 
 
 def dedup_events(events: DataFrame, key: list[str], ts: str = "ts",
