@@ -101,3 +101,31 @@ def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
         cols.append(c.alias(f.name))
     head = df.orderBy(*order_by).limit(n).select(*cols)
     return head.withColumn("row_json", F.to_json(F.struct(*[F.col(f) for f in df.columns])))
+
+
+def health_report(tables: dict[str, DataFrame], schema: dict[str, dict[str, str]] | None = None
+                  ) -> DataFrame:
+    """One row per table: rows, column count, columns, ``col:dtype`` list,
+    ``col=n`` missing counts of every column, duplicates, and the contract
+    type mismatches of present columns (``col: expected=e, actual=a``).
+    Each table costs one fused pass (``repair.row_facts``)."""
+    from kintsugi.functions.types import dtype_matches
+    from kintsugi.operators.repair import row_facts
+    frames = []
+    for name, df in tables.items():
+        facts = row_facts(df, null_columns=df.columns)
+        dts = {c: dtype_name(df.schema[c].dataType) for c in df.columns}
+        mism = [f"{c}: expected={e}, actual={dts[c]}" for c, e in (schema or {}).get(name, {}).items()
+                if c in df.columns and not dtype_matches(dts[c], e)]
+        nulls = F.array(*[F.concat(F.lit(f"{c}="), F.col(f"__n{i}").cast("string"))
+                          for i, c in enumerate(df.columns)])
+        frames.append(facts.select(
+            F.lit(name).alias("table_name"), "rows", F.lit(len(df.columns)).alias("n_columns"),
+            F.array(*[F.lit(c) for c in df.columns]).alias("columns"),
+            F.array(*[F.lit(f"{c}:{dts[c]}") for c in df.columns]).alias("dtypes"),
+            nulls.alias("null_counts"), "duplicates",
+            F.array(*[F.lit(m) for m in mism]).cast("array<string>").alias("schema_issues")))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out

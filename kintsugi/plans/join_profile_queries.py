@@ -163,3 +163,41 @@ SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderpriority,
 FROM orders_dirty ORDER BY o_orderkey LIMIT 5""")
 def preview_rows(t):
     return profile.preview(fx.orders_dirty(t), ["o_orderkey"], n=5).drop("row_json")
+
+
+_HEALTH_SCHEMA = {"orders": {"o_orderkey": "int64", "o_custkey": "int64", "o_totalprice": "float64",
+                             "o_orderdate": "datetime64[ns]"},
+                  "sessions": {"session_id": "int64", "user_id": "int64",
+                               "session_duration": "float64", "page_views": "int64"}}
+
+
+def _health_sql(t, view, cols, issues):
+    names = ", ".join(f"'{c}'" for c, _, _ in cols)
+    dts = ", ".join(f"'{c}:{d}'" for c, d, _ in cols)
+    nulls = ", ".join(f"'{c}=' || CAST(count_if({m}) AS VARCHAR)" for c, _, m in cols)
+    allc = ", ".join(c for c, _, _ in cols)
+    iss = ", ".join(f"'{x}'" for x in issues)
+    return f"""SELECT '{t}' AS table_name, count(*) AS rows, {len(cols)} AS n_columns,
+       [{names}] AS columns, [{dts}] AS dtypes, [{nulls}] AS null_counts,
+       (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {view} GROUP BY {allc})) AS duplicates,
+       CAST([{iss}] AS VARCHAR[]) AS schema_issues
+FROM {view}"""
+
+
+@query("health_report", _health_sql("orders", "orders_dirty", [
+    ("o_orderkey", "float64", "o_orderkey IS NULL OR isnan(o_orderkey)"),
+    ("o_custkey", "object", "o_custkey IS NULL"), ("o_totalprice", "object", "o_totalprice IS NULL"),
+    ("o_orderstatus", "object", "o_orderstatus IS NULL"), ("o_orderpriority", "object", "o_orderpriority IS NULL"),
+    ("o_orderdate", "datetime64[ns]", "o_orderdate IS NULL")],
+    ["o_orderkey: expected=int64, actual=float64", "o_custkey: expected=int64, actual=object",
+     "o_totalprice: expected=float64, actual=object"]) + "\nUNION ALL\n" + _health_sql(
+    "sessions", "sessions_dirty", [
+        ("session_id", "float64", "session_id IS NULL OR isnan(session_id)"),
+        ("user_id", "float64", "user_id IS NULL OR isnan(user_id)"),
+        ("session_duration", "object", "session_duration IS NULL"), ("page_views", "int64", "page_views IS NULL")],
+    ["session_id: expected=int64, actual=float64", "user_id: expected=int64, actual=float64",
+     "session_duration: expected=float64, actual=object"]))
+def health_report(t):
+    from kintsugi.session import materialize
+    tables = {"orders": fx.orders_dirty(t), "sessions": materialize(fx.sessions_dirty(t))}
+    return profile.health_report(tables, _HEALTH_SCHEMA)
