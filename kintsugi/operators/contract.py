@@ -16,7 +16,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kintsugi.functions.nulls import is_missing
 from kintsugi.functions.types import dtype_matches, dtype_name
 
 # Issue message layouts.

@@ -4,11 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from kintsugi.functions.nulls import is_missing
-from kintsugi.functions.text import is_padded, strip
-from kintsugi.functions.types import dtype_matches, dtype_name
-from kintsugi.operators import compare, contract, joins, repair
-from kintsugi.operators.score import Check, Rubric, final_blend, flag, row_credit
+from kintsugi.operators import compare, contract, repair
 from kintsugi.plans.registry import query
 from kintsugi.plans.repair_queries import STRIP_SQL
 from kintsugi.session import materialize
