@@ -317,3 +317,17 @@ SELECT CASE WHEN count(*) > 0 THEN round(sum({_sess_cells(False)}) / (count(*) *
 FROM j""")
 def mismatch_ratio(t):
     return compare.mismatch_ratio(_sessions_live(t), fx.sessions_clean(t), _SESS_ORDER, ["session_id"])
+
+
+# The three contract scores under their own names (same plan, one column each).
+def _one_score(name):
+    @query(name, f"SELECT {name} FROM ({CONTRACT_SCORES_SQL})")
+    def run(t):
+        live, c = scenario(t)
+        return _round_scores(contract.contract_scores(live, c)).select(name)
+    return run
+
+
+schema_score = _one_score("schema_score")
+validity_score = _one_score("validity_score")
+row_integrity = _one_score("row_integrity")

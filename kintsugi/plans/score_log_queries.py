@@ -560,3 +560,10 @@ QUALIFY pos_from_end <= 3""")
 def last_n_per_session(t):
     return setops.last_n_per_group(fx.action_log(t), ["session_id"], ["ts", "event_id"], 3) \
         .select("session_id", "event_id", "action_type", "pos_from_end")
+
+
+@query("final_blend", "SELECT stage, final_score FROM (" + _join_stage_sql("inner", "INNER")
+       + "\nUNION ALL\n" + _join_stage_sql("left", "LEFT") + ")")
+def final_blend_query(t):
+    """Rubric blended with the value match (0.85 / 0.15), per join variant."""
+    return rubric_join(t).select("stage", "final_score")
