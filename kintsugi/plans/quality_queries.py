@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from kintsugi.operators import compare, contract, repair
 from kintsugi.plans.registry import query
 from kintsugi.plans.repair_queries import STRIP_SQL
-from kintsugi.session import materialize
+from kintsugi.session import materialize, row_counts
 from kintsugi.sources import fixtures as fx
 
 # ------------------------------------------------------------ scenario ----
@@ -36,13 +36,13 @@ def scenario(t):
     # contract passes and the counts read it several times
     live = {"orders": fx.orders_dirty(t), "sessions": materialize(fx.sessions_dirty(t)),
             "orders_dup": fx.orders_dup(t).filter(F.col("orderStatus") == "F")}
-    n_orders, n_sessions = _count(t["orders"]), _count(fx.sessions_clean(t))
+    n_orders, n_sessions, n_dirty, n_sdirty, n_dup = row_counts(
+        t["orders"], fx.sessions_clean(t), live["orders"], live["sessions"], fx.orders_dup(t))
     c = contract.Contract(
         schema=SCHEMA,
         expected_rows={"orders": n_orders, "sessions": n_sessions, "orders_dup": n_orders,
                        "user_summary": n_sessions},
-        initial_rows={"orders": _count(fx.orders_dirty(t)), "sessions": _count(fx.sessions_dirty(t)),
-                      "orders_dup": _count(fx.orders_dup(t))})
+        initial_rows={"orders": n_dirty, "sessions": n_sdirty, "orders_dup": n_dup})
     return live, c
 
 
