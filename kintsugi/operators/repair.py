@@ -355,6 +355,16 @@ def filter_predicate(df: DataFrame, column: str, op: str, value=None) -> Column:
 
 
 def filter_rows(df: DataFrame, column: str, op: str, value=None) -> DataFrame:
+    """Keep the rows where ``column op value`` holds.  For ``isin`` the
+    value may be a DataFrame (first column = allowed text values): the test
+    becomes a ``left_semi`` join on the stripped text, broadcast by AQE
+    only when the value set is measured small."""
+    if op == "isin" and isinstance(value, DataFrame):
+        _require(df, column)
+        allowed = value.select(F.col(value.columns[0]).cast("string").alias("__allowed")) \
+            .filter(F.col("__allowed").isNotNull()).distinct()
+        keyed = df.withColumn("__txt", _text_of(column, field_type(df, column)))
+        return keyed.join(allowed, keyed["__txt"] == allowed["__allowed"], "left_semi").drop("__txt")
     return df.filter(filter_predicate(df, column, op, value))
 
 

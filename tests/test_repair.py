@@ -103,3 +103,11 @@ def test_duplicate_count_float_edge_cases(spark):
     rep = repair.dedup_report(df).first()
     assert (rep.rows_before, rep.dropped) == (7, df.count() - df.dropDuplicates().count())
     assert rep.dropped == 3
+
+
+def test_isin_with_value_table(spark):
+    df = spark.createDataFrame([(1, " a "), (2, "b"), (3, None), (4, "c")], "k long, s string")
+    allowed = spark.createDataFrame([("a",), ("c",), (None,)], "v string")
+    got = sorted(r.k for r in repair.filter_rows(df, "s", "isin", allowed).collect())
+    assert got == sorted(r.k for r in repair.filter_rows(df, "s", "isin", ["a", "c"]).collect()) == [1, 4]
+    assert repair.filter_rows(df, "s", "isin", allowed).columns == ["k", "s"]
