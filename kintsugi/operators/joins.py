@@ -78,7 +78,19 @@ def safe_join(left: DataFrame, right: DataFrame, on, how: str = "inner", *,
     cast_keys = _needs_double(left, right, lk, rk)
     lkey_i = F.col(lmap[lk]).cast("double") if cast_keys else F.col(lmap[lk])
     rkey_i = F.col(rmap[rk]).cast("double") if cast_keys else F.col(rmap[rk])
-    joined = L.join(R, join_condition(lkey_i, rkey_i, null_keys), HOWS[how])
+    if HOWS[how] == "full":
+        # AQE splits skewed partitions for left/right/anti joins but not for
+        # full outer joins, so a full join is planned as a left outer join
+        # plus the right rows without a partner (anti join against the
+        # distinct left keys); both parts are skew-splittable
+        lj = L.join(R, join_condition(lkey_i, rkey_i, null_keys), "left")
+        lkeys = L.select(lkey_i.alias("__lk")).distinct()
+        orphans = R.join(lkeys, join_condition(rkey_i, F.col("__lk"), null_keys), "left_anti")
+        orphans = orphans.select(*[F.lit(None).cast(left.schema[c].dataType).alias(lmap[c])
+                                   for c in left.columns], *R.columns)
+        joined = lj.unionByName(orphans)
+    else:
+        joined = L.join(R, join_condition(lkey_i, rkey_i, null_keys), HOWS[how])
 
     out = []
     for c in left.columns:
