@@ -71,31 +71,44 @@ def null_safe_key(col: Column, dt: T.DataType) -> tuple[Column, Column]:
     return F.coalesce(col, default), col.isNull()
 
 
-def _keyed_cells(live: DataFrame, trusted: DataFrame, key: str, cols: list[str],
-                 order_by: list[str] | None, rtol: float, atol: float, how: str = "left"):
+def _picked_live(live: DataFrame, key: str, order_by: list[str] | None):
+    """One live row per null-safe key pair: the first in ``order_by``, with
+    the number of live rows of that key.  Partial aggregation keeps a hot
+    key to one candidate per partition."""
     lmap = {c: f"__a{i}" for i, c in enumerate(live.columns)}
-    tmap = {c: f"__t{i}" for i, c in enumerate(trusted.columns)}
     L = live.select(*[F.col(c).alias(lmap[c]) for c in live.columns])
     allc = [lmap[c] for c in live.columns]
     order = [lmap[o] for o in (order_by or [])] or allc
     lkc, lkn = null_safe_key(F.col(lmap[key]), live.schema[key].dataType)
-    # one live row per key: the first in ``order_by``; partial aggregation
-    # keeps a hot key to one candidate per partition
     picked = L.groupBy(lkc.alias("__kc"), lkn.alias("__kn")).agg(
         F.count(F.lit(1)).alias("__dups"),
         F.min_by(F.struct(*[F.col(c) for c in allc]), F.struct(*[F.col(o) for o in order]))
         .alias("__row"))
     picked = picked.select("__kc", "__kn", "__dups", *[F.col(f"__row.{c}").alias(c) for c in allc],
                            F.lit(True).alias("__present"))
-    tkc, tkn = null_safe_key(F.col(tmap[key]), trusted.schema[key].dataType)
+    return picked, lmap
+
+
+def _trusted_keyed(trusted: DataFrame, key: str):
+    tmap = {c: f"__t{i}" for i, c in enumerate(trusted.columns)}
+    tkc, tkn = null_safe_key(F.col(key), trusted.schema[key].dataType)
     Tt = trusted.select(*[F.col(c).alias(tmap[c]) for c in trusted.columns],
-                        tkc.alias("__tkc"), tkn.alias("__tkn"), F.lit(True).alias("__tpresent"))
-    joined = Tt.join(picked, (Tt["__tkc"] == picked["__kc"]) & (Tt["__tkn"] == picked["__kn"]), how)
-    present = F.coalesce(F.col("__present"), F.lit(False)) & \
-        F.coalesce(F.col("__tpresent"), F.lit(False))
+                        tkc.alias("__tkc"), tkn.alias("__tkn"))
+    return Tt, tmap
+
+
+def _keyed_cells(live: DataFrame, trusted: DataFrame, key: str, cols: list[str],
+                 order_by: list[str] | None, rtol: float, atol: float):
+    """Trusted rows left-joined with the picked live row of their key (a
+    left join: AQE can split a hot trusted key, NULL keys included)."""
+    picked, lmap = _picked_live(live, key, order_by)
+    Tt, tmap = _trusted_keyed(trusted, key)
+    joined = Tt.join(picked, (Tt["__tkc"] == picked["__kc"]) & (Tt["__tkn"] == picked["__kn"]),
+                     "left")
+    present = F.coalesce(F.col("__present"), F.lit(False))
     matches = [present & cell_match(tmap[c], trusted.schema[c].dataType,
                                     lmap[c], live.schema[c].dataType, rtol, atol) for c in cols]
-    return joined, matches, present
+    return joined, matches, present, picked, Tt
 
 
 def compare_keyed(live: DataFrame, trusted: DataFrame, key: str,
@@ -104,29 +117,43 @@ def compare_keyed(live: DataFrame, trusted: DataFrame, key: str,
     """One row: trusted_rows, live_rows, compared_columns, matched_cells,
     total_cells, missing_keys, extra_rows, duplicate_live_keys, score.
 
-    One grouping of the live side (dedup + per-key counts), one full join
-    with the trusted side on the null-safe key pair, one aggregate."""
+    The live side is grouped once (dedup + per-key counts).  Cells come from
+    a left join of the trusted rows; live keys absent from the trusted copy
+    from an anti join against its distinct keys.  Both one-row aggregates
+    sit in one plan (union, then sum), so the live grouping is computed once.
+    """
     if key not in live.columns or key not in trusted.columns:
         raise KeyError(f"key {key!r} must exist on both sides")
     cols = _common(live, trusted, columns)
     if not cols:
         raise ValueError("no common column to compare")
-    joined, matches, present = _keyed_cells(live, trusted, key, cols, order_by, rtol, atol,
-                                            how="full")
+    joined, matches, present, picked, Tt = _keyed_cells(live, trusted, key, cols, order_by,
+                                                        rtol, atol)
     cells = sum((m.cast("long") for m in matches), F.lit(0))
-    t_side = F.coalesce(F.col("__tpresent"), F.lit(False))
-    l_side = F.coalesce(F.col("__present"), F.lit(False))
-    agg = joined.agg(F.count_if(t_side).alias("trusted_rows"),
-                     F.coalesce(F.sum("__dups"), F.lit(0)).cast("long").alias("live_rows"),
-                     F.sum(cells).alias("matched_cells"),
-                     F.count_if(t_side & ~l_side).alias("missing_keys"),
-                     F.count_if(l_side & ~t_side).alias("extra_rows"),
-                     F.count_if(F.col("__dups") > 1).alias("duplicate_live_keys"))
+    zero = F.lit(0).cast("long")
+    names = ["trusted_rows", "live_rows", "matched_cells", "missing_keys", "extra_rows",
+             "duplicate_live_keys"]
+
+    def part(frame, **aggs):
+        return frame.agg(*[(aggs[c] if c in aggs else zero).cast("long").alias(c) for c in names])
+
+    # trusted side: rows, matching cells, keys without a live row
+    part_t = part(joined, trusted_rows=F.count(F.lit(1)), matched_cells=F.sum(cells),
+                  missing_keys=F.count_if(~present))
+    # live side, from its own grouping (one row per key)
+    part_l = part(picked, live_rows=F.sum("__dups"),
+                  duplicate_live_keys=F.count_if(F.col("__dups") > 1))
+    # live keys the trusted copy does not have
+    tkeys = Tt.select("__tkc", "__tkn").distinct()
+    extra = picked.join(tkeys, (picked["__kc"] == tkeys["__tkc"]) & (picked["__kn"] == tkeys["__tkn"]),
+                        "left_anti")
+    part_x = part(extra, extra_rows=F.count(F.lit(1)))
+    agg = part_t.unionByName(part_l).unionByName(part_x).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in names])
     n = len(cols)
     total = F.col("trusted_rows") * n
     return agg.select(
-        "trusted_rows", "live_rows", F.lit(n).alias("compared_columns"),
-        F.coalesce("matched_cells", F.lit(0)).cast("long").alias("matched_cells"),
+        "trusted_rows", "live_rows", F.lit(n).alias("compared_columns"), "matched_cells",
         total.cast("long").alias("total_cells"), "missing_keys", "extra_rows",
         "duplicate_live_keys",
         F.when(total > 0, F.round(F.col("matched_cells") / total, 4)).otherwise(F.lit(0.0))
@@ -138,7 +165,7 @@ def compare_columns(live: DataFrame, trusted: DataFrame, key: str,
                     rtol: float = 0.01, atol: float = 0.01) -> DataFrame:
     """Per-column breakdown ``(column_name, matched, total)`` of the keyed comparison."""
     cols = _common(live, trusted, columns)
-    joined, matches, _ = _keyed_cells(live, trusted, key, cols, order_by, rtol, atol)
+    joined, matches, _, _, _ = _keyed_cells(live, trusted, key, cols, order_by, rtol, atol)
     agg = joined.agg(F.count(F.lit(1)).alias("__n"),
                      *[F.count_if(m).alias(f"__m{i}") for i, m in enumerate(matches)])
     return agg.select(F.inline(F.array(*[

@@ -97,3 +97,12 @@ def test_numeric_tolerance_rule(spark):
     a = spark.createDataFrame([(1, 100.9), (2, 103.0), (3, 0.0)], "k long, v double")
     cols = {r.column_name: r.matched for r in compare.compare_columns(a, t, "k").collect()}
     assert cols["v"] == 1      # 100.9 within .01 + .01*100.9; 103 not; NULL vs 0 fails the null rule
+
+
+def test_compare_keyed_counts_with_duplicate_and_null_keys(spark):
+    trusted = spark.createDataFrame([(1, 1.0), (1, 1.0), (None, 5.0), (2, 2.0)], "k long, v double")
+    live = spark.createDataFrame([(1, 1.0), (1, 9.0), (None, 5.0), (3, 3.0), (3, 3.0)], "k long, v double")
+    r = compare.compare_keyed(live, trusted, "k", order_by=["v"]).first()
+    assert (r.trusted_rows, r.live_rows, r.missing_keys, r.extra_rows, r.duplicate_live_keys) == (4, 5, 1, 1, 2)
+    # key 1 (twice) and the NULL key match on both cells; key 2 has no live row
+    assert (r.matched_cells, r.total_cells, r.score) == (6, 8, 0.75)
