@@ -133,8 +133,22 @@ def segmented_scan(df: DataFrame, order_by: list[str | Column], specs: list[Scan
     if not groups:
         base = base.withColumn(_G0, F.lit(0))
         groups = [_G0]
+    # pandas reads NULL and NaN of a float column alike; Spark groups them
+    # apart, so float group keys carry an explicit NULL flag into the scan
+    local_groups = list(groups)
+    for i, g in enumerate(list(groups)):
+        if isinstance(base.schema[g].dataType, (T.FloatType, T.DoubleType)):
+            base = base.withColumn(f"__gnull{i}", F.col(g).isNull())
+            local_groups.append(f"__gnull{i}")
     keys = [F.col(g).asc_nulls_first() for g in groups] + [
         (F.col(o).asc_nulls_first() if isinstance(o, str) else o) for o in order_by]
+    # Arrow hands float columns to pandas with NaN and NULL alike and returns
+    # NaN as NULL: flag NaN per float column and restore it after the scan
+    floats = [f.name for f in base.schema.fields
+              if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    nan_flags = {c: f"__nan{i}" for i, c in enumerate(floats)}
+    for c, flag in nan_flags.items():
+        base = base.withColumn(flag, F.coalesce(F.isnan(c), F.lit(False)))
     # without an explicit count AQE coalesces adjacent range partitions to
     # its advisory size (order is kept), so P follows the data volume
     ranged = base.repartitionByRange(num_partitions, *keys) if num_partitions \
@@ -146,7 +160,12 @@ def segmented_scan(df: DataFrame, order_by: list[str | Column], specs: list[Scan
         list(ordered.schema.fields)
         + [T.StructField(s.out, _out_type(df, s), True) for s in specs]
         + [T.StructField(_LIX, T.LongType(), False)])
-    local = ordered.mapInPandas(_local_scan(groups, specs), out_schema)
+    local = ordered.mapInPandas(_local_scan(local_groups, specs), out_schema)
+    if nan_flags:
+        local = local.select(*[
+            F.when(F.col(nan_flags[c]), F.lit(float("nan")).cast(local.schema[c].dataType))
+             .otherwise(F.col(c)).alias(c) if c in nan_flags else F.col(c)
+            for c in local.columns])
     local = local.checkpoint(eager=True)
 
     gkey = F.struct(*[F.col(g) for g in groups])

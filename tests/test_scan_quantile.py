@@ -48,3 +48,18 @@ def test_exact_median_matches_sort(spark):
     # force several refinement passes with a tiny band
     assert order_statistics(df, "v", [0, n // 3, n - 1], band_limit=16, accuracy=50) == \
         [clean[0], clean[n // 3], clean[n - 1]]
+
+
+def test_float_group_keys_keep_null_and_nan_apart(spark):
+    rows = [(i, None if i % 2 else float("nan"), i) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, g double, o long")
+    got = segmented_scan(df, ["o"], [ScanSpec("rn", "count")], partition_by=["g"], num_partitions=3)
+    w = W.partitionBy("g").orderBy("o")
+    exp = df.select("id", F.row_number().over(w).alias("rn"))
+    assert sorted(map(tuple, got.select("id", "rn").collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_scan_keeps_nan_in_passthrough_columns(spark):
+    df = spark.createDataFrame([(1, float("nan")), (2, None), (3, 1.5)], "k long, x double")
+    got = {r.k: r.x for r in segmented_scan(df, ["k"], [ScanSpec("rn", "count")], num_partitions=2).collect()}
+    assert got[1] != got[1] and got[2] is None and got[3] == 1.5   # NaN stays NaN, NULL stays NULL
