@@ -11,6 +11,8 @@ needed ranks read with a bounded ``orderBy().offset().limit()``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kintsugi.functions.nulls import is_missing
@@ -28,38 +30,80 @@ def _band(values: DataFrame, lo, hi) -> DataFrame:
 
 def order_statistics(df: DataFrame, column: str, ranks: list[int], *,
                      accuracy: int = 10000, band_limit: int = 100000,
-                     max_passes: int = 12) -> list[float]:
-    """Values at 0-based ``ranks`` among the non-missing values, ascending."""
+                     max_passes: int = 40) -> list[float]:
+    """Values at 0-based ``ranks`` among the non-missing values, ascending.
+
+    Ranks close to each other (within half the band limit) are refined
+    together; distant ranks each get their own bracket, since one bracket
+    around far-apart ranks could not shrink."""
     dt = df.schema[column].dataType
     values = df.filter(~is_missing(column, dt)).select(F.col(column).cast("double").alias("v"))
+    out: dict[int, float] = {}
+    groups: list[list[int]] = []
+    for k in sorted(set(ranks)):
+        if groups and k - groups[-1][0] <= band_limit // 2:
+            groups[-1].append(k)
+        else:
+            groups.append([k])
+    for g in groups:
+        out.update(_refine(values, g, accuracy, band_limit, max_passes))
+    if any(k not in out for k in ranks):
+        raise RuntimeError("order statistics did not converge")
+    return [out[k] for k in ranks]
+
+
+def _refine(values: DataFrame, todo: list[int], accuracy: int, band_limit: int,
+            max_passes: int) -> dict[int, float]:
+    out: dict[int, float] = {}
     lo = hi = None
     below = 0            # values strictly under ``lo``
-    lo_k, hi_k = min(ranks), max(ranks)
     for _ in range(max_passes):
+        if not todo:
+            break
         band = _band(values, lo, hi)
         n_band = band.count()
-        r_lo, r_hi = lo_k - below, hi_k - below
+        rel = [k - below for k in todo]
         if n_band <= band_limit:
-            offset = r_lo
-            rows = band.orderBy("v").offset(offset).limit(r_hi - r_lo + 1).collect()
-            got = [r.v for r in rows]
-            return [got[k - lo_k] for k in ranks]
+            rows = band.orderBy("v").offset(rel[0]).limit(rel[-1] - rel[0] + 1).collect()
+            for k, r in zip(todo, rel):
+                out[k] = rows[r - rel[0]].v
+            break
         slack = 2.0 / accuracy
-        f_lo = max(0.0, r_lo / n_band - slack)
-        f_hi = min(1.0, r_hi / n_band + slack)
+        f_lo = max(0.0, rel[0] / n_band - slack)
+        f_hi = min(1.0, rel[-1] / n_band + slack)
         b = band.agg(F.percentile_approx("v", [f_lo, f_hi], accuracy).alias("q")).first().q
         new_lo, new_hi = float(b[0]), float(b[1])
         chk = band.agg(F.count_if(F.col("v") < new_lo).alias("under"),
-                       F.count_if(F.col("v") <= new_hi).alias("upto")).first()
-        if chk.under <= r_lo and chk.upto > r_hi:
-            if new_lo == lo and new_hi == hi:
-                band_limit = max(band_limit, n_band)  # ties only: read directly
-                continue
-            below += chk.under
-            lo, hi = new_lo, new_hi
-        else:
+                       F.count_if(F.col("v") <= new_hi).alias("upto"),
+                       F.count_if(F.col("v") == new_lo).alias("eq_lo"),
+                       F.count_if(F.col("v") == new_hi).alias("eq_hi")).first()
+        if not (chk.under <= rel[0] and chk.upto > rel[-1]):
             accuracy *= 10  # the sketch missed its bound: retry finer
-    raise RuntimeError("order statistics did not converge")
+            continue
+        below += chk.under
+        lo, hi = new_lo, new_hi
+        if lo == hi:                      # every value left in the band is this one
+            for k in todo:
+                out[k] = lo
+            break
+        # ranks inside the blocks of values equal to a bound are answered now;
+        # the rest continue on the open interval between the bounds, so heavy
+        # ties can never stall the refinement
+        n_in = chk.upto - chk.under
+        rest = []
+        for k in todo:
+            r = k - below
+            if r < chk.eq_lo:
+                out[k] = lo
+            elif r >= n_in - chk.eq_hi:
+                out[k] = hi
+            else:
+                rest.append(k)
+        if rest:
+            below += chk.eq_lo
+            lo, hi = math.nextafter(lo, math.inf), math.nextafter(hi, -math.inf)
+        todo = rest
+    return out
 
 
 def exact_median(df: DataFrame, column: str, **kw) -> float | None:

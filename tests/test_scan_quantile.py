@@ -63,3 +63,14 @@ def test_scan_keeps_nan_in_passthrough_columns(spark):
     df = spark.createDataFrame([(1, float("nan")), (2, None), (3, 1.5)], "k long, x double")
     got = {r.k: r.x for r in segmented_scan(df, ["k"], [ScanSpec("rn", "count")], num_partitions=2).collect()}
     assert got[1] != got[1] and got[2] is None and got[3] == 1.5   # NaN stays NaN, NULL stays NULL
+
+
+def test_order_statistics_with_heavy_ties(spark):
+    # a third of the values share one number: bounds stop shrinking on ties
+    vals = [7.0] * 700 + [float(i) for i in range(1400)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    clean = sorted(vals)
+    ks = [0, 500, 1049, 1050, 1400, 2099]
+    assert order_statistics(df, "v", ks, band_limit=8, accuracy=20) == [clean[k] for k in ks]
+    same = spark.createDataFrame([(3.0,)] * 500, "v double")
+    assert order_statistics(same, "v", [0, 250, 499], band_limit=8, accuracy=20) == [3.0, 3.0, 3.0]
