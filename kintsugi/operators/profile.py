@@ -68,9 +68,15 @@ def inspect_column(df: DataFrame, column: str, order_by: list[str] | None = None
     distinct = F.count_distinct(val) if exact_distinct else F.approx_count_distinct(val)
     present = df.filter(~miss)
     if order_by:
-        present = present.orderBy(*order_by)
-    sample = present.limit(n_samples).agg(
-        F.collect_list(F.col(column).cast("string")).alias("s")).select("s").scalar()
+        # top-n by the order, then an explicit sort of the n collected
+        # values: collect_list itself promises no order
+        first = present.orderBy(*order_by).limit(n_samples)
+        sample = first.agg(F.array_sort(F.collect_list(F.struct(
+            *[F.col(o) for o in order_by], F.col(column).cast("string").alias("__v"))))
+            .alias("s")).select(F.transform("s", lambda x: x["__v"])).scalar()
+    else:
+        sample = present.limit(n_samples).agg(
+            F.collect_list(F.col(column).cast("string")).alias("s")).select("s").scalar()
     aggs = [F.count_if(miss).alias("null_count"), distinct.alias("unique_count")]
     numeric = family(dt) in ("number", "bool")
     if numeric:
