@@ -35,7 +35,8 @@ _PID, _LIX, _G0 = "__pid", "__lix", "__g0"
 @dataclass(frozen=True)
 class ScanSpec:
     """``kind`` is ``count`` (1-based row number), ``sum`` (running sum,
-    NULL counted as 0) or ``last`` (last non-NULL value so far: forward fill)."""
+    NULL counted as 0), ``last`` (last non-NULL value so far: forward fill)
+    or ``prev`` (the previous row's value in the group: lag 1)."""
 
     out: str
     kind: str
@@ -50,7 +51,7 @@ def _out_type(df: DataFrame, spec: ScanSpec) -> T.DataType:
         if isinstance(src_t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
             return T.LongType()
         return T.DoubleType()
-    if spec.kind == "last":
+    if spec.kind in ("last", "prev"):
         return src_t
     raise ValueError(f"unknown scan kind {spec.kind!r}")
 
@@ -100,6 +101,15 @@ def _local_scan(groups: list[str], specs: list[ScanSpec]):
                     if first_seg_continues:
                         v = v + np.where(in_first, carry[s.out], 0.0)
                     out[s.out] = v
+                elif s.kind == "prev":
+                    v = out[s.src].groupby(seg).shift(1)
+                    if first_seg_continues:
+                        v = v.astype(object)
+                        v.iloc[0] = carry[s.out]
+                    out[s.out] = v
+                    last_src = out[s.src].iloc[-1]
+                    carry[s.out] = None if pd.isna(last_src) else last_src
+                    continue
                 else:  # last
                     v = out[s.src].groupby(seg).ffill()
                     if first_seg_continues and carry[s.out] is not None:
@@ -172,14 +182,18 @@ def segmented_scan(df: DataFrame, order_by: list[str | Column], specs: list[Scan
     summary = local.groupBy(_PID).agg(
         F.min_by(gkey, F.col(_LIX)).alias("__first_g"),
         F.max_by(gkey, F.col(_LIX)).alias("__last_g"),
-        *[F.max_by(F.col(s.out), F.col(_LIX)).alias(f"__part_{s.out}") for s in specs])
+        *[F.max_by(F.col(s.src if s.kind == "prev" else s.out), F.col(_LIX))
+          .alias(f"__part_{s.out}") for s in specs])
     by_group = Window.partitionBy("__last_g").orderBy(_PID).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     by_pid = Window.orderBy(_PID)  # over P summary rows only
     cums = []
     for s in specs:
         part = F.col(f"__part_{s.out}")
-        cum = (F.last(part, ignorenulls=True) if s.kind == "last" else F.sum(part)).over(by_group)
+        if s.kind == "prev":
+            cum = part          # the last row of the previous partition, not a running value
+        else:
+            cum = (F.last(part, ignorenulls=True) if s.kind == "last" else F.sum(part)).over(by_group)
         cums.append(cum.alias(f"__cum_{s.out}"))
     summary = summary.select(_PID, "__first_g", "__last_g", *cums)
     cont = F.lag("__last_g").over(by_pid).eqNullSafe(F.col("__first_g"))
@@ -196,7 +210,9 @@ def segmented_scan(df: DataFrame, order_by: list[str | Column], specs: list[Scan
     for s in specs:
         c_in = F.col(f"__carry_{s.out}")
         loc = F.col(s.out)
-        if s.kind == "last":
+        if s.kind == "prev":
+            val = F.when(in_first & (F.col(_LIX) == 0), c_in).otherwise(loc)
+        elif s.kind == "last":
             val = F.when(in_first & loc.isNull(), c_in).otherwise(loc)
         else:
             val = F.when(in_first & c_in.isNotNull(), loc + c_in).otherwise(loc)
@@ -208,3 +224,23 @@ def with_ordinal(df: DataFrame, order_by: list[str | Column], name: str = "ordin
                  partition_by: list[str] | None = None) -> DataFrame:
     """1-based position of each row in ``order_by`` (within ``partition_by``)."""
     return segmented_scan(df, order_by, [ScanSpec(name, "count")], partition_by)
+
+
+def sessionize(df: DataFrame, key: str, ts: str, gap: str, tiebreak: list[str] | None = None,
+               name: str = "session_no") -> DataFrame:
+    """Number the sessions of each ``key``: a new session starts when the
+    time since the key's previous event is at least ``gap`` (an interval
+    such as ``"30 minutes"``), the rule of Spark's ``session_window``.
+
+    Two segmented scans (previous timestamp, then a running count of
+    session starts), so one key holding a third of all events is still
+    spread over many tasks; ``session_window`` merges a key's sessions in
+    one task.
+    """
+    order = [ts, *(tiebreak or [])]
+    x = segmented_scan(df, order, [ScanSpec("__prev_ts", "prev", ts)], partition_by=[key])
+    gap_iv = F.expr(f"INTERVAL {gap}")
+    t, p = F.col(ts).cast("timestamp"), F.col("__prev_ts").cast("timestamp")
+    x = x.withColumn("__start", (p.isNull() | ((t - p) >= gap_iv)).cast("long")).drop("__prev_ts")
+    x = segmented_scan(x, order, [ScanSpec(name, "sum", "__start")], partition_by=[key])
+    return x

@@ -74,3 +74,15 @@ def test_order_statistics_with_heavy_ties(spark):
     assert order_statistics(df, "v", ks, band_limit=8, accuracy=20) == [clean[k] for k in ks]
     same = spark.createDataFrame([(3.0,)] * 500, "v double")
     assert order_statistics(same, "v", [0, 250, 499], band_limit=8, accuracy=20) == [3.0, 3.0, 3.0]
+
+
+def test_prev_equals_lag(spark):
+    rng = random.Random(11)
+    rows = [(i, 0 if i % 3 == 0 else rng.randint(1, 9), rng.randint(0, 300)) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, g long, o long") \
+        .withColumn("ts", F.timestamp_seconds(F.col("o") * 60).cast("timestamp_ntz"))
+    got = segmented_scan(df, ["o", "id"], [ScanSpec("p", "prev", "ts"), ScanSpec("po", "prev", "o")],
+                         partition_by=["g"], num_partitions=6)
+    w = W.partitionBy("g").orderBy("o", "id")
+    exp = df.select("id", F.lag("ts").over(w).alias("p"), F.lag("o").over(w).alias("po"))
+    assert sorted(map(tuple, got.select("id", "p", "po").collect())) == sorted(map(tuple, exp.collect()))
