@@ -4,16 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kintsugi.llm import langid, quality, urlfilter
+from kintsugi.llm import bpe, html, langid, quality, urlfilter
+
+
+def vocabulary_path() -> str:
+    """The vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def token_digests() -> list[Column]:
+    """Number and digest of the token ids in ``ids``."""
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return [F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256")]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokenizer = bpe.Tokenizer(spark, vocabulary_path(), bpe.frequent_words(docs))
+    coded = tokenizer.decode(tokenizer.encode(docs))
+    return coded.select("doc_id", *token_digests(), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "text")
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs.where(langid.fold() != 2))
@@ -32,6 +55,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op5_html": op5_html,
     "op8_langid": op8_langid,
     "op9_urlfilter": op9_urlfilter,
     "op10_quality": op10_quality,
