@@ -41,6 +41,43 @@ def text_groups(texts: list[str], size: int = PIECE) -> Iterator[tuple[int, list
         yield first, group
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_MIX = np.uint64(0xD6E8FEB86659FD93)
+_BLANK = np.zeros(33, bool)
+_BLANK[[32, *range(9, 14)]] = True
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """64-bit hashes with their bits spread."""
+    h = (h ^ (h >> np.uint64(32))) * _MIX
+    return h ^ (h >> np.uint64(29))
+
+
+def _powers(n: int) -> np.ndarray:
+    out = np.full(max(n, 1), _BASE, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_hashes(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of several texts (see ``WORD_PATTERN``): their 64-bit polynomial
+    hashes, their lengths, and the number of the first word of each text (and the end)."""
+    inside = ~_BLANK[np.minimum(codes, 32)] | (codes > 32)
+    in_word = np.concatenate(([False], inside, [False]))
+    cut = np.zeros(len(codes) + 1, bool)
+    cut[offsets] = True
+    begins = np.flatnonzero(inside & (~in_word[:-2] | cut[:-1]))
+    ends = np.flatnonzero(inside & (~in_word[2:] | cut[1:])) + 1
+    length = ends - begins
+    first_word = np.searchsorted(begins, offsets)
+    if not len(begins):
+        return np.zeros(0, np.uint64), length, first_word
+    position = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    weighed = (codes[inside].astype(np.uint64) + np.uint64(1)) * _powers(int(length.max()))[position]
+    words = mixed(np.add.reduceat(weighed, np.cumsum(length) - length))
+    return words + mixed(length.astype(np.uint64)), length, first_word
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder, read from ``spark.checkpoint.dir``."""
     from kintsugi.session import checkpoint_dir
@@ -52,3 +89,23 @@ def stored(df: DataFrame) -> DataFrame:
     instead of repeating its work and survive lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def connected(edges: DataFrame) -> DataFrame:
+    """(node, label) for every node of ``edges`` (columns a, b): the label is the
+    smallest node that can be reached.  Labels spread along edges and jump to the
+    label of their label, so the rounds grow with the logarithm of a chain's length."""
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")) \
+        .withColumn("label", F.least("node", "label"))
+    while True:
+        labels = stored(labels)
+        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b") \
+            .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        spread = labels.join(near, "node").select("node", F.col("label").alias("before"),
+                                                   F.least("label", "near").alias("label"))
+        to = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        moved = stored(spread.join(to, "label").select("node", "before", F.least("label", "further").alias("label")))
+        if not moved.where("label <> before").limit(1).count():
+            return moved.select("node", "label")
+        labels = moved.select("node", "label")

@@ -22,36 +22,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import code_points, text_groups, text_of
+from kintsugi.llm.common import code_points, mixed, text_groups, text_of, word_hashes
 
 #: Largest share of word characters inside n-grams seen before in the text.
 NGRAM_SHARES = {5: 0.15, 7: 0.13, 10: 0.10}
 #: Largest share of characters in lines seen before in the text.
 LINE_SHARE = 0.20
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
-_MIX = np.uint64(0xD6E8FEB86659FD93)
+_DOC = np.uint64(0x9E3779B97F4A7C15)
 
 COLUMNS = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long",
            "n_repeat_words": "long", "base_failed": "boolean", "kept": "boolean",
            "dup_line_share": "double"} | {f"dup_{n}gram_share": "double" for n in NGRAM_SHARES}
 
-_SEPARATOR, _SYMBOL = 1, 2
-_KIND = np.zeros(129, np.uint8)
-_KIND[[32, *range(9, 14)]] = _SEPARATOR
-_KIND[[ord(c) for c in "#*$%&|<>"]] = _SYMBOL
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * _MIX
-    return h ^ (h >> np.uint64(29))
-
-
-def _powers(n: int) -> np.ndarray:
-    out = np.full(max(n, 1), _BASE, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+_SYMBOLS = np.zeros(129, bool)
+_SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
 
 def _seen(keys: np.ndarray, first_too: bool) -> np.ndarray:
@@ -78,28 +64,9 @@ def measure(texts: list[str]) -> dict[str, np.ndarray]:
     """The columns of ``COLUMNS`` for each text."""
     codes, offsets = code_points(texts)
     n_docs = len(texts)
-    kind = _KIND[np.minimum(codes, 128)]
-    symbols = np.concatenate(([0], np.cumsum(kind == _SYMBOL)))
-    in_word = np.concatenate(([False], kind != _SEPARATOR, [False]))
-    cut = np.zeros(len(codes) + 1, bool)
-    cut[offsets] = True
-    begins = np.flatnonzero(in_word[1:] & (~in_word[:-1] | cut))
-    begins = begins[begins < len(codes)]
-    ends = np.flatnonzero(in_word[1:-1] & (~in_word[2:] | cut[1:])) + 1
-    length = ends - begins
-    doc = np.searchsorted(offsets, begins, side="right") - 1
-    first_word = np.searchsorted(begins, offsets)
-
-    if len(begins):
-        position = np.zeros(len(codes), np.int64)
-        inside = in_word[1:-1]
-        position[inside] = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-        weighed = np.where(inside, (codes.astype(np.uint64) + np.uint64(1)) * _powers(int(length.max()))[position], np.uint64(0))
-        words = _mixed(np.add.reduceat(weighed, begins))
-        words += _mixed(length.astype(np.uint64))
-    else:
-        words = np.zeros(0, np.uint64)
-
+    symbols = np.concatenate(([0], np.cumsum(_SYMBOLS[np.minimum(codes, 128)])))
+    words, length, first_word = word_hashes(codes, offsets)
+    doc = np.repeat(np.arange(n_docs), np.diff(first_word))
     n_words = np.diff(first_word)
     upto = np.concatenate(([0], np.cumsum(length)))
     word_chars = upto[first_word[1:]] - upto[first_word[:-1]]
@@ -113,7 +80,7 @@ def measure(texts: list[str]) -> dict[str, np.ndarray]:
         whole = doc[:m] == doc[n - 1:n - 1 + m]
         at = np.flatnonzero(whole)
         hits = np.zeros(m, bool)
-        hits[at] = _seen(_mixed(h[at] + doc[at].astype(np.uint64) * _BASE), first_too)
+        hits[at] = _seen(mixed(h[at] + doc[at].astype(np.uint64) * _DOC), first_too)
         return _covered(hits, n, len(words))
 
     def per_doc(marked: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kintsugi.llm import bpe, html, langid, quality, urlfilter
+from kintsugi.llm import bpe, html, jaccard, langid, quality, urlfilter
 
 
 def vocabulary_path() -> str:
@@ -33,6 +33,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", *token_digests(), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(_table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "text")
 
@@ -56,6 +60,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_jaccard": op3_jaccard,
     "op5_html": op5_html,
     "op8_langid": op8_langid,
     "op9_urlfilter": op9_urlfilter,
