@@ -91,6 +91,24 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bit_table(keys: DataFrame, bits: int) -> np.ndarray:
+    """A table of 2^bits bits (as bytes) with the low bits of all keys (column k)
+    set.  Spark packs the bits, so at most 2^bits / 64 rows reach the driver,
+    whatever the number of keys; a full table only stops filtering."""
+    words = keys.select(F.col("k").bitwiseAND((1 << bits) - 1).alias("slot")) \
+        .select(F.expr("slot div 64").alias("word"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bit")) \
+        .groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    table = np.zeros((1 << bits) // 64, np.int64)
+    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return table.view(np.uint8)
+
+
+def in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the low bits of each key are set in a :func:`bit_table`."""
+    slot = keys & (len(table) * 8 - 1)
+    return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of ``edges`` (columns a, b): the label is the
     smallest node that can be reached.  Labels spread along edges and jump to the

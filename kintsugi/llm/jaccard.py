@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import code_points, connected, mixed, stored, text_groups, text_of, word_hashes
+from kintsugi.llm.common import bit_table, code_points, connected, in_table, mixed, stored, text_groups, text_of, word_hashes
 
 WIDTH = 5
 #: Similarity, in percent of the union.
 PERCENT = 75
 #: Slots (2^bits) of the table of counts and of the filter for classes.
 SLOT_BITS = 18
-FILTER_BITS = 20
+FILTER_BITS = 24
 #: Fragments of the order: 2^bits for rare and as many for frequent shingles.
 FRAGMENT_BITS = 2
 
@@ -165,7 +165,7 @@ def _segments(texts: DataFrame, wanted, frequent, bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for token, offsets, keys in _batches(batches):
-            asked = wanted.value[keys & ((1 << FILTER_BITS) - 1)]
+            asked = in_table(wanted.value, keys)
             if not asked.any():
                 continue
             token, late, _, doc = _ranked(token, offsets, frequent.value, bits)
@@ -181,15 +181,6 @@ def _segments(texts: DataFrame, wanted, frequent, bits: int) -> DataFrame:
         .groupBy("k", "fragment").agg(F.first("tokens").alias("tokens"))
 
 
-def _key_filter(spark, keys: DataFrame) -> object:
-    """A broadcast bit table of the low bits of the keys; it lets through all
-    given keys and, by chance, others."""
-    slots = keys.select(F.col("k").bitwiseAND((1 << FILTER_BITS) - 1).alias("slot")).distinct().toPandas()
-    table = np.zeros(1 << FILTER_BITS, bool)
-    table[slots["slot"].to_numpy(np.int64)] = True
-    return spark.sparkContext.broadcast(table)
-
-
 def _links(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, na, nb) whose overlap, counted per fragment and summed, is large enough."""
     left = segments.select(F.col("k").alias("a"), "fragment", F.col("tokens").alias("left"))
@@ -211,7 +202,7 @@ def linked_classes(texts: DataFrame, percent: int = PERCENT, slot_bits: int = SL
     heads = members.where("k = a").select("token", F.col("n").alias("na"))
     stars = members.where("k <> a").join(heads, "token") \
         .select("a", F.col("k").alias("b"), "na", F.col("n").alias("nb")).where(fits).distinct()
-    wanted = _key_filter(spark, members)
+    wanted = spark.sparkContext.broadcast(bit_table(members, FILTER_BITS))
     segments = stored(_segments(texts, wanted, frequent, slot_bits))
     found = stored(_links(stars, segments, percent))
     labels = connected(found)

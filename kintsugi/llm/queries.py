@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kintsugi.llm import bpe, html, jaccard, langid, quality, urlfilter
+from kintsugi.llm import bpe, html, jaccard, langid, linededup, quality, urlfilter
 
 
 def vocabulary_path() -> str:
@@ -41,6 +41,11 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(_table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "text")
 
 
+def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = linededup.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs.where(langid.fold() != 2))
@@ -62,11 +67,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_jaccard": op3_jaccard,
     "op5_html": op5_html,
+    "op7_linededup": op7_linededup,
     "op8_langid": op8_langid,
     "op9_urlfilter": op9_urlfilter,
     "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {
+    "op7_linededup": linededup.dedup_sql(),
     "op9_urlfilter": urlfilter.judge_sql(),
 }
