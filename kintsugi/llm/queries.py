@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kintsugi.llm import bpe, html, jaccard, langid, linededup, quality, urlfilter
+from kintsugi.llm import bpe, decontam, html, jaccard, langid, linededup, quality, urlfilter
 
 
 def vocabulary_path() -> str:
@@ -37,6 +37,11 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "place", "n_words", "edits")
+
+
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(_table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "text")
 
@@ -66,6 +71,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_jaccard": op3_jaccard,
+    "op4_decontam": op4_decontam,
     "op5_html": op5_html,
     "op7_linededup": op7_linededup,
     "op8_langid": op8_langid,
