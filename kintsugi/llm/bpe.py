@@ -191,9 +191,11 @@ class Encoder:
         self.memo: dict[bytes, bytes] = {}
 
     def _learn(self, pieces: set[bytes]) -> None:
-        if len(self.memo) + len(pieces) > MEMO:
+        """Puts the ids of the pieces into the memo, which starts afresh when it is full."""
+        todo = list(pieces.difference(self.memo))
+        if len(self.memo) + len(todo) > MEMO:
             self.memo.clear()
-        todo = list(pieces)
+            todo = list(pieces)
         for piece, ids in zip(todo, self.lexicon.lookup(todo), strict=True):
             if ids is None:
                 ids = np.array(self.vocabulary.merge(piece), np.int32)
@@ -220,13 +222,7 @@ class Encoder:
             data = "".join(plain).encode()
             cuts = at[np.append(starts, len(codes))].tolist()
             pieces = [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-            new = set(pieces).difference(self.memo)
-            if new:
-                self._learn(new)
-                if len(new) < len(self.memo):  # some may have been forgotten meanwhile
-                    again = set(pieces).difference(self.memo)
-                    if again:
-                        self._learn(again)
+            self._learn(set(pieces))
             memo = self.memo
             ids = [memo[p] for p in pieces]
             bounds = np.searchsorted(starts, offsets).tolist()

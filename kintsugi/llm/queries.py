@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kintsugi.llm import bpe, decontam, html, jaccard, langid, linededup, quality, urlfilter
+from kintsugi.llm import bpe, decontam, html, jaccard, langid, linededup, quality, substrings, urlfilter
 
 
 def vocabulary_path() -> str:
@@ -46,6 +46,11 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(_table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "text")
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = substrings.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = linededup.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard": op3_jaccard,
     "op4_decontam": op4_decontam,
     "op5_html": op5_html,
+    "op6_substrings": op6_substrings,
     "op7_linededup": op7_linededup,
     "op8_langid": op8_langid,
     "op9_urlfilter": op9_urlfilter,
