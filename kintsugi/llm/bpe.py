@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import code_points, text_groups, text_of
+from kintsugi.llm.common import code_points, stored, text_groups, text_of
 from kintsugi.llm.transducer import Transducer, compile_transducer
 
 #: Distinct pieces whose ids a Python worker keeps at hand.
@@ -245,12 +245,21 @@ def _around(text: str, token: str) -> list[str]:
     return [x for x in out[:-1] if x]
 
 
-def frequent_words(df: DataFrame, text_col: str = "text", size: int = 50_000) -> list[str]:
-    """The ``size`` most frequent letter words of the whole corpus, each with the blank before it."""
+def frequent_words(df: DataFrame, text_col: str = "text", size: int = 50_000, least: int = 16) -> list[str]:
+    """At most ``size`` letter words of the whole corpus, each with the blank before it: those that
+    occur at least ``least`` times, from the count on (in steps of a hundredth) at which they are few enough."""
     words = df.select(F.explode(F.regexp_extract_all(F.col(text_col).cast("string"), F.lit(r"( ?\p{L}+)"), F.lit(1))).alias("word"))
-    top = (words.where("length(word) <= 64").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-           .orderBy(F.desc("n"), "word").limit(size))
-    return [r["word"] for r in top.select("word").collect()]
+    counted = stored(words.where("length(word) <= 64").groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+                     .withColumn("step", F.floor(F.log(1.01, F.col("n").cast("double")))))
+    taken, lowest = 0, None
+    for r in sorted(counted.groupBy("step").count().collect(), reverse=True):
+        taken += r["count"]
+        if taken > size:
+            break
+        lowest = r["step"]
+    if lowest is None:
+        return []
+    return sorted(r["word"] for r in counted.where(F.col("step") >= lowest).select("word").collect())
 
 
 def compile_lexicon(vocabulary: Vocabulary, words: list[str]) -> bytes:
@@ -306,6 +315,7 @@ class Tokenizer:
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             encoder = _encoder(key, shared)
             for batch in batches:
-                yield pa.array([encoder.decode(ids) for ids in batch.to_pylist()], pa.string())
+                values, ends = batch.values.to_numpy(), batch.offsets.to_numpy()
+                yield pa.array([encoder.decode(values[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
 
         return df.withColumn("decoded", run(F.coalesce(F.col(ids_col), F.array().cast("array<int>"))))

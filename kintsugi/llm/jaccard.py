@@ -4,13 +4,13 @@ Every text becomes the set of its distinct 5-word shingles (64-bit hashes).
 Texts with equal sets form one class; only classes are compared.  The global
 order puts rare shingles first: a fixed-size table of counts over the whole
 corpus marks slots that hold frequent shingles, and shingles are ordered by
-(frequent, hash).  Two sets that are similar enough share a shingle among the
-first ``n - ceil(t n) + 1`` of each, so classes meet in the buckets of those.
+(frequent, hash).  Two sets with an overlap of c share SHARED shingles among the
+first ``n - c + SHARED`` of each, so classes meet in the buckets of those.
 
-Within a bucket each class is first compared with the bucket's smallest class
-only, which joins dense groups with as many comparisons as members.  Then the
-pairs of a bucket that are still in different components are compared, so no
-link between different texts that could join two components is missed.
+Each class is first compared with one hub only, which joins dense groups with as
+many comparisons as members.  Then all pairs that share enough of their first
+shingles and are still in different components are compared, so no link between
+different texts that could join two components is missed.
 
 A comparison cuts the global order into fragments: each pair's overlap is
 counted fragment by fragment, as separate rows, and summed per pair.
@@ -42,6 +42,8 @@ SLOT_BITS = 18
 FILTER_BITS = 24
 #: Fragments of the order: 2^bits for rare and as many for frequent shingles.
 FRAGMENT_BITS = 2
+#: First shingles that a pair must have in common to be compared.
+SHARED = 3
 
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 _LOWER = np.arange(128, dtype=np.uint32)
@@ -145,23 +147,23 @@ def _ranked(token: np.ndarray, offsets: np.ndarray, frequent: np.ndarray, bits:
 
 
 def _prefixes(texts: DataFrame, frequent, percent: int, bits: int) -> DataFrame:
-    """(token, k, n) for the first shingles of each set in the global order."""
+    """(token, k, n, place) for the first shingles of each set in the global order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for token, offsets, keys in _batches(batches):
             token, _, place, doc = _ranked(token, offsets, frequent.value, bits)
             size = np.diff(offsets)
-            first = size - -(-size * percent // 100) + 1
+            first = np.minimum(size, size - -(-size * percent // 100) + SHARED)
             keep = place < first[doc]
             doc = doc[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(keys[doc]), pa.array(size[doc])],
-                                             names=["token", "k", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(keys[doc]), pa.array(size[doc]), pa.array(place[keep])],
+                                             names=["token", "k", "n", "place"])
 
-    return texts.mapInArrow(run, "token long, k long, n long")
+    return texts.mapInArrow(run, "token long, k long, n long, place long")
 
 
 def _segments(texts: DataFrame, wanted, frequent, bits: int) -> DataFrame:
-    """(k, fragment, tokens) of the sets whose key is in the filter."""
+    """(k, fragment, tokens) of the sets whose key is in the filter, each set in one partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for token, offsets, keys in _batches(batches):
@@ -178,14 +180,16 @@ def _segments(texts: DataFrame, wanted, frequent, bits: int) -> DataFrame:
                                              names=["k", "fragment", "tokens"])
 
     return texts.mapInArrow(run, "k long, fragment long, tokens array<long>") \
-        .groupBy("k", "fragment").agg(F.first("tokens").alias("tokens"))
+        .repartition("k").dropDuplicates(["k", "fragment"])
 
 
-def _links(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, frequent, bits: int, percent: int) -> DataFrame:
     """The pairs (a, b, na, nb) whose overlap, counted per fragment and summed, is large enough."""
+    wanted = bit_table(pairs.select(F.explode(F.array("a", "b")).alias("k")), FILTER_BITS)
+    segments = _segments(texts, texts.sparkSession.sparkContext.broadcast(wanted), frequent, bits)
     left = segments.select(F.col("k").alias("a"), "fragment", F.col("tokens").alias("left"))
-    right = segments.select(F.col("k").alias("b"), "fragment", F.col("tokens").alias("right"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]) \
+    right = segments.select(F.col("k").alias("b"), F.col("fragment").alias("f"), F.col("tokens").alias("right"))
+    partial = pairs.join(left, "a").join(right, "b").where("fragment = f") \
         .select("a", "b", "na", "nb", F.size(F.array_intersect("left", "right")).alias("overlap"))
     return partial.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap")) \
         .where(F.expr(f"100 * overlap >= {percent} * (na + nb - overlap)")).select("a", "b")
@@ -196,31 +200,61 @@ def linked_classes(texts: DataFrame, percent: int = PERCENT, slot_bits: int = SL
     spark = texts.sparkSession
     frequent = spark.sparkContext.broadcast(_frequent_slots(texts, slot_bits))
     buckets = _prefixes(texts, frequent, percent, slot_bits).repartition("token")
-    shared = buckets.groupBy("token").agg(F.min("k").alias("a"), F.max("k").alias("z")).where("a <> z")
-    members = stored(buckets.join(shared.select("token", "a"), "token").distinct())
-    fits = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
-    heads = members.where("k = a").select("token", F.col("n").alias("na"))
-    stars = members.where("k <> a").join(heads, "token") \
-        .select("a", F.col("k").alias("b"), "na", F.col("n").alias("nb")).where(fits).distinct()
-    wanted = spark.sparkContext.broadcast(bit_table(members, FILTER_BITS))
-    segments = stored(_segments(texts, wanted, frequent, slot_bits))
-    found = stored(_links(stars, segments, percent))
+    shared = buckets.groupBy("token").agg(F.min("k").alias("a"), F.max(F.struct("k", "n", "place")).alias("z")).where("a <> z.k")
+    members = stored(buckets.join(shared.select("token"), "token").distinct())
+    shares = members.groupBy("k", "n").agg((F.count(F.lit(1)) / F.col("n")).alias("hub"))
+    members = stored(members.select("token", "k", "place").join(shares, "k"))
+    alone = shares.select(F.col("k").alias("node"), F.col("k").alias("label"))
+    stars = stored(_stars(members, alone, percent))
+    found = stored(_links(stars, texts, frequent, slot_bits, percent))
     labels = connected(found)
-
-    mine = members.join(labels.withColumnRenamed("node", "k"), "k", "left") \
-        .select("token", "k", "n", "a", F.coalesce("label", "k").alias("label"))
-    split = mine.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    open_ = stored(mine.join(split.select("token"), "token"))
-    one = open_.select("token", F.col("k").alias("p"), F.col("n").alias("na"), F.col("label").alias("la"), "a")
-    two = open_.select("token", F.col("k").alias("q"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    rest = one.join(two, "token").where("p < q and la <> lb and p <> a").where(fits) \
-        .select(F.col("p").alias("a"), F.col("q").alias("b"), "na", "nb").distinct()
-    more = stored(_links(rest, segments, percent))
+    rest = stored(_open_pairs(members, labels, percent).join(stars.select("a", "b"), ["a", "b"], "left_anti"))
+    more = stored(_links(rest, texts, frequent, slot_bits, percent))
     if not more.limit(1).count():
         return labels
     return connected(found.union(more))
 
 
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members with their labels, in buckets that hold several."""
+    mine = members.join(labels.withColumnRenamed("node", "k"), "k", "left") \
+        .withColumn("label", F.coalesce("label", "k"))
+    split = mine.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    return mine.join(split.select("token"), "token")
+
+
+def _stars(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """For each set the hub of another component that heads most of its buckets: (a, b, na, nb).
+    A bucket's hub is the set with the largest share of its shingles in shared buckets, which the
+    middle of a group of near copies has."""
+    open_ = _open(members, labels)
+    best = open_.groupBy("token", "label").agg(F.max(F.struct("hub", "k", "n")).alias("h"))
+    one = best.groupBy("token").agg(F.max(F.struct("h", "label")).alias("one"))
+    two = best.join(one, "token").where("label <> one.label").groupBy("token", "one").agg(F.max("h").alias("two"))
+    met = open_.join(two, "token").withColumn("h", F.when(F.col("label") == F.col("one.label"), F.col("two")).otherwise(F.col("one.h")))
+    counted = met.groupBy("k", "n", "h").agg(F.count(F.lit(1)).alias("n_shared")) \
+        .groupBy("k", "n").agg(F.max(F.struct("n_shared", "h")).alias("best"))
+    low = F.col("k") < F.col("best.h.k")
+    pairs = counted.select(F.least("k", "best.h.k").alias("a"), F.greatest("k", "best.h.k").alias("b"),
+                           F.when(low, F.col("n")).otherwise(F.col("best.h.n")).alias("na"),
+                           F.when(low, F.col("best.h.n")).otherwise(F.col("n")).alias("nb"))
+    return pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").distinct()
+
+
+def _open_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b, na, nb) of different components that share enough of their first shingles: sets with
+    an overlap of c share ``SHARED`` of their first n - c + SHARED shingles (or all c of them)."""
+    open_ = stored(_open(members, labels))
+    one = open_.select("token", F.col("k").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("label").alias("la"))
+    two = open_.select("token", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"))
+    overlap = f"ceil({percent} * (na + nb) / {100 + percent}.0)"
+    near = (f"a < b and la <> lb and 100 * least(na, nb) >= {percent} * greatest(na, nb) "
+            f"and pa < na - {overlap} + {SHARED} and pb < nb - {overlap} + {SHARED}")
+    return one.join(two, "token").where(near) \
+        .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("n_shared")) \
+        .where(f"n_shared >= least({SHARED}, {overlap})").select("a", "b", "na", "nb")
+
+
 def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows, classes): each row's id, ``n_shingles`` and ``set_key``; each set's
     ``set_key``, ``component_id`` (smallest id that can be reached)."""
