@@ -22,7 +22,7 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import code_points, stored, text_groups, text_of
+from kintsugi.llm.common import code_points, slices, stored, text_groups, text_of
 from kintsugi.llm.transducer import Transducer, compile_transducer
 
 #: Distinct pieces whose ids a Python worker keeps at hand.
-MEMO = 400_000
+MEMO = 150_000
 _LETTER, _NUMBER, _SPACE, _OTHER = 1, 2, 3, 4
 
 #: Letters and numbers of Unicode 16 that older Unicode tables lack, first to last.
@@ -184,7 +184,7 @@ def piece_starts(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes and decodes texts with a vocabulary and a compiled lexicon."""
+    """Encodes texts with a vocabulary and a compiled lexicon."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: bytes):
         self.vocabulary, self.lexicon = vocabulary, Transducer(lexicon)
@@ -233,9 +233,10 @@ class Encoder:
                     out[owner[first + k]].append(b"".join(ids[bounds[k]:bounds[k + 1]]))
         return [b"".join(x) for x in out]
 
-    def decode(self, ids: list[int]) -> str:
-        pieces = self.vocabulary.pieces
-        return b"".join([pieces[i] for i in ids]).decode("utf-8", "replace")
+
+def decoded(ids: list[int], pieces: dict[int, bytes]) -> str:
+    """The text that ids stand for; bytes that are no UTF-8 become replacement characters."""
+    return b"".join([pieces[i] for i in ids]).decode("utf-8", "replace")
 
 
 def _around(text: str, token: str) -> list[str]:
@@ -290,7 +291,8 @@ class Tokenizer:
         vocabulary = Vocabulary.load(path)
         lexicon = compile_lexicon(vocabulary, list(words))
         self.key = hashlib.sha256(lexicon + path.encode()).hexdigest()
-        self.shared = spark.sparkContext.broadcast((vocabulary, lexicon))
+        self.pieces = spark.sparkContext.broadcast(vocabulary.pieces)
+        self.shared = spark.sparkContext.broadcast((replace(vocabulary, pieces={}), lexicon))
 
     def encode(self, df: DataFrame, text_col: str = "text") -> DataFrame:
         """``df`` with ``ids``, the token ids of each text."""
@@ -299,8 +301,8 @@ class Tokenizer:
         @F.arrow_udf("array<int>")
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             encoder = _encoder(key, shared)
-            for batch in batches:
-                found = encoder.encode(batch.to_pylist())
+            for part in (x for batch in batches for x in slices(batch)):
+                found = encoder.encode(part.to_pylist())
                 ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found])))
                 values = pa.array(np.frombuffer(b"".join(found), np.int32))
                 yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
@@ -309,13 +311,13 @@ class Tokenizer:
 
     def decode(self, df: DataFrame, ids_col: str = "ids") -> DataFrame:
         """``df`` with ``decoded``, the text that the ids stand for."""
-        key, shared = self.key, self.shared
+        shared = self.pieces
 
         @F.arrow_udf("string")
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            encoder = _encoder(key, shared)
-            for batch in batches:
-                values, ends = batch.values.to_numpy(), batch.offsets.to_numpy()
-                yield pa.array([encoder.decode(values[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
+            pieces = shared.value
+            for part in (x for batch in batches for x in slices(batch)):
+                values, ends = part.values.to_numpy(), part.offsets.to_numpy()
+                yield pa.array([decoded(values[a:b].tolist(), pieces) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
 
         return df.withColumn("decoded", run(F.coalesce(F.col(ids_col), F.array().cast("array<int>"))))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +80,19 @@ def word_hashes(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return words + mixed(length.astype(np.uint64)), length, first_word
 
 
+def slices(batch: pa.Array, size: int = 2 * PIECE) -> Iterator[pa.Array]:
+    """Slices of a string or list column of about ``size`` bytes or elements each, so
+    that Python objects exist for a part of an Arrow batch only."""
+    length = pc.list_value_length(batch) if pa.types.is_list(batch.type) else pc.binary_length(batch)
+    upto = np.cumsum(pc.fill_null(length, 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(batch):
+        done = upto[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, done + size, side="right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder, read from ``spark.checkpoint.dir``."""
     from kintsugi.session import checkpoint_dir

@@ -4,9 +4,9 @@ Texts and benchmark items become sequences of words (runs of letters and digits
 in lower case).  A document is contaminated where a stretch of its words is
 within ``share`` of an item's length in word edits (insert, remove, replace).
 
-Every word position is a window as long as the items of a length class.  Windows
-with too few words of the benchmark's vocabulary cannot be within the bound and
-are passed over.  The others, like the items, take the CGK random walk: step j
+Every word position is a window as long as the items of a length class.  An edit
+changes at most two pairs of neighbouring words, so windows with too few word
+pairs of the benchmark cannot be within the bound and are passed over.  The others, like the items, take the CGK random walk: step j
 writes the current word and moves on if a random bit of (word, j) says so, which
 turns few edits into few differing places.  Each repetition samples places of a
 walk of its own as the LSH key; the number of repetitions is what a simulation
@@ -39,11 +39,11 @@ from kintsugi.llm.common import bit_table, code_points, in_table, mixed, stored,
 SHARE = 0.15
 MIN_WORDS = 5
 #: Share of the passages with the most allowed edits that should be found.
-RECALL = 0.95
+RECALL = 0.98
 #: Sampled places of a key; ratio between length classes.
 SAMPLES = 3
 RATIO = 1.25
-VOCABULARY_BITS = 22
+PAIR_BITS = 22
 KEY_BITS = 24
 _PAD = np.uint64(0x27D4EB2F165667C5)
 _SALT = np.uint64(0x9E3779B97F4A7C15)
@@ -69,6 +69,11 @@ def sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return words, first
 
 
+def pair_names(words: np.ndarray) -> np.ndarray:
+    """The name of each pair of neighbouring words."""
+    return mixed(words[:-1] * _SALT + words[1:]).astype(np.int64)
+
+
 def length_class(n: np.ndarray) -> np.ndarray:
     return np.floor(np.log(np.maximum(n, 1)) / math.log(RATIO) + 1e-9).astype(np.int64)
 
@@ -153,7 +158,7 @@ def edit_distances(items: list[np.ndarray], windows: list[np.ndarray]) -> np.nda
 
 def item_keys(benchmark: DataFrame, share: float = SHARE, recall: float = RECALL,
               id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item, cls, words, keys) of every item that is searched."""
+    """(item, cls, words, pairs, keys) of every item that is searched."""
     id_type = dict(benchmark.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,23 +166,24 @@ def item_keys(benchmark: DataFrame, share: float = SHARE, recall: float = RECALL
             words, first = sequences(batch.column(1).to_pylist())
             keep = np.flatnonzero(np.diff(first) >= MIN_WORDS)
             classes = length_class(np.diff(first)[keep])
-            keys, lists = [], []
+            keys, lists, pairs = [], [], []
             for i, c in zip(keep.tolist(), classes.tolist(), strict=True):
                 low, high = class_lengths(c)
                 start = np.array([first[i]])
                 keys.append([int(walk_keys(words, start, start + low, low, r)[0]) for r in
                              range(repetitions(low, edits_allowed(high, share), recall))])
                 lists.append(words[first[i]:first[i + 1]].astype(np.int64))
+                pairs.append(pair_names(words[first[i]:first[i + 1]]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(keep)), pa.array(classes, pa.int64()),
-                 pa.array(lists, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
-                names=["item", "cls", "words", "keys"])
+                 pa.array(lists, pa.list_(pa.int64())), pa.array(pairs, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
+                names=["item", "cls", "words", "pairs", "keys"])
 
     rows = benchmark.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    return rows.mapInArrow(run, f"item {id_type}, cls long, words array<long>, keys array<long>")
+    return rows.mapInArrow(run, f"item {id_type}, cls long, words array<long>, pairs array<long>, keys array<long>")
 
 
-def _candidates(docs: DataFrame, classes: list[int], vocabulary, keys, share: float, recall: float) -> DataFrame:
+def _candidates(docs: DataFrame, classes: list[int], pairs, keys, share: float, recall: float) -> DataFrame:
     """(id, place, key, window) of every window whose key some item may have."""
     id_type = dict(docs.dtypes)["id"]
     plan = [(low, high, edits_allowed(high, share), repetitions(low, edits_allowed(high, share), recall))
@@ -187,13 +193,13 @@ def _candidates(docs: DataFrame, classes: list[int], vocabulary, keys, share: fl
         for batch in batches:
             for at, group in text_groups(batch.column(1).to_pylist()):
                 words, first = sequences(group)
-                known = np.concatenate(([0], np.cumsum(in_table(vocabulary.value, words.astype(np.int64)))))
+                known = np.concatenate(([0], np.cumsum(in_table(pairs.value, pair_names(words)))))
                 doc = np.repeat(np.arange(len(group)), np.diff(first))
                 end = first[1:][doc]
                 for low, high, most, repeats in plan:
                     place = np.arange(len(words))
                     stop = np.minimum(place + low, end)
-                    start = np.flatnonzero(known[stop] - known[place] >= low - most)
+                    start = np.flatnonzero(known[stop - 1] - known[place] >= low - 1 - 2 * most)
                     if not len(start):
                         continue
                     stop = stop[start]
@@ -219,12 +225,12 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     spark = docs.sparkSession
     items = stored(item_keys(benchmark, share, recall))
     classes = sorted(r["cls"] for r in items.select("cls").distinct().collect())
-    vocabulary = spark.sparkContext.broadcast(bit_table(items.select(F.explode("words").alias("k")), VOCABULARY_BITS))
+    pairs = spark.sparkContext.broadcast(bit_table(items.select(F.explode("pairs").alias("k")), PAIR_BITS))
     keys = spark.sparkContext.broadcast(bit_table(items.select(F.explode("keys").alias("k")), KEY_BITS))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    found = _candidates(rows, classes, vocabulary, keys, share, recall)
+    found = _candidates(rows, classes, pairs, keys, share, recall)
     by_key = items.select("item", "words", F.explode("keys").alias("key")).distinct()
-    pairs = found.join(by_key, "key").groupBy("id", "place", "item", "words").agg(F.first("window").alias("window"))
+    met = found.join(by_key, "key").groupBy("id", "place", "item", "words").agg(F.first("window").alias("window"))
 
     @F.arrow_udf("int")
     def distance(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -242,7 +248,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
                     out[some] = edit_distances([a[i] for i in some], [b[i][:reach] for i in some])
             yield pa.array(out)
 
-    checked = pairs.withColumn("edits", distance("words", "window")).withColumn("n_words", F.size("words")) \
+    checked = met.withColumn("edits", distance("words", "window")).withColumn("n_words", F.size("words")) \
         .where(F.col("edits") <= F.floor(F.col("n_words") * F.lit(share) + F.lit(1e-9)))
     return checked.groupBy("id", "item").agg(F.min(F.struct("edits", "place")).alias("best"), F.first("n_words").alias("n_words")) \
         .select("id", "item", F.col("best.place").alias("place"), "n_words", F.col("best.edits").alias("edits"))
