@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -100,10 +101,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once as a reliable checkpoint, so later steps read it
-    instead of repeating its work and survive lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written once as a Parquet table in the shared checkpoint folder and read back,
+    so that later steps neither repeat its work nor depend on executors that may be lost."""
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bit_table(keys: DataFrame, bits: int) -> np.ndarray:
@@ -124,6 +126,17 @@ def in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
 
 
+def table_filter(table, name: str = "k") -> Column:
+    """Whether column ``name`` is in a broadcast :func:`bit_table`."""
+
+    @F.arrow_udf("boolean")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array(in_table(table.value, batch.to_numpy(zero_copy_only=False).astype(np.int64)))
+
+    return run(F.col(name))
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of ``edges`` (columns a, b): the label is the
     smallest node that can be reached.  Labels spread along edges and jump to the

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kintsugi.llm.common import bit_table, code_points, connected, in_table, mixed, stored, text_groups, text_of, word_hashes
@@ -199,9 +199,9 @@ def linked_classes(texts: DataFrame, percent: int = PERCENT, slot_bits: int = SL
     """(node, label) for every set that links with another one."""
     spark = texts.sparkSession
     frequent = spark.sparkContext.broadcast(_frequent_slots(texts, slot_bits))
-    buckets = _prefixes(texts, frequent, percent, slot_bits).repartition("token")
-    shared = buckets.groupBy("token").agg(F.min("k").alias("a"), F.max(F.struct("k", "n", "place")).alias("z")).where("a <> z.k")
-    members = stored(buckets.join(shared.select("token"), "token").distinct())
+    same = Window.partitionBy("token")
+    buckets = _prefixes(texts, frequent, percent, slot_bits).withColumns({"lo": F.min("k").over(same), "hi": F.max("k").over(same)})
+    members = stored(buckets.where("lo <> hi").drop("lo", "hi").distinct())
     shares = members.groupBy("k", "n").agg((F.count(F.lit(1)) / F.col("n")).alias("hub"))
     members = stored(members.select("token", "k", "place").join(shares, "k"))
     alone = shares.select(F.col("k").alias("node"), F.col("k").alias("label"))

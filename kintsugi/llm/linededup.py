@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kintsugi.llm.common import bit_table, code_points, in_table, mixed, stored, text_groups
@@ -197,9 +197,9 @@ def _near(texts: DataFrame, firsts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     share = lambda df: spark.sparkContext.broadcast(bit_table(df, FILTER_BITS))
     keys = _keys(texts).groupBy("k").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi")
-    variants = _variants(texts, share(keys)).repartition("v")
-    shared = variants.groupBy("v").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi")
-    members = stored(variants.join(shared.select("v"), "v").distinct().join(firsts.select("h", "first"), "h"))
+    same = Window.partitionBy("v")
+    shared = _variants(texts, share(keys)).withColumns({"lo": F.min("h").over(same), "hi": F.max("h").over(same)}).where("lo <> hi")
+    members = stored(shared.select("v", "role", "h").distinct().join(firsts.select("h", "first"), "h"))
     earliest = members.groupBy("v").agg(*[F.min(F.when(F.col("role") == k, F.struct("first", "h"))).alias(f"e{k}")
                                           for k in range(3)])
     met = members.join(earliest, "v").withColumn(

@@ -32,10 +32,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import bit_table, in_table, mixed, stored, text_of
+from kintsugi.llm.common import bit_table, in_table, mixed, stored, table_filter, text_of
 
 LENGTH = 200
 GRAM = 64
@@ -45,7 +45,7 @@ BLOCK = 1 << 20
 #: Contexts of one anchor that may share a pool; bytes of a pool.
 POOL_ROWS = 20_000
 POOL_BYTES = 8 << 20
-TABLE_BITS = 26
+TABLE_BITS = 24
 SYMBOL = 8
 #: Whole symbols that any stretch holds.
 WHOLE = LENGTH // SYMBOL - 1
@@ -145,10 +145,6 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, Ancho
                 yield keys, found
 
 
-def _name(key: np.ndarray, pos: np.ndarray) -> np.ndarray:
-    return mixed(key.astype(np.uint64) + pos.astype(np.uint64) * _K)
-
-
 def _occurrences(docs: DataFrame) -> DataFrame:
     def run(batches):
         for keys, found in _each(batches):
@@ -160,21 +156,36 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "anchor long, context long, key long, pos int, l short, r short")
 
 
-def _contexts(docs: DataFrame, table) -> DataFrame:
-    """The bytes of the contexts whose first occurrence is in the table."""
+def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The bytes of the wanted contexts (anchor, context, key, pos, l, r).  Texts meet the list of
+    their contexts by key; texts that have none are left out by a bit table, copies by task."""
+    spark = docs.sparkSession
+    table = spark.sparkContext.broadcast(bit_table(wanted.select(F.col("key").alias("k")), TABLE_BITS))
 
-    def run(batches):
-        for keys, found in _each(batches):
-            key = keys[found.text]
-            hit = np.flatnonzero(in_table(table.value, _name(key, found.pos).astype(np.int64)))
-            data = found.data.tobytes()
-            cut = [data[a:b] for a, b in zip(found.low[hit].tolist(), found.high[hit].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.anchor[hit]), pa.array(found.context[hit]), pa.array(key[hit]), pa.array(found.pos[hit], pa.int32()),
-                 pa.array((found.place - found.low)[hit], pa.int16()), pa.array(cut, pa.binary())],
-                names=["anchor", "context", "key", "pos", "l", "bytes"])
+    def once(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            fresh = [hit and k not in seen and not seen.add(k) for hit, k in zip(in_table(table.value, keys).tolist(), keys.tolist(), strict=True)]
+            yield batch.filter(pa.array(fresh, pa.bool_()))
+
+    def cut(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            for key, text, places in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if key in seen:
+                    continue
+                seen.add(key)
+                data = text.encode()
+                got = [(p["anchor"], p["context"], key, p["pos"], p["l"], data[p["pos"] - p["l"]:p["pos"] + p["r"]]) for p in places]
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(list(x), kind) for x, kind in zip(zip(*got, strict=True), kinds, strict=True)],
+                                                 names=["anchor", "context", "key", "pos", "l", "bytes"])
 
-    return docs.mapInArrow(run, "anchor long, context long, key long, pos int, l short, bytes binary")
+    lists = wanted.groupBy("key").agg(F.collect_list(F.struct("anchor", "context", "pos", "l", "r")).alias("places"))
+    texts = docs.mapInArrow(once, "key long, text string")
+    return texts.join(lists, "key").select("key", "text", "places") \
+        .mapInArrow(cut, "anchor long, context long, key long, pos int, l short, bytes binary")
 
 
 def bounded_groups(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -325,56 +336,34 @@ def _hashed_intervals(contexts: DataFrame) -> DataFrame:
         .agg(F.max("left").alias("left"), (F.lit(LENGTH) - F.min("left")).cast("int").alias("right"))
 
 
-def removed_spans(df: DataFrame, text_col: str = "text", pool_rows: int = POOL_ROWS) -> DataFrame:
-    """(key, check, whole, spans): for the texts that lose bytes, whether all go, or the intervals that go."""
+def removed_spans(df: DataFrame, text_col: str = "text", pool_rows: int = POOL_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(key, check) of the texts that occur twice and go whole; (key, spans): the intervals that go from the others."""
     spark = df.sparkSession
     docs = df.select(*_identity(text_col), text_of(text_col).alias("text")).where(F.octet_length("text") >= LENGTH)
-    copies = docs.groupBy("key", "check").agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
-        .select("key", "check", F.lit(True).alias("whole"))
+    copies = stored(docs.groupBy("key", "check").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "check"))
     rows = docs.select("key", "text")
-    occurrences = _occurrences(rows).repartition("anchor")
-    groups = occurrences.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi"))
-    kept = stored(occurrences.join(groups.where("n > 1").select("anchor", (F.col("lo") != F.col("hi")).alias("varied")), "anchor"))
-
-    def contexts() -> DataFrame:
-        return kept.groupBy("anchor", "context", "varied").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "pos")).alias("at"))
-
-    first = contexts().where("varied").select(_name_column(F.col("at.key"), F.col("at.pos")).alias("k"))
-    table = spark.sparkContext.broadcast(bit_table(first, TABLE_BITS))
-    hot = contexts().where("varied").groupBy("anchor").count().where(F.col("count") > pool_rows).select(F.col("anchor").alias("k"))
+    same = Window.partitionBy("anchor")
+    kept = stored(_occurrences(rows).withColumns({"n": F.count(F.lit(1)).over(same), "lo": F.min("context").over(same),
+                                                  "hi": F.max("context").over(same)})
+                  .where("n > 1").withColumn("varied", F.col("lo") != F.col("hi")).drop("n", "lo", "hi"))
+    contexts = kept.groupBy("anchor", "context", "varied") \
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "pos", "l", "r")).alias("at"))
+    contexts = stored(contexts.select("anchor", "context", "varied", "n", "at.*"))
+    varied = contexts.where("varied")
+    hot = varied.groupBy("anchor").count().where(F.col("count") > pool_rows).select(F.col("anchor").alias("k"))
     crowded = spark.sparkContext.broadcast(bit_table(hot, TABLE_BITS))
-
-    @F.arrow_udf("boolean")
-    def is_crowded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array(in_table(crowded.value, batch.to_numpy(zero_copy_only=False).astype(np.int64)))
-
-    varied = _contexts(rows, table)
+    cut = _contexts(rows, varied.select("anchor", "context", "key", "pos", "l", "r"))
     if crowded.value.any():
-        varied = stored(varied.withColumn("crowded", is_crowded("anchor")))
-        found = _pool_intervals(varied.where("not crowded").drop("crowded")) \
-            .union(_hashed_intervals(varied.where("crowded").drop("crowded")))
+        cut = stored(cut.withColumn("crowded", table_filter(crowded, "anchor")))
+        found = _pool_intervals(cut.where("not crowded").drop("crowded")) \
+            .union(_hashed_intervals(cut.where("crowded").drop("crowded")))
     else:
-        found = _pool_intervals(varied)
-    found = found.groupBy("context").agg(F.max("left").alias("left"), F.max("right").alias("right"))
-    again = contexts().where("n > 1").select("context", F.lit(True).alias("again"))
-    reach = kept.join(again.join(found, "context", "full"), "context").select(
-        "key", (F.col("pos") - F.when(F.col("again"), F.col("l").cast("int")).otherwise(F.col("left"))).alias("a"),
-        (F.col("pos") + F.when(F.col("again"), F.col("r").cast("int")).otherwise(F.col("right"))).alias("b"))
-    spans = reach.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    return copies, spans
-
-
-def _name_column(key: F.Column, pos: F.Column) -> F.Column:
-    """:func:`_name` as a column."""
-
-    @F.arrow_udf("long")
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for keys, places in batches:
-            yield pa.array(_name(keys.to_numpy(zero_copy_only=False).astype(np.int64),
-                                 places.to_numpy(zero_copy_only=False).astype(np.int64)).astype(np.int64))
-
-    return run(key, pos)
+        found = _pool_intervals(cut)
+    again = contexts.where("n > 1").select("context", F.col("l").cast("int").alias("left"), F.col("r").cast("int").alias("right"))
+    reach = found.union(again).groupBy("context").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    spans = kept.join(reach, "context").groupBy("key") \
+        .agg(F.collect_list(F.struct((F.col("pos") - F.col("left")).alias("a"), (F.col("pos") + F.col("right")).alias("b"))).alias("spans"))
+    return copies, stored(spans)
 
 
 def _identity(text_col: str) -> list[F.Column]:
@@ -413,9 +402,16 @@ def dedup(df: DataFrame, text_col: str = "text", pool_rows: int = POOL_ROWS) ->
                                              names=["n_bytes", "n_removed", "n_spans", "kept"])
 
     named = df.withColumns({f"__{k}": c for k, c in zip(("key", "check"), _identity(text_col), strict=True)})
-    copies = copies.toDF("__key", "__check", "__whole")
-    met = named.join(copies, ["__key", "__check"], "left").join(spans.toDF("__key", "__spans"), "__key", "left")
+    keys = copies.select("key").union(spans.select("key")).select(F.col("key").alias("k"))
+    table = df.sparkSession.sparkContext.broadcast(bit_table(keys, TABLE_BITS))
+    named = named.withColumn("__hit", table_filter(table, "__key"))
+    text, zero = text_of(text_col), F.lit(0).cast("long")
+    whole = named.where("not __hit").withColumn("__n", F.octet_length(text).cast("long")) \
+        .withColumns({"kept": text.cast("binary"), "n_removed": zero, "n_spans": zero, "n_bytes": F.col("__n")})
+    copies = copies.withColumn("__whole", F.lit(True)).toDF("__key", "__check", "__whole")
+    met = named.where("__hit").join(copies, ["__key", "__check"], "left").join(spans.toDF("__key", "__spans"), "__key", "left")
     none = F.array().cast("array<struct<a:int,b:int>>")
-    done = met.withColumn("__cut", cut(text_of(text_col), F.coalesce("__whole", F.lit(False)), F.coalesce("__spans", none)))
-    return done.withColumns({c: F.col(f"__cut.{c}") for c in ("n_bytes", "n_removed", "n_spans", "kept")}) \
-        .drop("__key", "__check", "__whole", "__spans", "__cut")
+    done = met.withColumn("__cut", cut(text, F.coalesce("__whole", F.lit(False)), F.coalesce("__spans", none))) \
+        .withColumns({c: F.col(f"__cut.{c}") for c in ("n_bytes", "n_removed", "n_spans", "kept")})
+    columns = [c for c in done.columns if not c.startswith("__")]
+    return whole.select(columns).union(done.select(columns))
