@@ -1,8 +1,12 @@
-"""The corpus pipeline: stages that turn ``documents`` into token counts.
+"""The corpus pipeline: stages that turn ``documents`` into token ids.
 
 Each stage takes (spark, docs, sf_dir), works on every row its predecessor
 kept and returns a DataFrame; ``run`` writes each stage's rows as Parquet into
 the shared folder and reads them back for the next one.
+
+Nulls, empty and very long texts, ties, repeated rows and empty tables have the
+results that the operators' modules define; extra columns pass through to the
+last stage.
 """
 
 from __future__ import annotations
@@ -10,10 +14,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kintsugi.llm import common, langid
-
-DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+from kintsugi.llm import bpe, common, decontam, jaccard, langid, linededup
+from kintsugi.llm.queries import vocabulary_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +27,40 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return langid.predict(docs, model).where(~langid.rejects()).select(docs.columns)
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes out lines that are equal, or one edit away, to an earlier line of the corpus.
+    ``n_chars`` follows the text; documents left without any word go."""
+    lines = linededup.dedup(docs)
+    changed = F.col("n_dropped") > 0
+    kept = lines.where(~changed | F.col("text").rlike(common.WORD_PATTERN))
+    return kept.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))) \
+        .select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near duplicates, the one with the smallest id."""
+    return jaccard.representatives(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that contain an item of the benchmark."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every document, and whether they decode to its text."""
+    tokenizer = bpe.Tokenizer(spark, vocabulary_path(), bpe.frequent_words(docs))
+    coded = tokenizer.decode(tokenizer.encode(docs.select("doc_id", "lang", "source", "text")))
+    same = F.col("decoded") == common.text_of("text")
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+
+
 STAGES = [
     ("language_id", identify_language),
+    ("line_dedup", drop_repeated_lines),
+    ("jaccard", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("bpe", tokenize),
 ]
 
 ORACLE_SQL = None

@@ -126,15 +126,15 @@ def in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
 
 
-def table_filter(table, name: str = "k") -> Column:
-    """Whether column ``name`` is in a broadcast :func:`bit_table`."""
+def table_filter(table, key: Column | str) -> Column:
+    """Whether a long column is in a broadcast :func:`bit_table`."""
 
     @F.arrow_udf("boolean")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array(in_table(table.value, batch.to_numpy(zero_copy_only=False).astype(np.int64)))
 
-    return run(F.col(name))
+    return run(F.col(key) if isinstance(key, str) else key)
 
 
 def connected(edges: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import bit_table, code_points, in_table, mixed, stored, text_groups, word_hashes
+from kintsugi.llm.common import bit_table, code_points, in_table, mixed, stored, table_filter, text_groups, word_hashes
 
 #: Largest number of word edits, as a share of an item's words.
 SHARE = 0.15
@@ -252,3 +252,15 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
         .where(F.col("edits") <= F.floor(F.col("n_words") * F.lit(share) + F.lit(1e-9)))
     return checked.groupBy("id", "item").agg(F.min(F.struct("edits", "place")).alias("best"), F.first("n_words").alias("n_words")) \
         .select("id", "item", F.col("best.place").alias("place"), "n_words", F.col("best.edits").alias("edits"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          share: float = SHARE, recall: float = RECALL) -> DataFrame:
+    """The rows of ``docs`` that contain no item of the benchmark.  Rows are told apart by a hash of id and text."""
+    r = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
+    found = stored(find(docs.select(r.alias("r"), F.col(text_col).alias("text")), benchmark, "r", "text", share, recall)
+                   .select(F.col("id").alias("__r")).distinct())
+    table = docs.sparkSession.sparkContext.broadcast(bit_table(found.select(F.col("__r").alias("k")), KEY_BITS))
+    named = docs.select(F.struct("*").alias("__row"), r.alias("__r"))
+    hit = named.withColumn("__hit", table_filter(table, "__r"))
+    return hit.where("not __hit").select("__row.*").union(hit.where("__hit").join(found, "__r", "left_anti").select("__row.*"))

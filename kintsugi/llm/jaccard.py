@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import bit_table, code_points, connected, in_table, mixed, stored, text_groups, text_of, word_hashes
+from kintsugi.llm.common import bit_table, code_points, connected, in_table, mixed, stored, table_filter, text_groups, text_of, word_hashes
 
 WIDTH = 5
 #: Similarity, in percent of the union.
@@ -256,21 +256,37 @@ def _open_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFram
 
 
 def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(rows, classes): each row's id, ``n_shingles`` and ``set_key``; each set's
-    ``set_key``, ``component_id`` (smallest id that can be reached)."""
+    """(rows, classes): each row's doc_id, ``n_shingles`` and ``set_key``; each set's ``set_key``, number of
+    rows, smallest id, ``component_id`` (smallest id that can be reached) and ``label`` (one per component)."""
     rows = stored(keyed(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
                   .drop("text"))
-    sets = rows.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("least_id"))
+    sets = rows.where("set_key is not null").groupBy("set_key") \
+        .agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n_rows"))
     labels = linked_classes(df.select(text_of(text_col).alias("text")))
     named = sets.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left") \
         .withColumn("label", F.coalesce("label", "set_key"))
     of_label = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    return rows, named.join(of_label, "label").select("set_key", "component_id")
+    return rows, named.join(of_label, "label")
 
 
 def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``df``: doc_id, n_shingles, component_id."""
     rows, classes = components(df, id_col, text_col)
-    return rows.join(classes, "set_key", "left") \
+    return rows.join(classes.select("set_key", "component_id"), "set_key", "left") \
         .select("doc_id", "n_shingles", F.when(F.col("set_key").isNull(), F.col("doc_id"))
                 .otherwise(F.col("component_id")).alias("component_id"))
+
+
+def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` without near duplicates: of each component the row with the smallest id stays
+    (one of them if several have it, or if none has an id), and every row with an empty set."""
+    _, classes = components(df, id_col, text_col)
+    grouped = stored(classes.where("n_rows > 1 or not (least_id <=> component_id)").select("set_key", "component_id", "label"))
+    table = df.sparkSession.sparkContext.broadcast(bit_table(grouped.select(F.col("set_key").alias("k")), FILTER_BITS))
+    named = keyed(df.select(F.struct("*").alias("__row"), F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")), "__text")
+    named = named.withColumn("__hit", F.when(F.col("set_key").isNull(), F.lit(False)).otherwise(
+        table_filter(table, F.coalesce("set_key", F.lit(0)))))
+    met = named.where("__hit").join(grouped, "set_key", "left")
+    alone = met.where("label is null")
+    best = met.where("label is not null and __id <=> component_id").dropDuplicates(["label"])
+    return named.where("not __hit").select("__row.*").union(alone.select("__row.*")).union(best.select("__row.*"))

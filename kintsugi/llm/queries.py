@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kintsugi.llm import bpe, decontam, html, jaccard, langid, linededup, quality, substrings, urlfilter
+from kintsugi.llm import bpe, decontam, html, jaccard, langid, linededup, pii, quality, substrings, urlfilter
 
 
 def vocabulary_path() -> str:
@@ -33,6 +33,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", *token_digests(), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.sanitise(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] < len(pii.PATTERNS))
+    counts = [pii.count_of(i).alias(f"n_{kind}") for i, kind in enumerate(pii.PATTERNS)]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -75,6 +82,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_pii": op2_pii,
     "op3_jaccard": op3_jaccard,
     "op4_decontam": op4_decontam,
     "op5_html": op5_html,
