@@ -14,6 +14,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -38,7 +39,8 @@ def main() -> None:
 
     spark = build_session(f"local[{cpus}]", app="kintsugi-bench",
                           shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", str(int(cpus) * 2))),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g"),
+                                 "spark.checkpoint.dir": tempfile.mkdtemp(prefix="kintsugi-bench-")})
     qs = catalog.queries()
     names = list(qs) if which == "all" else (which.split(",") if which else HEADLINE)
 

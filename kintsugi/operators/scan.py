@@ -5,219 +5,148 @@ Row numbers, running sums and forward fill need an order.  A plain
 and ``Window.partitionBy(g)`` puts a hot group (say a third of all rows) into
 one task.  ``segmented_scan`` instead:
 
-1. range-partitions on ``(group keys, order keys)`` so a hot group is spread
-   over many partitions, and sorts inside each partition;
-2. runs the scan locally in each partition (vectorised pandas over Arrow
-   batches, state carried across batches);
-3. materialises that result once with a reliable ``checkpoint`` so every
-   later pass sees the same partition layout, also after executor loss;
-4. summarises each partition in one row (first group, last group, partial
-   result of the last group), so the summary has exactly P rows;
-5. turns the summary into a carry-in per partition with windows over those
-   P rows, and adds it back through a broadcast join (P rows: bounded by
-   ``spark.sql.shuffle.partitions``, not by the row count).
+1. range-partitions on ``(group keys, order keys, hash of the row)``, so a hot
+   group, and even a hot tie in the order, is spread over many partitions, and
+   writes the rows with their partition number as one Parquet table in the
+   shared folder: every later pass sees the same layout, also after executor
+   loss, and reads only the columns it needs;
+2. computes the running values with windows over (partition number, group),
+   so no window holds more than one range partition;
+3. sums up each (partition number, group) that continues a group of an earlier
+   partition.  There are fewer of those than partitions; windows over them give
+   the carry, which is joined back (Spark picks the join from its size).
+
+All of it is Spark SQL expressions: values of every type come back as they were.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-from kintsugi.session import checkpoint_dir
+from kintsugi.functions.nulls import nullify_nan
+from kintsugi.functions.types import is_float
+from kintsugi.session import materialize
 
-_PID, _LIX, _G0 = "__pid", "__lix", "__g0"
+_PID, _TIE, _NUMBER = "__pid", "__tie", "__number"
 
 
 @dataclass(frozen=True)
 class ScanSpec:
-    """``kind`` is ``count`` (1-based row number), ``sum`` (running sum,
-    NULL counted as 0), ``last`` (last non-NULL value so far: forward fill)
-    or ``prev`` (the previous row's value in the group: lag 1)."""
+    """``kind`` is ``count`` (1-based row number), ``sum`` (running sum, NULL
+    and NaN counted as 0), ``last`` (last value so far that is neither: forward
+    fill) or ``prev`` (the previous row's value in the group: lag 1)."""
 
     out: str
     kind: str
     src: str | None = None
 
 
-def _out_type(df: DataFrame, spec: ScanSpec) -> T.DataType:
+def _source(df: DataFrame, spec: ScanSpec) -> Column:
+    """What a spec runs over; integer sums stay integers, decimal sums decimals."""
     if spec.kind == "count":
-        return T.LongType()
-    src_t = df.schema[spec.src].dataType
-    if spec.kind == "sum":
-        if isinstance(src_t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
-            return T.LongType()
-        return T.DoubleType()
-    if spec.kind in ("last", "prev"):
-        return src_t
-    raise ValueError(f"unknown scan kind {spec.kind!r}")
-
-
-def _same_key(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
-    eq = np.ones(len(a), dtype=bool)
-    for c in a.columns:
-        x, y = a[c].to_numpy(), b[c].to_numpy()
-        xn, yn = pd.isna(a[c]).to_numpy(), pd.isna(b[c]).to_numpy()
-        with np.errstate(invalid="ignore"):
-            eq &= ((x == y) & ~xn & ~yn) | (xn & yn)
-    return eq
-
-
-def _local_scan(groups: list[str], specs: list[ScanSpec]):
-    """Per-partition scan over sorted Arrow batches (runs inside tasks)."""
-
-    def run(batches):
-        prev_key = None        # one-row frame: group key of the last row seen
-        carry: dict[str, object] = {}
-        lix = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            keys = pdf[groups].reset_index(drop=True)
-            shifted = keys.shift(1)
-            if prev_key is not None:
-                shifted.iloc[0] = prev_key.iloc[0]
-            new = ~_same_key(keys, shifted)
-            if prev_key is None:
-                new[0] = True
-            seg = np.cumsum(new)
-            first_seg_continues = not new[0]
-            in_first = seg == seg[0]
-            out = pdf.reset_index(drop=True).copy()
-            grp = pd.Series(seg)
-            for s in specs:
-                if s.kind == "count":
-                    v = grp.groupby(seg).cumcount().to_numpy() + 1
-                    if first_seg_continues:
-                        v = v + np.where(in_first, carry[s.out], 0)
-                    out[s.out] = v.astype("int64")
-                elif s.kind == "sum":
-                    src = pd.to_numeric(out[s.src]).astype("float64").fillna(0.0)
-                    v = src.groupby(seg).cumsum().to_numpy()
-                    if first_seg_continues:
-                        v = v + np.where(in_first, carry[s.out], 0.0)
-                    out[s.out] = v
-                elif s.kind == "prev":
-                    v = out[s.src].groupby(seg).shift(1)
-                    if first_seg_continues:
-                        v = v.astype(object)
-                        v.iloc[0] = carry[s.out]
-                    out[s.out] = v
-                    last_src = out[s.src].iloc[-1]
-                    carry[s.out] = None if pd.isna(last_src) else last_src
-                    continue
-                else:  # last
-                    v = out[s.src].groupby(seg).ffill()
-                    if first_seg_continues and carry[s.out] is not None:
-                        fill = in_first & v.isna().to_numpy()
-                        if fill.any():
-                            v = v.astype(object)
-                            v[fill] = carry[s.out]
-                    out[s.out] = v
-                last_val = out[s.out].iloc[-1]
-                carry[s.out] = None if (s.kind == "last" and pd.isna(last_val)) else last_val
-            out[_LIX] = np.arange(lix, lix + n, dtype="int64")
-            lix += n
-            prev_key = keys.iloc[[n - 1]].reset_index(drop=True)
-            yield out
-
-    return run
+        return F.lit(1).cast("long")
+    dt = df.schema[spec.src].dataType
+    if spec.kind == "prev":
+        return F.col(spec.src)
+    plain = nullify_nan(spec.src, dt)
+    if spec.kind == "last":
+        return plain
+    if spec.kind != "sum":
+        raise ValueError(f"unknown scan kind {spec.kind!r}")
+    if isinstance(dt, T.BooleanType):
+        plain = plain.cast("long")
+    elif not is_float(dt) and not isinstance(dt, T.NumericType):
+        plain = plain.cast("double")
+    return F.coalesce(plain, F.lit(0))
+
+
+class _Layout:
+    """Rows in range partitions, with what orders and groups them."""
+
+    def __init__(self, df: DataFrame, order_by: list[str | Column], groups: list[str],
+                 num_partitions: int | None):
+        hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+        self.columns, self.groups = df.columns, groups
+        self.order = [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order_by] + [F.col(_TIE)]
+        keys = [F.col(g).asc_nulls_first() for g in groups] + self.order
+        tied = df.withColumn(_TIE, F.xxhash64(*hashable))
+        # without an explicit count AQE sizes the range partitions by volume
+        ranged = tied.repartitionByRange(num_partitions, *keys) if num_partitions else tied.repartitionByRange(*keys)
+        self.rows = materialize(ranged.withColumn(_PID, F.spark_partition_id()))
+
+    def scan(self, rows: DataFrame, specs: list[ScanSpec]) -> DataFrame:
+        """``rows`` (those of the layout, perhaps with more columns) with the specs' columns."""
+        within = Window.partitionBy(_PID, *self.groups).orderBy(*self.order)
+        upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        local = {_NUMBER: F.row_number().over(within)}
+        for s in specs:
+            src = _source(rows, s)
+            local[s.out] = {"count": lambda _: F.row_number().over(within).cast("long"),
+                            "sum": lambda x: F.sum(x).over(upto),
+                            "last": lambda x: F.last(x, ignorenulls=True).over(upto),
+                            "prev": lambda x: F.lag(x).over(within)}[s.kind](src)
+        done = rows.withColumns(local)
+
+        # the state in which each (partition, group) leaves the group
+        state = {"sum": F.sum, "count": F.sum, "last": lambda x: F.max_by(x, F.when(x.isNotNull(), F.col(_NUMBER))),
+                 "prev": lambda x: F.max_by(x, F.col(_NUMBER))}
+        keys = [F.col(g).alias(f"__g{i}") for i, g in enumerate(self.groups)]
+        names = [f"__g{i}" for i in range(len(keys))]
+        left = done.groupBy(F.col(_PID).alias("__p"), *keys).agg(
+            *[state[s.kind](_source(rows, s)).alias(f"__state{i}") for i, s in enumerate(specs)])
+        # groups that several partitions hold: at most one more than there are partitions in all
+        many = left.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1") if names else \
+            left.agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+        same = _all(F.col(f"s.{n}").eqNullSafe(F.col(f"m.{n}")) for n in names)
+        spread = left.alias("s").join(many.alias("m"), same, "left_semi") if names else left
+        before = Window.partitionBy(*names).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+        carry = spread.select("__p", *names, *[
+            (F.last(f"__state{i}", ignorenulls=True).over(before) if s.kind == "last"
+             else F.lag(f"__state{i}").over(Window.partitionBy(*names).orderBy("__p")) if s.kind == "prev"
+             else F.sum(f"__state{i}").over(before)).alias(f"__carry{i}") for i, s in enumerate(specs)])
+        on = _all([F.col(_PID) == F.col("__p")] + [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(self.groups, names, strict=True)])
+        met = done.join(carry, on, "left")
+        kinds = done.schema
+        values = []
+        for i, s in enumerate(specs):
+            own, came = F.col(s.out), F.col(f"__carry{i}")
+            if s.kind == "prev":
+                own = F.when(F.col(_NUMBER) == 1, came).otherwise(own)
+            elif s.kind == "last":
+                own = F.coalesce(own, came)
+            else:
+                own = F.when(came.isNull(), own).otherwise(own + came)
+            values.append(own.cast(kinds[s.out].dataType).alias(s.out))
+        return met.select(*[c for c in rows.columns if c not in {s.out for s in specs}], *values)
+
+
+def _all(tests) -> Column:
+    out = F.lit(True)
+    for t in tests:
+        out = out & t
+    return out
 
 
 def segmented_scan(df: DataFrame, order_by: list[str | Column], specs: list[ScanSpec],
                    partition_by: list[str] | None = None,
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """Add running columns ``specs`` over ``order_by`` within ``partition_by``.
 
-    Ties in the order are broken by an order fixed at the checkpoint; pass a
-    unique order when the result must be reproducible across runs.
-    """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
+    ``keep`` names the columns of ``df`` that the result needs (all, if not
+    given); others than these and the keys are not carried along.  Rows that tie in
+    the order come in the order of a hash of the kept row, the same on every run."""
     groups = list(partition_by or [])
-    base = df
-    if not groups:
-        base = base.withColumn(_G0, F.lit(0))
-        groups = [_G0]
-    # pandas reads NULL and NaN of a float column alike; Spark groups them
-    # apart, so float group keys carry an explicit NULL flag into the scan
-    local_groups = list(groups)
-    for i, g in enumerate(list(groups)):
-        if isinstance(base.schema[g].dataType, (T.FloatType, T.DoubleType)):
-            base = base.withColumn(f"__gnull{i}", F.col(g).isNull())
-            local_groups.append(f"__gnull{i}")
-    keys = [F.col(g).asc_nulls_first() for g in groups] + [
-        (F.col(o).asc_nulls_first() if isinstance(o, str) else o) for o in order_by]
-    # Arrow hands float columns to pandas with NaN and NULL alike and returns
-    # NaN as NULL: flag NaN per float column and restore it after the scan
-    floats = [f.name for f in base.schema.fields
-              if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
-    nan_flags = {c: f"__nan{i}" for i, c in enumerate(floats)}
-    for c, flag in nan_flags.items():
-        base = base.withColumn(flag, F.coalesce(F.isnan(c), F.lit(False)))
-    # without an explicit count AQE coalesces adjacent range partitions to
-    # its advisory size (order is kept), so P follows the data volume
-    ranged = base.repartitionByRange(num_partitions, *keys) if num_partitions \
-        else base.repartitionByRange(*keys)
-    ordered = (ranged
-                   .sortWithinPartitions(*keys)
-                   .withColumn(_PID, F.spark_partition_id()))
-    out_schema = T.StructType(
-        list(ordered.schema.fields)
-        + [T.StructField(s.out, _out_type(df, s), True) for s in specs]
-        + [T.StructField(_LIX, T.LongType(), False)])
-    local = ordered.mapInPandas(_local_scan(local_groups, specs), out_schema)
-    if nan_flags:
-        local = local.select(*[
-            F.when(F.col(nan_flags[c]), F.lit(float("nan")).cast(local.schema[c].dataType))
-             .otherwise(F.col(c)).alias(c) if c in nan_flags else F.col(c)
-            for c in local.columns])
-    local = local.checkpoint(eager=True)
-
-    gkey = F.struct(*[F.col(g) for g in groups])
-    summary = local.groupBy(_PID).agg(
-        F.min_by(gkey, F.col(_LIX)).alias("__first_g"),
-        F.max_by(gkey, F.col(_LIX)).alias("__last_g"),
-        *[F.max_by(F.col(s.src if s.kind == "prev" else s.out), F.col(_LIX))
-          .alias(f"__part_{s.out}") for s in specs])
-    by_group = Window.partitionBy("__last_g").orderBy(_PID).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    by_pid = Window.orderBy(_PID)  # over P summary rows only
-    cums = []
-    for s in specs:
-        part = F.col(f"__part_{s.out}")
-        if s.kind == "prev":
-            cum = part          # the last row of the previous partition, not a running value
-        else:
-            cum = (F.last(part, ignorenulls=True) if s.kind == "last" else F.sum(part)).over(by_group)
-        cums.append(cum.alias(f"__cum_{s.out}"))
-    summary = summary.select(_PID, "__first_g", "__last_g", *cums)
-    cont = F.lag("__last_g").over(by_pid).eqNullSafe(F.col("__first_g"))
-    carry = summary.select(
-        _PID, "__first_g",
-        *[F.when(cont, F.lag(f"__cum_{s.out}").over(by_pid)).alias(f"__carry_{s.out}")
-          for s in specs])
-
-    joined = local.join(F.broadcast(carry), on=_PID, how="left")
-    in_first = gkey.eqNullSafe(F.col("__first_g"))
-    cols = []
-    for f in df.columns:
-        cols.append(F.col(f))
-    for s in specs:
-        c_in = F.col(f"__carry_{s.out}")
-        loc = F.col(s.out)
-        if s.kind == "prev":
-            val = F.when(in_first & (F.col(_LIX) == 0), c_in).otherwise(loc)
-        elif s.kind == "last":
-            val = F.when(in_first & loc.isNull(), c_in).otherwise(loc)
-        else:
-            val = F.when(in_first & c_in.isNotNull(), loc + c_in).otherwise(loc)
-        cols.append(val.cast(_out_type(df, s)).alias(s.out))
-    return joined.select(*cols)
+    if keep is not None:
+        named = {*keep, *groups, *(s.src for s in specs if s.src), *(o for o in order_by if isinstance(o, str))}
+        if all(isinstance(o, str) for o in order_by):
+            df = df.select(*[c for c in df.columns if c in named])
+    laid = _Layout(df, order_by, groups, num_partitions)
+    out = laid.scan(laid.rows, specs)
+    wanted = [c for c in df.columns if keep is None or c in keep]
+    return out.select(*[c for c in wanted if c not in {s.out for s in specs}], *[s.out for s in specs])
 
 
 def with_ordinal(df: DataFrame, order_by: list[str | Column], name: str = "ordinal",
@@ -232,15 +161,13 @@ def sessionize(df: DataFrame, key: str, ts: str, gap: str, tiebreak: list[str] |
     time since the key's previous event is at least ``gap`` (an interval
     such as ``"30 minutes"``), the rule of Spark's ``session_window``.
 
-    Two segmented scans (previous timestamp, then a running count of
-    session starts), so one key holding a third of all events is still
-    spread over many tasks; ``session_window`` merges a key's sessions in
-    one task.
+    Both steps (previous timestamp, running count of session starts) scan the
+    same layout, so there is one range shuffle and one stored table, and one key
+    holding a third of all events is still spread over many tasks.
     """
-    order = [ts, *(tiebreak or [])]
-    x = segmented_scan(df, order, [ScanSpec("__prev_ts", "prev", ts)], partition_by=[key])
-    gap_iv = F.expr(f"INTERVAL {gap}")
+    laid = _Layout(df, [ts, *(tiebreak or [])], [key], None)
+    x = laid.scan(laid.rows, [ScanSpec("__prev_ts", "prev", ts)])
     t, p = F.col(ts).cast("timestamp"), F.col("__prev_ts").cast("timestamp")
-    x = x.withColumn("__start", (p.isNull() | ((t - p) >= gap_iv)).cast("long")).drop("__prev_ts")
-    x = segmented_scan(x, order, [ScanSpec(name, "sum", "__start")], partition_by=[key])
-    return x
+    starts = p.isNull() | ((t - p) >= F.expr(f"INTERVAL {gap}"))
+    x = laid.scan(x.withColumn("__start", starts.cast("long")).drop("__prev_ts"), [ScanSpec(name, "sum", "__start")])
+    return x.select(*df.columns, name)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kintsugi.functions.text import strip
@@ -50,6 +52,7 @@ def sample_rows(df: DataFrame, fraction: float, seed: int = 42,
     """Seeded sample.  With ``key`` the choice is a hash threshold, so the
     same rows are chosen whatever the partitioning (and on recomputation)."""
     if key:
-        h = F.abs(F.xxhash64(F.lit(seed), *[F.col(k) for k in key]) % 1000000) / 1000000.0
-        return df.filter(h < fraction)
+        # all 64 bits of the hash against the fraction's place in their range
+        h = F.xxhash64(F.lit(seed), *[F.col(k) for k in key]).cast("decimal(20,0)")
+        return df.filter(h < F.lit(Decimal(-(1 << 63)) + Decimal(fraction) * (1 << 64)).cast("decimal(38,6)"))
     return df.sample(fraction=fraction, seed=seed)

@@ -14,6 +14,7 @@ from __future__ import annotations
 import argparse
 import re
 import sys
+import tempfile
 
 PATTERNS = {
     "scans": r"FileScan|Scan parquet|Scan ExistingRDD|Scan LogicalRDD",
@@ -44,7 +45,8 @@ def main(argv=None):
     a = ap.parse_args(argv)
     from kintsugi.plans import catalog
     from kintsugi.session import build_session
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8,
+                          extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="kintsugi-")})
     qs = catalog.queries()
     print("| query | " + " | ".join(PATTERNS) + " |")
     print("| --- " * (len(PATTERNS) + 1) + "|")

@@ -12,6 +12,7 @@ import argparse
 import datetime as dt
 import math
 import sys
+import tempfile
 import time
 
 
@@ -89,7 +90,8 @@ def main(argv=None):
     ap.add_argument("names", nargs="*")
     a = ap.parse_args(argv)
     from kintsugi.session import build_session
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8,
+                          extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="kintsugi-")})
     res = compare(spark, a.sf, a.names or None)
     bad = [n for n, r in res.items() if "error" in r or not r.get("match", True)]
     print(f"{len(res) - len(bad)}/{len(res)} ok; bad: {bad}")

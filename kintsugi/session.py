@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import atexit
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -35,43 +35,55 @@ def build_session(master: str | None = None, app: str = "kintsugi",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting one only when unset.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder must be the shared one named by
-    ``spark.checkpoint.dir``; we never invent a machine-local folder there.
-    Local sessions (tests, bench) without the setting get a fresh scratch
-    folder.
-    """
+    Executors must all reach it, so none is invented here, on any master:
+    tests, the bench and the entry module set their own where it is unset."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
+    if not current:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; point it at a folder that all "
+                "executors share (HDFS/S3/ABFS) before running ordered operators")
         sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a shared folder "
-            "(HDFS/S3/ABFS) before running ordered operators on a cluster")
-    folder = tempfile.mkdtemp(prefix="kintsugi-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir() or folder
+        current = sc.getCheckpointDir() or configured
+    return current
+
+
+_WRITTEN: list[tuple[SparkSession, str]] = []
 
 
 def materialize(df):
-    """Write ``df`` once to the reliable checkpoint folder and read it back.
+    """Write ``df`` once as Parquet into the shared folder and read it back.
+
+    For a derived table that several passes read (scan layouts, profiles, contract
+    facts): its lineage runs once, a lost executor does not replay it, and later
+    readers read only their columns.  ``release`` removes what was written."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release() -> None:
+    """Delete the tables that ``materialize`` has written so far (run at exit too)."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
+        except Exception:  # the JVM has gone; the folder's own lifetime ends the tables
+            return
+
 
-    For a derived table that several passes read (profiles, contract facts),
-    this runs its lineage once instead of once per pass, and cuts the
-    lineage so a lost executor does not replay it."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+atexit.register(release)
 
 
 def row_counts(*frames) -> list[int]:

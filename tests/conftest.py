@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,8 +14,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from kintsugi.session import build_session
     s = build_session("local[4]", shuffle_partitions=8,
-                      extra={"spark.sql.execution.arrow.maxRecordsPerBatch": "64"})
+                      extra={"spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="kintsugi-tests-")})
     yield s
+    from kintsugi.session import release
+    release()
     s.stop()
 
 
