@@ -300,7 +300,8 @@ class Tokenizer:
 
         @F.arrow_udf("array<int>")
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            encoder = _encoder(key, shared)
+            from kintsugi.llm import bpe  # the worker's own module, which keeps encoders between tasks
+            encoder = bpe._encoder(key, shared)
             for part in (x for batch in batches for x in slices(batch)):
                 found = encoder.encode(part.to_pylist())
                 ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found])))

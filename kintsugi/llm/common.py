@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kintsugi.session import materialize
+
 # Code points of text handled at once inside a task; bounds numpy's memory.
 PIECE = 1 << 20
 
@@ -94,18 +95,10 @@ def slices(batch: pa.Array, size: int = 2 * PIECE) -> Iterator[pa.Array]:
         first = last
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder, read from ``spark.checkpoint.dir``."""
-    from kintsugi.session import checkpoint_dir
-    return checkpoint_dir(spark)
-
-
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as a Parquet table in the shared checkpoint folder and read back,
     so that later steps neither repeat its work nor depend on executors that may be lost."""
-    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return materialize(df)
 
 
 def bit_table(keys: DataFrame, bits: int) -> np.ndarray:
