@@ -26,16 +26,15 @@ DEFAULT_TIME_FORMATS = (
     "yyyy-MM-dd",
 )
 
-_LONG_LIMIT = 9.2e18
-
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
 def _integral_double(d: Column) -> Column:
-    ok = (~F.isnan(d)) & (F.abs(d) < F.lit(_LONG_LIMIT)) & (d == F.floor(d))
-    return F.when(ok, d.cast("bigint"))
+    """A double's integer form: whole, and within the range of 64-bit integers."""
+    edge = F.lit(float(1 << 63))
+    return F.when((d >= -edge) & (d < edge) & (F.rint(d) == d), d.cast("bigint"))
 
 
 def to_int(col: str | Column, dt: T.DataType, target: T.DataType = T.LongType(),
@@ -50,8 +49,10 @@ def to_int(col: str | Column, dt: T.DataType, target: T.DataType = T.LongType(),
         as_long = F.when(s.rlike(r"^[+-]?[0-9]{1,19}$"), s.try_cast("bigint"))
         as_double = s.try_cast("double")
         out = F.coalesce(as_long, _integral_double(as_double))
-    elif is_float(dt) or isinstance(dt, T.DecimalType):
+    elif is_float(dt):
         out = _integral_double(c.cast("double"))
+    elif isinstance(dt, T.DecimalType):
+        out = F.when(c == F.floor(c), c.try_cast("bigint"))
     elif fam in ("number", "bool"):
         out = c.cast("bigint")
     else:
@@ -107,8 +108,11 @@ def to_timestamp(col: str | Column, dt: T.DataType,
         return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
     if fam == "time":
         return c.cast("timestamp")
+    if fam == "number" and isinstance(dt, T.IntegralType):
+        # integers are read as epoch nanoseconds, exactly
+        ns = c.cast("bigint")
+        return F.timestamp_micros(F.call_function("div", ns - F.pmod(ns, F.lit(1000)), F.lit(1000)))
     if fam == "number":
-        # integers are read as epoch nanoseconds
         return F.timestamp_micros(F.floor(c.cast("double") / 1000).cast("bigint"))
     return c.try_cast("timestamp")
 

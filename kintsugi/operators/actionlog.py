@@ -71,23 +71,27 @@ def action_cost(action_type: Column) -> Column:
 
 
 def is_invalid(action_type: Column, valid: Column) -> Column:
-    return (~F.coalesce(valid, F.lit(False))) | ~action_type.isin(list(KNOWN_ACTIONS))
+    return (~F.coalesce(valid, F.lit(False))) | ~F.coalesce(action_type.isin(list(KNOWN_ACTIONS)), F.lit(False))
 
 
 def annotate(log: DataFrame, session: str = "session_id",
-             order_by: list[str] = ("ts", "event_id"), max_steps: int = 20) -> DataFrame:
-    """Add step, cost, cum_cost, invalid, cum_invalid and ``active``.
+             order_by: list[str] = ("ts", "event_id"), max_steps: int = 20,
+             keep: list[str] | None = None) -> DataFrame:
+    """Add step, cost, cum_cost, invalid, cum_invalid and ``active``; ``keep`` names the
+    columns of the log that the result needs (all, if not given).
+    A missing action type is an unknown action: it is invalid and costs as such.
 
     ``active`` is false after the session ended: after its first ``finish``
     or beyond ``max_steps`` (later actions change nothing and score 0).
     """
     x = (log.withColumn("cost", action_cost(F.col("action_type")))
             .withColumn("invalid", is_invalid(F.col("action_type"), F.col("valid")).cast("long"))
-            .withColumn("__fin", (F.col("action_type") == "finish").cast("long")))
+            .withColumn("__fin", F.col("action_type").eqNullSafe("finish").cast("long")))
     x = segmented_scan(x, list(order_by), [
         ScanSpec("step", "count"), ScanSpec("cum_cost", "sum", "cost"),
         ScanSpec("cum_invalid", "sum", "invalid"), ScanSpec("__cum_fin", "sum", "__fin")],
-        partition_by=[session])
+        partition_by=[session],
+        keep=None if keep is None else [*keep, "cost", "invalid", "__fin"])
     active = ((F.col("__cum_fin") - F.col("__fin")) == 0) & (F.col("step") <= max_steps)
     return x.withColumn("active", active).drop("__fin", "__cum_fin")
 
@@ -135,16 +139,16 @@ def session_end(annotated: DataFrame, session: str = "session_id",
 
 def message(action_type: Column, valid: Column) -> Column:
     return F.when(is_invalid(action_type, valid),
-                  F.concat(F.lit("ERROR: invalid action "), action_type)) \
+                  F.concat(F.lit("ERROR: invalid action "), F.coalesce(action_type, F.lit("None")))) \
         .otherwise(F.concat(F.lit("OK: "), action_type))
 
 
 def audit(annotated: DataFrame) -> DataFrame:
     """Ordered history lines; ``finish`` and post-end actions are not logged."""
-    a = annotated.filter(F.col("active") & (F.col("action_type") != "finish"))
+    a = annotated.filter(F.col("active") & ~F.col("action_type").eqNullSafe("finish"))
     msg = F.substring(message(F.col("action_type"), F.col("valid")), 1, MESSAGE_CUT)
     return a.select("session_id", "step", F.format_string(
-        AUDIT_LINE, F.col("step"), F.col("action_type"),
+        AUDIT_LINE, F.col("step"), F.coalesce("action_type", F.lit("None")),
         F.coalesce(F.col("params_json"), F.lit("{}")), msg).alias("line"))
 
 

@@ -21,12 +21,13 @@ never an unpartitioned window) and compares the first ``min(rows)`` rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from kintsugi.functions.casts import to_double, to_text, to_timestamp
 from kintsugi.functions.nulls import is_missing, nullify_nan
 from kintsugi.functions.types import family
+from kintsugi.operators.joins import require_same_family
 from kintsugi.operators.scan import with_ordinal
 
 TWO_DAYS_US = 2 * 86400 * 10 ** 6
@@ -101,8 +102,11 @@ def _keyed_cells(live: DataFrame, trusted: DataFrame, key: str, cols: list[str],
                  order_by: list[str] | None, rtol: float, atol: float):
     """Trusted rows left-joined with the picked live row of their key (a
     left join: AQE can split a hot trusted key, NULL keys included)."""
-    picked, lmap = _picked_live(live, key, order_by)
-    Tt, tmap = _trusted_keyed(trusted, key)
+    require_same_family(live, trusted, key)
+    # only what is compared travels; a caller's order decides which row is picked
+    needed = {key, *cols, *(order_by or live.columns)}
+    picked, lmap = _picked_live(live.select(*[c for c in live.columns if c in needed]), key, order_by)
+    Tt, tmap = _trusted_keyed(trusted.select(*[c for c in trusted.columns if c in {key, *cols}]), key)
     joined = Tt.join(picked, (Tt["__tkc"] == picked["__kc"]) & (Tt["__tkn"] == picked["__kn"]),
                      "left")
     present = F.coalesce(F.col("__present"), F.lit(False))
@@ -180,7 +184,8 @@ def _positional(live, trusted, live_order, trusted_order, cols):
     tmap = {c: f"__t{i}" for i, c in enumerate(trusted.columns)}
     A = a.select(F.col("__pos").alias("__apos"), *[F.col(c).alias(amap[c]) for c in live.columns])
     Tt = t.select("__pos", *[F.col(c).alias(tmap[c]) for c in trusted.columns])
-    return Tt.join(A, Tt["__pos"] == A["__apos"], "inner"), amap, tmap
+    counts = [F.coalesce(x.select(F.max("__pos")).scalar(), F.lit(0)).cast("long") for x in (t, a)]
+    return Tt.join(A, Tt["__pos"] == A["__apos"], "inner"), amap, tmap, counts
 
 
 def compare_positional(live: DataFrame, trusted: DataFrame, live_order: list[str],
@@ -194,17 +199,16 @@ def compare_positional(live: DataFrame, trusted: DataFrame, live_order: list[str
     cols = _common(live, trusted, columns)
     if not cols:
         raise ValueError("no common column to compare")
-    joined, amap, tmap = _positional(live, trusted, live_order, trusted_order, cols)
+    joined, amap, tmap, (t_rows, l_rows) = _positional(live, trusted, live_order, trusted_order, cols)
     cells = sum((cell_match(tmap[c], trusted.schema[c].dataType, amap[c],
                             live.schema[c].dataType, rtol, atol).cast("long") for c in cols),
                 F.lit(0))
-    # two numbers used in several expressions: count once each
-    t_rows = F.lit(trusted.count()).cast("long")
-    l_rows = F.lit(live.count()).cast("long")
     n = len(cols)
-    agg = joined.agg(F.count(F.lit(1)).alias("compared_rows"), F.sum(cells).alias("m"))
+    agg = joined.agg(F.count(F.lit(1)).alias("compared_rows"), F.sum(cells).alias("m")) \
+        .withColumns({"trusted_rows": t_rows, "live_rows": l_rows})
+    t_rows = F.col("trusted_rows")
     return agg.select(
-        t_rows.alias("trusted_rows"), l_rows.alias("live_rows"), "compared_rows",
+        "trusted_rows", "live_rows", "compared_rows",
         F.coalesce("m", F.lit(0)).cast("long").alias("matched_cells"),
         F.when((F.col("compared_rows") > 0) & (t_rows > 0),
                F.round(F.col("m") / (t_rows * n), 4)).otherwise(F.lit(0.0)).alias("score"))
@@ -218,7 +222,7 @@ def mismatch_ratio(live: DataFrame, trusted: DataFrame, live_order: list[str],
     cols = _common(live, trusted, None)
     if not cols:
         return trusted.agg(F.lit(1.0).alias("mismatch_ratio"))
-    joined, amap, tmap = _positional(live, trusted, live_order, trusted_order, cols)
+    joined, amap, tmap, _ = _positional(live, trusted, live_order, trusted_order, cols)
     diffs = sum(((~cell_match(tmap[c], trusted.schema[c].dataType, amap[c],
                               live.schema[c].dataType, rtol, atol, null_rule=False)).cast("long")
                  for c in cols), F.lit(0))
@@ -234,7 +238,8 @@ def mean_value_match(live: dict[str, DataFrame], trusted: dict[str, DataFrame],
     live counterpart scores 0.  One row ``value_match`` (NULL when no
     trusted table is configured)."""
     if not trusted:
-        raise ValueError("no trusted table configured")
+        spark = next(iter(live.values())).sparkSession if live else SparkSession.active()
+        return spark.range(1).select(F.lit(None).cast("double").alias("value_match"))
     frames = []
     for name, t in trusted.items():
         if name in live:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kintsugi.functions.types import dtype_matches, dtype_name
 
@@ -36,6 +36,10 @@ class Contract:
     initial_rows: dict[str, int | Column] = field(default_factory=dict)
 
 
+def _session(tables: dict[str, DataFrame]) -> SparkSession:
+    return next(iter(tables.values())).sparkSession if tables else SparkSession.active()
+
+
 def _lit(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
@@ -55,6 +59,26 @@ def table_facts(df: DataFrame, name: str, contract: Contract) -> DataFrame:
                         nulls.alias("nulls"))
 
 
+@dataclass(frozen=True)
+class SchemaRow:
+    """One column a contract asks for; ``actual`` is None where table or column is absent."""
+    table: str
+    column: str
+    expected: str
+    actual: str | None
+
+    @property
+    def fits(self) -> bool:
+        return self.actual is not None and dtype_matches(self.actual, self.expected)
+
+
+def schema_rows(tables: dict[str, DataFrame], contract: Contract) -> list[SchemaRow]:
+    """Every (table, column) of the contract with its expected and actual dtype (schemas only)."""
+    actual = {(t, f.name): dtype_name(f.dataType) for t, df in tables.items() for f in df.schema.fields}
+    return [SchemaRow(t, c, expected, actual.get((t, c)))
+            for t, columns in contract.schema.items() for c, expected in columns.items()]
+
+
 def _issue(table, column, check, expected, actual, n, message, include) -> Column:
     return F.struct(F.lit(table).alias("table_name"), _as_str(column).alias("column_name"),
                     F.lit(check).alias("check_name"), _as_str(expected).alias("expected"),
@@ -92,15 +116,13 @@ def issues(tables: dict[str, DataFrame], contract: Contract,
                 n = F.col("nulls")[[c for c in expected if c in df.columns].index(col)]["n"]
                 entries.append(_issue(name, col, "nulls", 0, n, n,
                                       F.format_string(MSG_NULLS, F.lit(name), F.lit(col), n), n > 0))
-        for col, exp in expected.items():
-            if col not in df.columns:
-                entries.append(_issue(name, col, "missing_column", exp, None, None,
-                                      MSG_MISSING_COLUMN % (name, col), True))
-                continue
-            act = dtype_name(df.schema[col].dataType)
-            if not dtype_matches(act, exp):
-                entries.append(_issue(name, col, "dtype", exp, act, None,
-                                      MSG_DTYPE % (name, col, exp, act), True))
+        for row in schema_rows({name: df}, Contract({name: expected})):
+            if row.actual is None:
+                entries.append(_issue(name, row.column, "missing_column", row.expected, None, None,
+                                      MSG_MISSING_COLUMN % (name, row.column), True))
+            elif not row.fits:
+                entries.append(_issue(name, row.column, "dtype", row.expected, row.actual, None,
+                                      MSG_DTYPE % (name, row.column, row.expected, row.actual), True))
         d = F.col("duplicates")
         entries.append(_issue(name, None, "duplicates", 0, d, d,
                               F.format_string(MSG_DUPLICATES, F.lit(name), d), d > 0))
@@ -115,12 +137,10 @@ def issues(tables: dict[str, DataFrame], contract: Contract,
         frames.append(facts.select(F.inline(F.array(*entries))))
     if report_missing_tables:
         absent = [t for t in contract.schema if t not in tables]
-        if absent and frames:
-            anchor = frames[0].limit(1)  # any live frame: the rows are constants
-            for t in absent:
-                frames.append(anchor.select(F.inline(F.array(_issue(
-                    t, None, "missing_table", "present", "absent", None,
-                    MSG_MISSING_TABLE % t, True)))))
+        if absent or not frames:  # constants: a literal frame, no table is read for them
+            entries = [_issue(t, None, "missing_table", "present", "absent", None, MSG_MISSING_TABLE % t, True)
+                       for t in absent] or [_issue("", None, "none", None, None, None, None, False)]
+            frames.append(_session(tables).range(1).select(F.inline(F.array(*entries))))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -134,17 +154,10 @@ def validate_table(issue_frame: DataFrame, table: str) -> DataFrame:
 # ---------------------------------------------------------------- scores ----
 
 def schema_score(tables: dict[str, DataFrame], contract: Contract) -> float:
-    """Share of contract (table, column) pairs whose dtype satisfies the
-    contract; a missing table counts all its columns wrong (driver only)."""
-    total = correct = 0
-    for name, cols in contract.schema.items():
-        for col, exp in cols.items():
-            total += 1
-            df = tables.get(name)
-            if df is not None and col in df.columns and \
-                    dtype_matches(dtype_name(df.schema[col].dataType), exp):
-                correct += 1
-    return correct / total if total else 1.0
+    """Share of the contract's schema rows that fit; absent ones do not, and
+    an empty contract is fulfilled (schemas only)."""
+    fits = [row.fits for row in schema_rows(tables, contract)]
+    return sum(fits) / len(fits) if fits else 1.0
 
 
 def contract_scores(tables: dict[str, DataFrame], contract: Contract) -> DataFrame:
@@ -155,8 +168,6 @@ def contract_scores(tables: dict[str, DataFrame], contract: Contract) -> DataFra
     final aggregate over that small union.
     """
     live = [n for n in tables if n in contract.schema or n in contract.expected_rows]
-    if not live:
-        raise ValueError("no live table is named by the contract")
     facts = None
     for name in live:
         f = table_facts(tables[name], name, contract)
@@ -175,8 +186,12 @@ def contract_scores(tables: dict[str, DataFrame], contract: Contract) -> DataFra
                      F.when(F.lit(in_schema), F.size("nulls") + 1).otherwise(0).alias("total"),
                      F.when(F.lit(has_exp), rscore).alias("row_score"))
         facts = f if facts is None else facts.unionByName(f)
+    if facts is None:  # nothing to check the contract against
+        facts = _session(tables).range(0).select(F.lit(0).alias("passed"), F.lit(0).alias("total"),
+                                                 F.lit(None).cast("double").alias("row_score"))
     n_expected = len(contract.expected_rows)
-    validity = F.when(F.sum("total") > 0, F.sum("passed") / F.sum("total")).otherwise(F.lit(1.0))
+    nothing = 0.0 if contract.schema else 1.0  # tables that are asked for but absent earn nothing
+    validity = F.when(F.sum("total") > 0, F.sum("passed") / F.sum("total")).otherwise(F.lit(nothing))
     row_int = (F.coalesce(F.sum("row_score"), F.lit(0.0)) / n_expected) if n_expected else F.lit(1.0)
     return facts.agg(F.lit(schema_score(tables, contract)).alias("schema_score"),
                      validity.cast("double").alias("validity_score"),
@@ -186,12 +201,5 @@ def contract_scores(tables: dict[str, DataFrame], contract: Contract) -> DataFra
 def schema_mismatches_exact(tables: dict[str, DataFrame], contract: Contract) -> list[tuple]:
     """(table, column, expected, actual) where names differ exactly; absent
     columns read ``MISSING`` (no type equivalence).  Driver only."""
-    out = []
-    for name, cols in contract.schema.items():
-        df = tables.get(name)
-        actual = {c: dtype_name(df.schema[c].dataType) for c in df.columns} if df is not None else {}
-        for col, exp in cols.items():
-            act = actual.get(col, "MISSING")
-            if act != exp:
-                out.append((name, col, exp, act))
-    return out
+    return [(r.table, r.column, r.expected, r.actual or "MISSING")
+            for r in schema_rows(tables, contract) if r.actual != r.expected]

@@ -37,12 +37,17 @@ def _keys(on) -> tuple[str, str]:
     raise ValueError("on must be a column name, {'left': .., 'right': ..} or a pair")
 
 
-def _key_exprs(left: DataFrame, right: DataFrame, lk: str, rk: str) -> tuple[Column, Column]:
+def require_same_family(left: DataFrame, right: DataFrame, lk: str, rk: str | None = None) -> None:
+    """Keys of different type families never join by accident."""
+    rk = rk or lk
     lt, rt = field_type(left, lk), field_type(right, rk)
-    lf, rf = family(lt), family(rt)
-    if lf != rf:
+    if family(lt) != family(rt):
         raise TypeError(f"join key types differ: {lk} is {lt.simpleString()}, "
                         f"{rk} is {rt.simpleString()}; cast one side first")
+
+
+def _key_exprs(left: DataFrame, right: DataFrame, lk: str, rk: str) -> tuple[Column, Column]:
+    require_same_family(left, right, lk, rk)
     lc, rc = F.col(lk), F.col(rk)
     if _needs_double(left, right, lk, rk):
         lc, rc = lc.cast("double"), rc.cast("double")
@@ -78,12 +83,12 @@ def safe_join(left: DataFrame, right: DataFrame, on, how: str = "inner", *,
     cast_keys = _needs_double(left, right, lk, rk)
     lkey_i = F.col(lmap[lk]).cast("double") if cast_keys else F.col(lmap[lk])
     rkey_i = F.col(rmap[rk]).cast("double") if cast_keys else F.col(rmap[rk])
-    if HOWS[how] == "full":
-        # AQE splits skewed partitions for left/right/anti joins but not for
-        # full outer joins, so a full join is planned as a left outer join
+    if HOWS[how] in ("full", "right"):
+        # AQE splits a hot left key for inner and left joins, but not for
+        # full and right ones, so those are planned as a left or inner join
         # plus the right rows without a partner (anti join against the
         # distinct left keys); both parts are skew-splittable
-        lj = L.join(R, join_condition(lkey_i, rkey_i, null_keys), "left")
+        lj = L.join(R, join_condition(lkey_i, rkey_i, null_keys), "left" if HOWS[how] == "full" else "inner")
         lkeys = L.select(lkey_i.alias("__lk")).distinct()
         orphans = R.join(lkeys, join_condition(rkey_i, F.col("__lk"), null_keys), "left_anti")
         orphans = orphans.select(*[F.lit(None).cast(left.schema[c].dataType).alias(lmap[c])

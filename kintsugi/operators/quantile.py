@@ -1,118 +1,72 @@
-"""Exact median (and other order statistics) without one huge task.
-
-``F.median`` is exact but merges a value→count map of every distinct value
-into a single task, which does not survive high-cardinality columns at
-scale.  Here each pass is an ordinary distributed aggregate over one
-column: ``percentile_approx`` brackets the wanted ranks, counts confirm the
-bracket, and the band between the bounds shrinks by about ``accuracy/4``
-per pass.  Only when a band holds at most ``band_limit`` values are its
-needed ranks read with a bounded ``orderBy().offset().limit()``.
+"""Exact order statistics of a numeric column without one huge task.
+
+``F.median`` merges a map of every distinct value into one task.  Here the wanted
+ranks are found by histogram: the interval between the smallest and the largest
+value is cut into ``BUCKETS`` equal buckets, Spark counts each and notes its
+smallest and largest value, and the bucket that holds the rank becomes the next
+interval.  Each pass separates at least the smallest from the largest value, so
+the search ends at a single value, whatever the number of rows or ties; for
+values spread evenly it shrinks 4096-fold a pass.  The column is read from
+its source once and kept as a narrow table for the passes.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kintsugi.functions.nulls import is_missing
+from kintsugi.session import materialize
 
+BUCKETS = 4096
 
-def _band(values: DataFrame, lo, hi) -> DataFrame:
-    v = F.col("v")
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (v >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (v <= F.lit(hi))
-    return values.filter(cond)
 
+def _values(df: DataFrame, column: str) -> DataFrame:
+    dt = df.schema[column].dataType
+    return materialize(df.filter(~is_missing(column, dt)).select(F.col(column).cast("double").alias("v")))
 
-def order_statistics(df: DataFrame, column: str, ranks: list[int], *,
-                     accuracy: int = 10000, band_limit: int = 100000,
-                     max_passes: int = 40) -> list[float]:
-    """Values at 0-based ``ranks`` among the non-missing values, ascending.
 
-    Ranks close to each other (within half the band limit) are refined
-    together; distant ranks each get their own bracket, since one bracket
-    around far-apart ranks could not shrink."""
-    dt = df.schema[column].dataType
-    values = df.filter(~is_missing(column, dt)).select(F.col(column).cast("double").alias("v"))
-    out: dict[int, float] = {}
-    groups: list[list[int]] = []
-    for k in sorted(set(ranks)):
-        if groups and k - groups[-1][0] <= band_limit // 2:
-            groups[-1].append(k)
-        else:
-            groups.append([k])
-    for g in groups:
-        out.update(_refine(values, g, accuracy, band_limit, max_passes))
-    if any(k not in out for k in ranks):
-        raise RuntimeError("order statistics did not converge")
-    return [out[k] for k in ranks]
-
-
-def _refine(values: DataFrame, todo: list[int], accuracy: int, band_limit: int,
-            max_passes: int) -> dict[int, float]:
-    out: dict[int, float] = {}
-    lo = hi = None
-    below = 0            # values strictly under ``lo``
-    for _ in range(max_passes):
-        if not todo:
-            break
-        band = _band(values, lo, hi)
-        n_band = band.count()
-        rel = [k - below for k in todo]
-        if n_band <= band_limit:
-            rows = band.orderBy("v").offset(rel[0]).limit(rel[-1] - rel[0] + 1).collect()
-            for k, r in zip(todo, rel):
-                out[k] = rows[r - rel[0]].v
-            break
-        slack = 2.0 / accuracy
-        f_lo = max(0.0, rel[0] / n_band - slack)
-        f_hi = min(1.0, rel[-1] / n_band + slack)
-        b = band.agg(F.percentile_approx("v", [f_lo, f_hi], accuracy).alias("q")).first().q
-        new_lo, new_hi = float(b[0]), float(b[1])
-        chk = band.agg(F.count_if(F.col("v") < new_lo).alias("under"),
-                       F.count_if(F.col("v") <= new_hi).alias("upto"),
-                       F.count_if(F.col("v") == new_lo).alias("eq_lo"),
-                       F.count_if(F.col("v") == new_hi).alias("eq_hi")).first()
-        if not (chk.under <= rel[0] and chk.upto > rel[-1]):
-            accuracy *= 10  # the sketch missed its bound: retry finer
+def _at_ranks(values: DataFrame, stats, ranks: list[int]) -> dict[int, float]:
+    """Values at 0-based ranks; ``stats`` has the column's n, lo and hi."""
+    found: dict[int, float] = {}
+    todo = [(stats.lo, stats.hi, 0, sorted(set(ranks)))]  # interval, values below it, ranks inside
+    while todo:
+        lo, hi, below, inside = todo.pop()
+        if lo == hi:
+            found.update(dict.fromkeys(inside, lo))
             continue
-        below += chk.under
-        lo, hi = new_lo, new_hi
-        if lo == hi:                      # every value left in the band is this one
-            for k in todo:
-                out[k] = lo
-            break
-        # ranks inside the blocks of values equal to a bound are answered now;
-        # the rest continue on the open interval between the bounds, so heavy
-        # ties can never stall the refinement
-        n_in = chk.upto - chk.under
-        rest = []
-        for k in todo:
-            r = k - below
-            if r < chk.eq_lo:
-                out[k] = lo
-            elif r >= n_in - chk.eq_hi:
-                out[k] = hi
-            else:
-                rest.append(k)
-        if rest:
-            below += chk.eq_lo
-            lo, hi = math.nextafter(lo, math.inf), math.nextafter(hi, -math.inf)
-        todo = rest
-    return out
-
-
-def exact_median(df: DataFrame, column: str, **kw) -> float | None:
-    dt = df.schema[column].dataType
-    n = df.filter(~is_missing(column, dt)).count()
-    if n == 0:
+        width = hi / BUCKETS - lo / BUCKETS  # halves first: hi - lo may overflow
+        place = F.least(F.floor((F.col("v") / BUCKETS - lo / BUCKETS) / width * BUCKETS), F.lit(BUCKETS - 1)) \
+            if width > 0 else F.lit(0)
+        bucket = F.when(F.col("v") == lo, -1).when(F.col("v") == hi, BUCKETS).otherwise(place)
+        counts = values.filter((F.col("v") >= lo) & (F.col("v") <= hi)).groupBy(bucket.alias("b")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+        for row in sorted(counts, key=lambda r: r.lo):
+            mine = [k for k in inside if below <= k < below + row.n]
+            if mine:
+                todo.append((row.lo, row.hi, below, mine))
+            below += row.n
+    return found
+
+
+def order_statistics(df: DataFrame, column: str, ranks: list[int]) -> list[float]:
+    """Values at 0-based ``ranks`` among the non-missing values, ascending."""
+    values = _values(df, column)
+    found = _at_ranks(values, _stats(values), ranks)
+    return [found[k] for k in ranks]
+
+
+def _stats(values: DataFrame):
+    return values.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+
+
+def exact_median(df: DataFrame, column: str) -> float | None:
+    values = _values(df, column)
+    stats = _stats(values)
+    if not stats.n:
         return None
-    a, b = order_statistics(df, column, [(n - 1) // 2, n // 2], **kw)
-    return (a + b) / 2.0
+    middle = [(stats.n - 1) // 2, stats.n // 2]
+    found = _at_ranks(values, stats, middle)
+    return (found[middle[0]] + found[middle[1]]) / 2.0
 
 
 def median_column(df: DataFrame, column: str, exact: bool = True) -> Column:

@@ -145,7 +145,9 @@ def fill_nulls(df: DataFrame, column: str, value=None, strategy: str | None = No
     out_t = T.DoubleType() if (strategy in ("mean", "median") and not is_float(dt)) else dt
 
     if strategy in ("mean", "median") and not numeric:
-        raise TypeError(f"{strategy} fill needs a numeric column; {column!r} is {dt.simpleString()}")
+        # nothing missing is nothing to fill; a value without a mean fails the job when it is met
+        msg = f"{strategy} fill needs a numeric column; {column!r} is {dt.simpleString()}"
+        return _replace(df, column, F.when(miss, F.raise_error(F.lit(msg)).cast(dt)).otherwise(c))
 
     if strategy == "mean":
         if partition_by:
@@ -157,7 +159,12 @@ def fill_nulls(df: DataFrame, column: str, value=None, strategy: str | None = No
 
     if strategy == "median":
         if partition_by:
-            raise NotImplementedError("grouped median fill is not offered")
+            # counts per group and value are pre-aggregated; the group's median weighs them
+            counts = df.filter(~miss).groupBy(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(partition_by)],
+                                              c.cast("double").alias("__v")).count()
+            stats = counts.groupBy(*[f"__g{i}" for i in range(len(partition_by))]).agg(
+                F.percentile("__v", 0.5, F.col("count")).alias("__fill"))
+            return _join_group_fill(df, stats, column, partition_by, miss, c.cast(out_t))
         m = exact_median(df, column) if exact_median_fill else None
         fill = F.lit(m).cast("double") if exact_median_fill else df.filter(~miss).select(
             F.percentile_approx(c.cast("double"), 0.5, 10000)).scalar()
@@ -191,6 +198,10 @@ def fill_nulls(df: DataFrame, column: str, value=None, strategy: str | None = No
     vf, cf = value_family(value), family(dt)
     if not (vf == cf or (vf == "number" and cf == "number") or (vf == "text" and cf == "time")):
         raise TypeError(f"fill value {value!r} does not fit column {column!r} ({dt.simpleString()})")
+    if isinstance(dt, T.IntegralType) and not isinstance(value, bool):
+        bits = 8 * {"tinyint": 1, "smallint": 2, "int": 4}.get(dt.simpleString(), 8) - 1
+        if value != value or value in (float("inf"), -float("inf")) or int(value) != value or not -(1 << bits) <= value < 1 << bits:
+            raise ValueError(f"fill value {value!r} has no {dt.simpleString()} form; column {column!r} would change it")
     return _replace(df, column, F.when(miss, F.lit(value).cast(dt)).otherwise(c))
 
 
@@ -233,16 +244,17 @@ def drop_duplicates(df: DataFrame, subset: list[str] | None = None,
                            for c in df.columns])
 
 
-def _row_hash(df: DataFrame, cols: list[str]) -> Column:
+def _row_hash(df: DataFrame, cols: list[str], salt: str | None = None) -> Column:
     """64-bit hash of the row; -0.0 is folded into 0.0 (grouping treats
-    them as equal) and NaN hashes canonically."""
-    parts = []
+    them as equal) and NaN hashes canonically.  NULLs are told apart from
+    values by position; a salt gives another hash."""
+    parts = [] if salt is None else [F.lit(salt)]
     for c in cols:
         dt = field_type(df, c)
         col = F.col(c)
         if is_float(dt):
             col = F.when(col == 0, F.lit(0.0).cast(dt)).otherwise(col)
-        parts.append(col)
+        parts += [col, col.isNull()]
     return F.xxhash64(*parts)
 
 
@@ -251,35 +263,22 @@ def row_facts(df: DataFrame, null_columns: list[str] | None = None,
     """One row: ``rows``, ``duplicates`` (rows minus distinct rows over
     ``subset``, NULLs equal) and ``__n{i}`` missing counts of ``null_columns``.
 
-    One pass groups 8-byte row hashes and carries the missing counts in the
-    same map-side pre-aggregation, so whole rows are never shuffled for it.
-    Only rows whose hash occurs more than once are grouped on the real
-    columns (exact result); when no hash repeats, the semi join's build side
-    is empty and AQE skips that pass.
+    One pass groups rows by two independent 64-bit hashes and carries the
+    missing counts in the same map-side pre-aggregation, so whole rows are
+    never shuffled.  Two different rows count as equal with a chance below
+    rows^2 / 2^128.
     """
     keys = subset or df.columns
     null_columns = null_columns or []
-    hashed = df.select(_row_hash(df, keys).alias("__h"), *[
+    hashed = df.select(_row_hash(df, keys).alias("__h"), _row_hash(df, keys, "second").alias("__h2"), *[
         is_missing(c, field_type(df, c)).cast("long").alias(f"__n{i}")
         for i, c in enumerate(null_columns)])
-    per_hash = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__rows"), *[
+    per_hash = hashed.groupBy("__h", "__h2").agg(F.count(F.lit(1)).alias("__rows"), *[
         F.sum(f"__n{i}").alias(f"__n{i}") for i in range(len(null_columns))])
-    cand = per_hash.filter(F.col("__rows") > 1).select("__h")
-    exact = (df.select(_row_hash(df, keys).alias("__h"), *keys)
-               .join(cand, on="__h", how="left_semi")
-               .groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
-    # both one-row aggregates live in one plan (a union, then a sum), so the
-    # hash grouping's exchange is computed once and reused by both branches
-    n_cols = [f"__n{i}" for i in range(len(null_columns))]
-    main = per_hash.agg(F.sum("__rows").cast("long").alias("rows"),
-                        *[F.sum(c).cast("long").alias(c) for c in n_cols],
-                        F.lit(0).cast("long").alias("duplicates"))
-    dups = exact.agg(F.lit(0).cast("long").alias("rows"),
-                     *[F.lit(0).cast("long").alias(c) for c in n_cols],
-                     F.sum(F.col("n") - 1).cast("long").alias("duplicates"))
-    return main.unionByName(dups).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c)
-          for c in ["rows", *n_cols, "duplicates"]])
+    return per_hash.agg(
+        F.coalesce(F.sum("__rows"), F.lit(0)).cast("long").alias("rows"),
+        *[F.coalesce(F.sum(f"__n{i}"), F.lit(0)).cast("long").alias(f"__n{i}") for i in range(len(null_columns))],
+        F.coalesce(F.sum(F.col("__rows") - 1), F.lit(0)).cast("long").alias("duplicates"))
 
 
 def dedup_report(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -299,7 +298,6 @@ def duplicate_count(df: DataFrame, subset: list[str] | None = None) -> Column:
 # --------------------------------------------------------------- filter ----
 
 FILTER_OPERATORS = ("eq", "ne", "gt", "lt", "gte", "lte", "notnull", "isnull", "isin", "strip_eq")
-_ISIN_LITERAL_LIMIT = 1000
 
 
 def _text_of(column: str, dt: T.DataType) -> Column:
@@ -322,18 +320,23 @@ def filter_predicate(df: DataFrame, column: str, op: str, value=None) -> Column:
     not_nan = ~F.isnan(c) if is_float(dt) else F.lit(True)
     miss = is_missing(column, dt)
 
+    if cf == "bool" and vf == "number":
+        c, lit = c.cast("double"), F.lit(float(value))  # true is 1, false is 0
+    elif cf == "time" and vf == "text":
+        lit = F.lit(value).try_cast(dt)  # a text that is no time equals nothing
+    else:
+        lit = F.lit(value)
     if op == "eq":
         if value is None or not comparable:
             return F.lit(False)
-        return (c == F.lit(value)) & not_nan
+        return F.coalesce((c == lit) & not_nan, F.lit(False)) if lit is not None else F.lit(False)
     if op == "ne":
         if value is None or not comparable:
             return F.lit(True)
-        return ~c.eqNullSafe(F.lit(value)) | (F.isnan(c) if is_float(dt) else F.lit(False))
+        return lit.isNull() | ~c.eqNullSafe(lit) | (F.isnan(c) if is_float(dt) else F.lit(False))
     if op in ("gt", "lt", "gte", "lte"):
         if value is None or not comparable:
             raise TypeError(f"cannot compare {column!r} ({dt.simpleString()}) with {value!r}")
-        lit = F.lit(value)
         cmp = {"gt": c > lit, "lt": c < lit, "gte": c >= lit, "lte": c <= lit}[op]
         return F.coalesce(cmp & not_nan, F.lit(False))
     if op == "notnull":
@@ -348,9 +351,7 @@ def filter_predicate(df: DataFrame, column: str, op: str, value=None) -> Column:
         if not words:
             return F.lit(False)
         txt = _text_of(column, dt)
-        test = txt.isin(words) if len(words) <= _ISIN_LITERAL_LIMIT else F.array_contains(
-            F.lit(sorted(set(words))), txt)
-        return F.when(miss, hit_null).otherwise(F.coalesce(test, F.lit(False)))
+        return F.when(miss, hit_null).otherwise(F.coalesce(txt.isin(words), F.lit(False)))
     raise ValueError(f"unknown filter operator {op!r}; known: {FILTER_OPERATORS}")
 
 

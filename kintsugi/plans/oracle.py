@@ -56,7 +56,7 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
               JOIN region ON n_regionkey = r_regionkey""", ()),
     "action_log": ("""
 SELECT user_id * 100 + weekofyear(ts) AS session_id, event_id, ts,
-       CASE WHEN event_id % 13 = 0 THEN 'finish'
+       CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 'finish'
             WHEN event_type = 'click' THEN 'inspect_column'
             WHEN event_type = 'view' THEN 'check_nulls'
             WHEN event_type = 'purchase' THEN 'join_tables'

@@ -328,6 +328,5 @@ def _one_score(name):
     return run
 
 
-schema_score = _one_score("schema_score")
 validity_score = _one_score("validity_score")
 row_integrity = _one_score("row_integrity")

@@ -13,7 +13,7 @@ from kintsugi.sources import fixtures as fx
 STRIP_SQL = "regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
 INT_FORM_SQL = """CASE WHEN regexp_full_match(trim({c}), '[+-]?[0-9]+') THEN TRY_CAST(trim({c}) AS BIGINT)
      WHEN TRY_CAST(trim({c}) AS DOUBLE) = floor(TRY_CAST(trim({c}) AS DOUBLE))
-          AND abs(TRY_CAST(trim({c}) AS DOUBLE)) < 9.2e18
+          AND TRY_CAST(trim({c}) AS DOUBLE) >= -9223372036854775808.0 AND TRY_CAST(trim({c}) AS DOUBLE) < 9223372036854775808.0
      THEN CAST(TRY_CAST(trim({c}) AS DOUBLE) AS BIGINT) END"""
 MISSING_SQL = "({c} IS NULL OR isnan({c}))"
 
@@ -335,3 +335,94 @@ SELECT CAST(sum(n) AS BIGINT) AS rows_before, count(*) AS rows_after,
 FROM (SELECT count(*) AS n FROM orders_dup GROUP BY o_orderkey)""")
 def dedup_report(t):
     return repair.dedup_report(fx.orders_dup(t), subset=["o_orderkey"])
+
+
+# ------------------------------------------------------- exactness at the edges ----
+
+_EDGE = 1 << 53  # from here on doubles skip integers
+
+_WIDE_SQL = f"""SELECT o_orderkey + {_EDGE} AS k, CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE o_custkey % 2 + {_EDGE} END AS g,
+       CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey + {_EDGE} END AS payload,
+       CAST(o_orderkey AS DECIMAL(20,2)) + 0.25 AS amount, o_orderdate + INTERVAL 7000 YEAR AS far,
+       CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey + {_EDGE} END AS v FROM orders"""
+
+
+def _wide(t):
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    return t["orders"].select(
+        (key + _EDGE).alias("k"), F.when(cust % 10 != 0, cust % 2 + _EDGE).alias("g"),
+        F.when(key % 3 != 0, cust + _EDGE).alias("payload"),
+        (key.cast("decimal(20,2)") + F.expr("0.25BD")).cast("decimal(20,2)").alias("amount"),
+        (F.col("o_orderdate") + F.expr("INTERVAL 7000 YEAR")).alias("far"), F.when(key % 4 != 0, key + _EDGE).alias("v"))
+
+
+@query("ffill_wide_ints", f"""
+SELECT k, g, payload, CAST(amount AS DECIMAL(20,2)) AS amount, far, last_value(v IGNORE NULLS) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING) AS v
+FROM ({_WIDE_SQL})""")
+def ffill_wide_ints(t):
+    return repair.fill_nulls(_wide(t), "v", strategy="ffill", order_by=["k"])
+
+
+@query("ffill_wide_groups", f"""
+SELECT k, g, payload, CAST(amount AS DECIMAL(20,2)) AS amount, far,
+       last_value(v IGNORE NULLS) OVER (PARTITION BY g ORDER BY k ROWS UNBOUNDED PRECEDING) AS v
+FROM ({_WIDE_SQL})""")
+def ffill_wide_groups(t):
+    return repair.fill_nulls(_wide(t), "v", strategy="ffill", order_by=["k"], partition_by=["g"])
+
+
+@query("cast_int_decimal", f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey + {_EDGE + 1} END AS v FROM orders""")
+def cast_int_decimal(t):
+    key = F.col("o_orderkey")
+    v = key.cast("decimal(20,1)") + F.lit(_EDGE + 1).cast("decimal(20,1)") + F.when(key % 5 == 0, F.expr("0.5BD")).otherwise(F.expr("0.0BD"))
+    return repair.cast_column(t["orders"].select("o_orderkey", v.alias("v")), "v", "int64")
+
+
+@query("cast_int_limits", """
+SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 9223372036854775807 WHEN 2 THEN 9210000000000000000
+       WHEN 3 THEN -9223372036854775807 - 1 WHEN 5 THEN o_orderkey END AS v FROM orders""")
+def cast_int_limits(t):
+    key = F.col("o_orderkey")
+    texts = ["9223372036854775807", "9223372036854775808", "9.21e18", "-9223372036854775808", "1.5"]
+    v = key.cast("string")
+    for i, x in enumerate(texts):
+        v = F.when(key % 6 == i, F.lit(x)).otherwise(v)
+    return repair.cast_column(t["orders"].select("o_orderkey", v.alias("v")), "v", "int64")
+
+
+@query("cast_int32", """
+SELECT o_orderkey, CASE WHEN o_custkey * 5000000 <= 2147483647 THEN CAST(o_custkey * 5000000 AS INTEGER) END AS v FROM orders""")
+def cast_int32(t):
+    wide = t["orders"].select("o_orderkey", (F.col("o_custkey") * 5000000).cast("string").alias("v"))
+    return repair.cast_column(wide, "v", "int32")
+
+
+@query("filter_eq_bool", "SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0")
+def filter_eq_bool(t):
+    flagged = t["orders"].select("o_orderkey", (F.col("o_orderkey") % 2 == 0).alias("even"))
+    return repair.filter_rows(flagged, "even", "eq", 1).select("o_orderkey")
+
+
+@query("filter_eq_time", """
+SELECT o_orderkey, 'eq' AS kept_by FROM orders WHERE o_orderdate = TIMESTAMP '1997-05-28 00:00:00'
+UNION ALL SELECT o_orderkey, 'ne' FROM orders""")
+def filter_eq_time(t):
+    """A time equals a text that names it; a text that names no time equals nothing and differs from all."""
+    o = t["orders"].select("o_orderkey", "o_orderdate")
+    parts = [repair.filter_rows(o, "o_orderdate", op, value).select("o_orderkey", F.lit(op).alias("kept_by"))
+             for op, value in (("eq", "1997-05-28"), ("eq", "nope"), ("ne", "nope"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("fill_text_noop", "SELECT o_orderkey, o_orderstatus FROM orders")
+def fill_text_noop(t):
+    return repair.fill_nulls(t["orders"].select("o_orderkey", "o_orderstatus"), "o_orderstatus", strategy="mean")
+
+
+@query("fill_median_grouped", f"""
+SELECT event_id, event_type, CASE WHEN {MISSING_SQL.format(c='value')}
+       THEN median(value) FILTER (NOT isnan(value)) OVER (PARTITION BY event_type) ELSE value END AS value FROM events_gappy""")
+def fill_median_grouped(t):
+    return repair.fill_nulls(fx.events_gappy(t).select("event_id", "event_type", "value"), "value",
+                             strategy="median", partition_by=["event_type"])

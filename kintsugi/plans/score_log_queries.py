@@ -8,7 +8,7 @@ from kintsugi.functions.nulls import is_missing
 from kintsugi.functions.text import is_padded, strip
 from kintsugi.functions.types import dtype_matches, dtype_name
 from kintsugi.operators import actionlog, compare, contract, joins, repair, setops
-from kintsugi.operators.score import (Check, Rubric, final_blend, flag, row_credit, success,
+from kintsugi.operators.score import (Check, Rubric, average_scores, final_blend, flag, row_credit, success,
                                       weighted_total)
 from kintsugi.plans.quality_queries import (CONTRACT_SCORES_SQL, REPAIRED_ORDERS_SQL, keyed_sql,
                                             num_match, scenario, text_match)
@@ -54,6 +54,9 @@ JOIN_W = {"rows": 0.30, "key_filled": 0.15, "customer_key": 0.15, "total_dtype":
           "name": 0.10, "total_no_nulls": 0.10, "value_match": 0.10}
 JOIN_ROW_TOL = 2
 JOIN_MIN_SHARE = 0.9          # rows under this share of the expected count score 0
+JOIN_NO_COPY = 0.5            # value-match credit where there is no trusted copy
+JOIN_ABSENT_W = {"inputs": 0.05, "key_renamed": 0.03, "key_integer": 0.02}
+JOIN_ABSENT_CAP = 0.15        # most that the inputs earn without a result
 CASCADE_W = {"unpadded": 0.10, "valid_types": 0.15, "duration_dtype": 0.10, "session_ids": 0.10,
              "user_dtype": 0.10, "prereq": 0.05, "summary_exists": 0.15, "summary_rows": 0.10,
              "join_columns": 0.10, "value_match": 0.10}
@@ -159,11 +162,22 @@ def rubric_rename_dedup(t):
     return _stages(rows)
 
 
-def join_rubric(final: DataFrame, expected_rows, value_match, min_share: float = JOIN_MIN_SHARE):
-    facts = final.agg(F.count(F.lit(1)).alias("rows"),
-                      F.count_if(F.col("o_orderkey").isNull()).alias("kn"),
-                      F.count_if(is_missing("o_totalprice", final.schema["o_totalprice"].dataType))
-                      .alias("tn"))
+def absent_join_rubric(spark, inputs: dict[str, DataFrame], left: str, right: str, renamed: str, raw: str):
+    """What a join task without a result earns: both inputs, and the left key's name and type."""
+    keyed = inputs.get(left)
+    both = float(left in inputs and right in inputs)
+    checks = [Check("inputs_present", JOIN_ABSENT_W["inputs"], F.lit(both)),
+              Check("key_renamed", JOIN_ABSENT_W["key_renamed"], F.lit(_present(keyed, renamed) if keyed is not None else 0.0)),
+              Check("key_integer", JOIN_ABSENT_W["key_integer"], F.lit(_has_type(keyed, raw, "int64") if keyed is not None else 0.0))]
+    return Rubric(checks, cap=JOIN_ABSENT_CAP), spark.range(1)
+
+
+def join_rubric(final: DataFrame, expected_rows, value_match=None, min_share: float = JOIN_MIN_SHARE):
+    """``value_match`` None: there is no trusted copy, which earns a fixed part of that check."""
+    total = is_missing("o_totalprice", final.schema["o_totalprice"].dataType) if "o_totalprice" in final.columns else F.lit(True)
+    key = F.col("o_orderkey").isNull() if "o_orderkey" in final.columns else F.lit(True)
+    facts = final.agg(F.count(F.lit(1)).alias("rows"), F.count_if(key).alias("kn"), F.count_if(total).alias("tn"))
+    value_match = F.lit(JOIN_NO_COPY) if value_match is None else value_match
     rows, exp = F.col("rows").cast("double"), expected_rows.cast("double")
     within = F.abs(rows - exp) <= JOIN_ROW_TOL
     checks = [
@@ -176,7 +190,7 @@ def join_rubric(final: DataFrame, expected_rows, value_match, min_share: float =
         Check("total_no_nulls", JOIN_W["total_no_nulls"], flag(F.col("tn") == 0)),
         Check("value_match", JOIN_W["value_match"], value_match),
     ]
-    return Rubric(checks, gate=(~within) & (rows < exp * min_share), gate_cap=0.25), facts
+    return Rubric(checks, gate=(~within) & (rows < exp * min_share)), facts
 
 
 def _join_trusted(t):
@@ -219,7 +233,18 @@ FROM (SELECT vm, CASE WHEN abs(rows - e) > 2 AND rows < e * 0.9 THEN 0.0 ELSE ro
            (SELECT score AS vm FROM ({vm})) v)"""
 
 
-@query("rubric_join", _join_stage_sql("inner", "INNER") + "\nUNION ALL\n" + _join_stage_sql("left", "LEFT"))
+_JOIN_ALL_SQL = "\nUNION ALL\n".join([_join_stage_sql("inner", "INNER"), _join_stage_sql("left", "LEFT"), f"""
+SELECT 'no_copy', round(0.60 + 0.15 * (1 - kn / rows) + 0.10 * CAST(tn = 0 AS INT) + 0.05
+       + 0.30 * CASE WHEN abs(rows - e) <= 2 THEN 1.0 ELSE greatest(0.0, 1 - abs(rows / e - 1)) END - 0.25, 4), NULL, NULL
+FROM (SELECT CAST(count(*) AS DOUBLE) AS rows, count_if(o_orderkey IS NULL) AS kn,
+             count_if(o_totalprice IS NULL OR isnan(o_totalprice)) AS tn FROM ({_join_final_sql("LEFT")})) f,
+     (SELECT CAST(count(*) AS DOUBLE) AS e FROM orders) x""", """
+SELECT 'absent', round(0.05 * CAST((SELECT count(*) > 0 FROM orders_orphan) AND (SELECT count(*) > 0 FROM customer) AS INT)
+       + 0.02, 4), NULL, NULL"""])
+
+
+@query("rubric_join", f"SELECT stage, rubric, value_match, coalesce(final_score, round(0.85 * rubric, 4)) AS final_score "
+       f"FROM ({_JOIN_ALL_SQL}) s(stage, rubric, value_match, final_score)")
 def rubric_join(t):
     expected = _count(t["orders"])
     cust = t["customer"].select("c_custkey", "c_name")
@@ -230,9 +255,16 @@ def rubric_join(t):
         vm = F.lit(_score(compare.compare_keyed(final, trusted, "o_orderkey")))
         rub, facts = join_rubric(final, F.lit(expected), vm)
         rows.append(facts.select(F.lit(stage).alias("stage"), rub.total_expr().alias("rubric"),
-                                 vm.alias("value_match"))
-                    .withColumn("final_score", final_blend(F.col("rubric"), F.col("value_match"))))
-    return _stages(rows)
+                                 vm.alias("value_match")))
+    none = F.lit(None).cast("double").alias("value_match")
+    final = joins.safe_join(fx.orders_orphan(t), cust, ("o_custkey", "c_custkey"), "left")
+    rub, facts = join_rubric(final, F.lit(expected))
+    rows.append(facts.select(F.lit("no_copy").alias("stage"), rub.total_expr().alias("rubric"), none))
+    inputs = {"orders": fx.orders_orphan(t), "customer": t["customer"]}
+    rub, facts = absent_join_rubric(cust.sparkSession, inputs, "orders", "customer", "c_custkey", "o_custkey")
+    rows.append(facts.select(F.lit("absent").alias("stage"), rub.total_expr().alias("rubric"), none))
+    return _stages(rows).withColumn("final_score", final_blend(
+        F.col("rubric"), F.coalesce("value_match", F.lit(0.0))))
 
 
 # cascade ---------------------------------------------------------------
@@ -366,8 +398,8 @@ _COST_CASE = "CASE action_type " + " ".join(
     f"WHEN '{k}' THEN {v}" for k, v in actionlog.ACTION_COSTS.items()) + " ELSE 1.0 END"
 _KNOWN = ", ".join(f"'{a}'" for a in actionlog.KNOWN_ACTIONS)
 _ANNOTATED_SQL = f"""a0 AS (SELECT *, CAST({_COST_CASE} AS DOUBLE) AS cost,
-             CAST((NOT coalesce(valid, false)) OR action_type NOT IN ({_KNOWN}) AS BIGINT) AS invalid,
-             CAST(action_type = 'finish' AS BIGINT) AS fin FROM action_log),
+             CAST((NOT coalesce(valid, false)) OR NOT coalesce(action_type IN ({_KNOWN}), false) AS BIGINT) AS invalid,
+             CAST(action_type IS NOT DISTINCT FROM 'finish' AS BIGINT) AS fin FROM action_log),
 a1 AS (SELECT *, row_number() OVER w AS step, sum(cost) OVER w AS cum_cost,
               CAST(sum(invalid) OVER w AS BIGINT) AS cum_invalid, sum(fin) OVER w AS cum_fin
        FROM a0 WINDOW w AS (PARTITION BY session_id ORDER BY ts, event_id
@@ -388,7 +420,8 @@ _COST_PEN_SQL = "CASE WHEN cum_cost <= 20.0 THEN 0.0 ELSE least(0.30, (cum_cost
 @query("log_running_cost", f"""WITH {_ANNOTATED_SQL}
 SELECT session_id, event_id, step, cost, cum_cost, cum_invalid FROM al""")
 def log_running_cost(t):
-    return _annotated(t).select("session_id", "event_id", "step", "cost", "cum_cost", "cum_invalid")
+    a = actionlog.annotate(fx.action_log(t), max_steps=MAX_STEPS, keep=["session_id", "event_id"])
+    return a.select("session_id", "event_id", "step", "cost", "cum_cost", "cum_invalid")
 
 
 @query("log_penalties", f"""WITH {_ANNOTATED_SQL}
@@ -396,7 +429,8 @@ SELECT session_id, event_id, step, {_STEP_PEN_SQL} AS step_pen, round({_INV_PEN_
        round({_COST_PEN_SQL}, 6) AS cost_pen
 FROM al WHERE active""")
 def log_penalties(t):
-    p = actionlog.penalties(_annotated(t), max_steps=MAX_STEPS)
+    p = actionlog.penalties(actionlog.annotate(fx.action_log(t), max_steps=MAX_STEPS, keep=["session_id", "event_id"]),
+                            max_steps=MAX_STEPS)
     return p.select("session_id", "event_id", "step", "step_pen", F.round("inv_pen", 6).alias("inv_pen"),
                     F.round("cost_pen", 6).alias("cost_pen"))
 
@@ -413,10 +447,10 @@ def log_session_end(t):
 
 @query("log_audit", f"""WITH {_ANNOTATED_SQL}
 SELECT session_id, step,
-       printf('[Step %02d] %s(%s) → %s', step, action_type, coalesce(params_json, '{{}}'),
-              substring(CASE WHEN invalid = 1 THEN 'ERROR: invalid action ' || action_type
+       printf('[Step %02d] %s(%s) → %s', step, coalesce(action_type, 'None'), coalesce(params_json, '{{}}'),
+              substring(CASE WHEN invalid = 1 THEN 'ERROR: invalid action ' || coalesce(action_type, 'None')
                              ELSE 'OK: ' || action_type END, 1, 120)) AS line
-FROM al WHERE active AND action_type <> 'finish'""")
+FROM al WHERE active AND action_type IS DISTINCT FROM 'finish'""")
 def log_audit(t):
     return actionlog.audit(_annotated(t))
 
@@ -475,7 +509,8 @@ def scorecard(t):
 
 def _step_lines(t):
     a = _annotated(t).filter("active")
-    done = (F.col("action_type") == "finish") | (F.col("step") == MAX_STEPS)
+    done = F.col("action_type").eqNullSafe("finish") | (F.col("step") == MAX_STEPS)
+    a = a.withColumn("action_type", F.coalesce("action_type", F.lit("None")))
     err = F.when(F.col("invalid") == 1, F.lit("invalid_action"))
     return a.select("session_id", "event_id", runlog.format_step_lines(
         a, "step", "action_type", "cum_cost", done, err).alias("line"))
@@ -486,7 +521,7 @@ _STEP_RE = runlog.STEP_RE.replace("'", "''")
 
 @query("log_extract_steps", f"""WITH {_ANNOTATED_SQL},
 lines AS (SELECT session_id, event_id,
-                 printf('[STEP] step=%d action=%s reward=%.2f done=%s error=%s', step, action_type, cum_cost,
+                 printf('[STEP] step=%d action=%s reward=%.2f done=%s error=%s', step, coalesce(action_type, 'None'), cum_cost,
                         CASE WHEN action_type = 'finish' OR step = {MAX_STEPS} THEN 'true' ELSE 'false' END,
                         CASE WHEN invalid = 1 THEN 'invalid_action' ELSE 'null' END) AS line
           FROM al WHERE active)
@@ -500,6 +535,46 @@ def log_extract_steps(t):
     return runlog.parse_steps(_step_lines(t))
 
 
+def _end_lines(t):
+    s = actionlog.summary(_annotated(t))
+    rewards = F.array_join(F.transform("cost_trace", lambda x: F.format_string("%.2f", x)), ",")
+    return s.select("session_id", F.format_string(
+        "[END] success=%s steps=%d score=%.2f rewards=%s", F.when(F.col("invalid_actions") == 0, "true").otherwise("false"),
+        F.col("steps"), F.col("cost_used"), rewards).alias("line"))
+
+
+@query("log_extract_ends", f"""WITH {_ANNOTATED_SQL}
+SELECT session_id, max(cum_invalid) = 0 AS success, max(step) AS steps, max(cum_cost) AS score,
+       list(cum_cost ORDER BY step) AS rewards FROM al WHERE active GROUP BY session_id""")
+def log_extract_ends(t):
+    return runlog.parse_ends(_end_lines(t))
+
+
+def _start_lines(t):
+    """One line per session; every seventh lacks its model."""
+    sid = F.col("session_id")
+    return fx.action_log(t).select(sid).distinct().select(sid, F.concat(
+        F.lit("[START] task=t"), (sid % 4).cast("string"), F.lit(" env=tables"),
+        F.when(sid % 7 != 0, F.concat(F.lit(" model=m"), (sid % 3).cast("string"))).otherwise("")).alias("line"))
+
+
+@query("log_extract_starts", """SELECT DISTINCT session_id, 't' || CAST(session_id % 4 AS VARCHAR) AS task,
+       'tables' AS env, 'm' || CAST(session_id % 3 AS VARCHAR) AS model FROM action_log WHERE session_id % 7 <> 0""")
+def log_extract_starts(t):
+    return runlog.parse_starts(_start_lines(t))
+
+
+@query("log_line_kinds", f"""WITH {_ANNOTATED_SQL},
+k AS (SELECT 'step' AS kind FROM al WHERE active
+      UNION ALL SELECT 'end' FROM (SELECT DISTINCT session_id FROM al WHERE active)
+      UNION ALL SELECT CASE WHEN session_id % 7 <> 0 THEN 'start' ELSE 'unmatched' END
+                FROM (SELECT DISTINCT session_id FROM action_log))
+SELECT kind, count(*) AS n_lines FROM k GROUP BY kind""")
+def log_line_kinds(t):
+    lines = [x.select("line") for x in (_start_lines(t), _step_lines(t), _end_lines(t))]
+    return runlog.line_kinds(setops.union_by_name(*lines))
+
+
 def _model_text(t):
     c = t["conversations"]
     action = F.when(F.col("role") == "user", F.lit("inspect_column")).otherwise(F.lit("check_nulls"))
@@ -562,8 +637,18 @@ def last_n_per_session(t):
         .select("session_id", "event_id", "action_type", "pos_from_end")
 
 
-@query("final_blend", "SELECT stage, final_score FROM (" + _join_stage_sql("inner", "INNER")
-       + "\nUNION ALL\n" + _join_stage_sql("left", "LEFT") + ")")
+@query("final_blend", f"SELECT stage, coalesce(final_score, round(0.85 * rubric, 4)) AS final_score "
+       f"FROM ({_JOIN_ALL_SQL}) s(stage, rubric, value_match, final_score)")
 def final_blend_query(t):
     """Rubric blended with the value match (0.85 / 0.15), per join variant."""
     return rubric_join(t).select("stage", "final_score")
+
+
+_AVERAGE_SQL = f"SELECT stage, coalesce(final_score, round(0.85 * rubric, 4)) AS final_score FROM ({_JOIN_ALL_SQL}) s(stage, rubric, value_match, final_score)"
+
+
+@query("score_average", f"""SELECT 'rubric_join' AS task, count(*) AS runs, round(avg(final_score), 4) AS average_score,
+       count_if(final_score >= 0.1) AS successes FROM ({_AVERAGE_SQL})""")
+def score_average(t):
+    """The report over a set of final scores: runs, average and successes per task."""
+    return average_scores(rubric_join(t).select(F.lit("rubric_join").alias("task"), "final_score"), "task", "final_score")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kintsugi.operators import actionlog
 from kintsugi.plans.registry import query
 from kintsugi.plans.repair_queries import STRIP_SQL
 from kintsugi.sources import fixtures as fx
@@ -21,10 +22,8 @@ def stream_contract_monitor(t):
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-_COSTS = """CASE action_type WHEN 'inspect_column' THEN 0.5 WHEN 'check_nulls' THEN 0.5 WHEN 'cast_type' THEN 1.0
-  WHEN 'fill_nulls' THEN 1.0 WHEN 'drop_duplicates' THEN 1.0 WHEN 'rename_column' THEN 1.0
-  WHEN 'join_tables' THEN 2.0 WHEN 'filter_rows' THEN 1.0 WHEN 'validate_table' THEN 0.5 WHEN 'finish' THEN 0.0
-  WHEN 'check_pipeline_health' THEN 0.5 WHEN 'audit_log' THEN 0.0 ELSE 1.0 END"""
+_COSTS = "CASE action_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in actionlog.ACTION_COSTS.items()) + " ELSE 1.0 END"
+_KNOWN = ", ".join(f"'{a}'" for a in actionlog.KNOWN_ACTIONS)
 
 
 @query("stream_session_budget", """SELECT *,
@@ -40,9 +39,7 @@ s AS (SELECT *, sum(new_session) OVER (PARTITION BY session_id ORDER BY ts, even
                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sn FROM g)
 SELECT session_id, min(ts) AS window_start, max(ts) + INTERVAL 30 minutes AS window_end,
        count(*) AS actions, CAST(sum({_COSTS}) AS DOUBLE) AS cost,
-       CAST(count_if(NOT coalesce(valid, false) OR action_type NOT IN ('check_pipeline_health', 'inspect_column',
-            'check_nulls', 'cast_type', 'fill_nulls', 'drop_duplicates', 'rename_column', 'join_tables',
-            'filter_rows', 'validate_table', 'audit_log', 'finish')) AS BIGINT) AS invalid_actions
+       CAST(count_if(NOT coalesce(valid, false) OR NOT coalesce(action_type IN ({_KNOWN}), false)) AS BIGINT) AS invalid_actions
 FROM s GROUP BY session_id, sn)""")
 def stream_session_budget(t):
     out = monitors.session_budget(fx.action_log(t))

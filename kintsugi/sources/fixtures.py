@@ -116,7 +116,7 @@ def action_log(t) -> DataFrame:
     kind = F.when(k % 13 == 0, F.lit("finish"))
     for ev, action in ACTION_FOR_EVENT.items():
         kind = kind.when(F.col("event_type") == ev, F.lit(action))
-    kind = kind.otherwise(F.lit("unlisted_action"))
+    kind = F.when(k % 17 == 0, F.lit(None)).otherwise(kind.otherwise(F.lit("unlisted_action")))
     return e.select(
         (F.col("user_id") * 100 + F.weekofyear("ts")).alias("session_id"),
         "event_id", "ts", kind.alias("action_type"),

@@ -46,10 +46,26 @@ def parse_steps(lines: DataFrame, col: str = "line") -> DataFrame:
         F.when(err == "null", F.lit(None).cast("string")).otherwise(err).alias("error"))
 
 
+def parse_starts(lines: DataFrame, col: str = "line") -> DataFrame:
+    """Keep ``[START]`` lines and split them into task, env and model."""
+    c = F.col(col)
+    return lines.filter(c.rlike(START_RE)).select(
+        *[x for x in lines.columns if x != col],
+        *[F.regexp_extract(c, START_RE, i).alias(name) for i, name in enumerate(("task", "env", "model"), 1)])
+
+
+def line_kinds(lines: DataFrame, col: str = "line") -> DataFrame:
+    """Number of lines of each kind, ``unmatched`` for those that fit no layout."""
+    c = F.col(col)
+    kind = F.when(c.rlike(START_RE), "start").when(c.rlike(STEP_RE), "step").when(c.rlike(END_RE), "end").otherwise("unmatched")
+    return lines.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def parse_ends(lines: DataFrame, col: str = "line") -> DataFrame:
     c = F.col(col)
     g = lambda i: F.regexp_extract(c, END_RE, i)
     return lines.filter(c.rlike(END_RE)).select(
+        *[x for x in lines.columns if x != col],
         (g(1) == "true").alias("success"), g(2).cast("long").alias("steps"),
         g(3).cast("double").alias("score"),
         F.transform(F.split(g(4), ","), lambda x: x.cast("double")).alias("rewards"))

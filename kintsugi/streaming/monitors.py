@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from kintsugi.functions.nulls import is_missing
 from kintsugi.functions.text import strip
+from kintsugi.operators.repair import drop_duplicates
 from kintsugi.operators.scan import sessionize
 from kintsugi.operators.actionlog import (action_cost, cost_penalty, invalid_penalty, is_invalid,
                                           step_penalty)
@@ -78,10 +79,13 @@ def session_budget(log: DataFrame, ts: str = "ts", gap: str = "30 minutes",
 
 def dedup_events(events: DataFrame, key: list[str], ts: str = "ts",
                  watermark: str = "1 hour") -> DataFrame:
-    e = _event_time(events, ts).withWatermark(ts, watermark)
+    """One event per key.  A stream keeps the first that arrives and forgets a key after the
+    watermark, so a repeat that comes later than that is kept; a batch keeps the earliest by
+    event time (then by the other columns), however far apart the repeats are."""
+    e = _event_time(events, ts)
     if events.isStreaming:
-        return e.dropDuplicatesWithinWatermark(key)
-    return e.dropDuplicates(key)
+        return e.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(key)
+    return drop_duplicates(e, key, [ts, *[c for c in e.columns if c not in {ts, *key}]])
 
 
 def enrich_events(events: DataFrame, dim: DataFrame, key: str) -> DataFrame:
@@ -90,8 +94,17 @@ def enrich_events(events: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return events.join(dim, on=key, how="left")
 
 
+def run_to_files(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Process everything available into Parquet files at ``path`` (append mode); nothing passes the driver."""
+    q = (df.writeStream.outputMode("append").format("parquet").option("path", path)
+           .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def run_available_now(df: DataFrame, name: str, checkpoint: str, mode: str = "append"):
-    """Process everything available, into an in-memory table ``name``."""
+    """Process everything available, into a table ``name`` in the driver's memory: for
+    small results such as monitors' windows; see ``run_to_files`` for the rest."""
     q = (df.writeStream.outputMode(mode).format("memory").queryName(name)
            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()

@@ -46,7 +46,7 @@ def test_exact_median_matches_sort(spark):
     n = len(clean)
     assert exact_median(df, "v") == (clean[(n - 1) // 2] + clean[n // 2]) / 2
     # force several refinement passes with a tiny band
-    assert order_statistics(df, "v", [0, n // 3, n - 1], band_limit=16, accuracy=50) == \
+    assert order_statistics(df, "v", [0, n // 3, n - 1]) == \
         [clean[0], clean[n // 3], clean[n - 1]]
 
 
@@ -71,9 +71,9 @@ def test_order_statistics_with_heavy_ties(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     clean = sorted(vals)
     ks = [0, 500, 1049, 1050, 1400, 2099]
-    assert order_statistics(df, "v", ks, band_limit=8, accuracy=20) == [clean[k] for k in ks]
+    assert order_statistics(df, "v", ks) == [clean[k] for k in ks]
     same = spark.createDataFrame([(3.0,)] * 500, "v double")
-    assert order_statistics(same, "v", [0, 250, 499], band_limit=8, accuracy=20) == [3.0, 3.0, 3.0]
+    assert order_statistics(same, "v", [0, 250, 499]) == [3.0, 3.0, 3.0]
 
 
 def test_prev_equals_lag(spark):

@@ -17,7 +17,7 @@ def test_rubric_and_blend(spark):
     assert rub.total(facts).first().score == 1.0
     pts = {r.check_name: r.points for r in rub.points(facts).collect()}
     assert pts == {"a": 0.5, "rows": 0.5}
-    gated = score.Rubric([score.Check("a", 1.0, F.lit(1.0))], gate=F.col("rows") < 99, gate_cap=0.25)
+    gated = score.Rubric([score.Check("a", 1.0, F.lit(1.0))], gate=F.col("rows") < 99)
     assert gated.total(facts).first().score == 0.0
     row = facts.select(score.final_blend(F.lit(0.5), F.lit(1.0)).alias("x")).first()
     assert row.x == 0.575
