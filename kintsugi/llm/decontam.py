@@ -5,8 +5,9 @@ in lower case).  A document is contaminated where a stretch of its words is
 within ``share`` of an item's length in word edits (insert, remove, replace).
 
 Every word position is a window as long as the items of a length class.  An edit
-changes at most two pairs of neighbouring words, so windows with too few word
-pairs of the benchmark cannot be within the bound and are passed over.  The others, like the items, take the CGK random walk: step j
+changes at most three word triples, and the closest stretch begins with one of an
+item's first words, so windows that begin otherwise, or have too few triples of
+the items of their class, cannot be the closest within the bound and are passed over.  The others, like the items, take the CGK random walk: step j
 writes the current word and moves on if a random bit of (word, j) says so, which
 turns few edits into few differing places.  Each repetition samples places of a
 walk of its own as the LSH key; the number of repetitions is what a simulation
@@ -43,7 +44,7 @@ RECALL = 0.98
 #: Sampled places of a key; ratio between length classes.
 SAMPLES = 3
 RATIO = 1.25
-PAIR_BITS = 22
+TRIPLE_BITS = 22
 KEY_BITS = 24
 _PAD = np.uint64(0x27D4EB2F165667C5)
 _SALT = np.uint64(0x9E3779B97F4A7C15)
@@ -69,9 +70,15 @@ def sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return words, first
 
 
-def pair_names(words: np.ndarray) -> np.ndarray:
-    """The name of each pair of neighbouring words."""
-    return mixed(words[:-1] * _SALT + words[1:]).astype(np.int64)
+def triples(words: np.ndarray) -> np.ndarray:
+    """A hash of the word triple that begins at each word but the last two."""
+    n = max(0, len(words) - 2)
+    return mixed((words[:n] * _SALT + words[1:n + 1]) * _SALT + words[2:n + 2])
+
+
+def class_names(hashes: np.ndarray, c: int, head: bool = False) -> np.ndarray:
+    """Names of triples, or of words that items begin with, in a length class."""
+    return mixed(hashes ^ mixed(np.full(1, 2 * c + head + 1, np.uint64))).astype(np.int64)
 
 
 def length_class(n: np.ndarray) -> np.ndarray:
@@ -158,7 +165,7 @@ def edit_distances(items: list[np.ndarray], windows: list[np.ndarray]) -> np.nda
 
 def item_keys(benchmark: DataFrame, share: float = SHARE, recall: float = RECALL,
               id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item, cls, words, pairs, keys) of every item that is searched."""
+    """(item, cls, words, names, keys) of every item that is searched."""
     id_type = dict(benchmark.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,56 +173,62 @@ def item_keys(benchmark: DataFrame, share: float = SHARE, recall: float = RECALL
             words, first = sequences(batch.column(1).to_pylist())
             keep = np.flatnonzero(np.diff(first) >= MIN_WORDS)
             classes = length_class(np.diff(first)[keep])
-            keys, lists, pairs = [], [], []
+            keys, lists, names = [], [], []
             for i, c in zip(keep.tolist(), classes.tolist(), strict=True):
                 low, high = class_lengths(c)
                 start = np.array([first[i]])
                 keys.append([int(walk_keys(words, start, start + low, low, r)[0]) for r in
                              range(repetitions(low, edits_allowed(high, share), recall))])
                 lists.append(words[first[i]:first[i + 1]].astype(np.int64))
-                pairs.append(pair_names(words[first[i]:first[i + 1]]))
+                own, heads = words[first[i]:first[i + 1]], edits_allowed(first[i + 1] - first[i], share) + 1
+                names.append(np.concatenate((class_names(triples(own), c), class_names(own[:heads], c, True))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(keep)), pa.array(classes, pa.int64()),
-                 pa.array(lists, pa.list_(pa.int64())), pa.array(pairs, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
-                names=["item", "cls", "words", "pairs", "keys"])
+                 pa.array(lists, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
+                names=["item", "cls", "words", "names", "keys"])
 
     rows = benchmark.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    return rows.mapInArrow(run, f"item {id_type}, cls long, words array<long>, pairs array<long>, keys array<long>")
+    return rows.mapInArrow(run, f"item {id_type}, cls long, words array<long>, names array<long>, keys array<long>")
 
 
-def _candidates(docs: DataFrame, classes: list[int], pairs, keys, share: float, recall: float) -> DataFrame:
-    """(id, place, key, window) of every window whose key some item may have."""
+def _candidates(docs: DataFrame, classes: list[int], names, keys, share: float, recall: float) -> DataFrame:
+    """(id, place, keys, window) of every window with keys that some item may have."""
     id_type = dict(docs.dtypes)["id"]
-    plan = [(low, high, edits_allowed(high, share), repetitions(low, edits_allowed(high, share), recall))
-            for low, high in map(class_lengths, classes)]
+    plan = [(c, low, high, edits_allowed(high, share), repetitions(low, edits_allowed(high, share), recall))
+            for c in classes for low, high in [class_lengths(c)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, group in text_groups(batch.column(1).to_pylist()):
                 words, first = sequences(group)
-                known = np.concatenate(([0], np.cumsum(in_table(pairs.value, pair_names(words)))))
                 doc = np.repeat(np.arange(len(group)), np.diff(first))
-                end = first[1:][doc]
-                for low, high, most, repeats in plan:
-                    place = np.arange(len(words))
+                end, place, three = first[1:][doc], np.arange(len(words)), triples(words)
+                for c, low, high, most, repeats in plan:
+                    known = np.zeros(len(words) + 1, np.int64)
+                    known[1:len(three) + 1] = in_table(names.value, class_names(three, c))
+                    known = np.cumsum(known)
                     stop = np.minimum(place + low, end)
-                    start = np.flatnonzero(known[stop - 1] - known[place] >= low - 1 - 2 * most)
-                    if not len(start):
+                    start = np.flatnonzero(known[np.maximum(stop - 2, place)] - known[place] >= low - 2 - 3 * most)
+                    start = start[in_table(names.value, class_names(words[start], c, True))]
+                    hits = [(start[hit], key[hit]) for key in (walk_keys(words, start, stop[start], low, r) for r in range(repeats))
+                            for hit in [in_table(keys.value, key)] if hit.any()] if len(start) else []
+                    if not hits:
                         continue
-                    stop = stop[start]
-                    for r in range(repeats):
-                        key = walk_keys(words, start, stop, low, r)
-                        hit = in_table(keys.value, key)
-                        if not hit.any():
-                            continue
-                        s, k = start[hit], key[hit]
-                        upto = np.minimum(s + high + most, end[s])
-                        lists = [words[a:b].astype(np.int64) for a, b in zip(s.tolist(), upto.tolist(), strict=True)]
-                        yield pa.RecordBatch.from_arrays(
-                            [batch.column(0).take(pa.array(at + doc[s])), pa.array(s - first[doc[s]]), pa.array(k),
-                             pa.array(lists, pa.list_(pa.int64()))], names=["id", "place", "key", "window"])
-
-    return docs.mapInArrow(run, f"id {id_type}, place long, key long, window array<long>")
+                    s, k = (np.concatenate(x) for x in zip(*hits, strict=True))
+                    order = np.argsort(s, kind="stable")
+                    s, k = s[order], k[order]
+                    begin = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+                    s = s[begin]
+                    size = np.minimum(s + high + most, end[s]) - s
+                    spot = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(s, size)
+                    ends = np.concatenate(([0], np.cumsum(size)))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(at + doc[s])), pa.array(s - first[doc[s]]),
+                         pa.ListArray.from_arrays(pa.array(np.append(begin, len(k)), pa.int32()), pa.array(k)),
+                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words[spot].astype(np.int64)))],
+                        names=["id", "place", "keys", "window"])
+
+    return docs.mapInArrow(run, f"id {id_type}, place long, keys array<long>, window array<long>")
 
 
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -225,12 +238,12 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     spark = docs.sparkSession
     items = stored(item_keys(benchmark, share, recall))
     classes = sorted(r["cls"] for r in items.select("cls").distinct().collect())
-    pairs = spark.sparkContext.broadcast(bit_table(items.select(F.explode("pairs").alias("k")), PAIR_BITS))
+    names = spark.sparkContext.broadcast(bit_table(items.select(F.explode("names").alias("k")), TRIPLE_BITS))
     keys = spark.sparkContext.broadcast(bit_table(items.select(F.explode("keys").alias("k")), KEY_BITS))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    found = _candidates(rows, classes, pairs, keys, share, recall)
+    found = _candidates(rows, classes, names, keys, share, recall)
     by_key = items.select("item", "words", F.explode("keys").alias("key")).distinct()
-    met = found.join(by_key, "key").groupBy("id", "place", "item", "words").agg(F.first("window").alias("window"))
+    met = found.select("id", "place", "window", F.explode("keys").alias("key")).join(by_key, "key").groupBy("id", "place", "item", "words").agg(F.first("window").alias("window"))
 
     @F.arrow_udf("int")
     def distance(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
