@@ -290,3 +290,17 @@ def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     alone = met.where("label is null")
     best = met.where("label is not null and __id <=> component_id").dropDuplicates(["label"])
     return named.where("not __hit").select("__row.*").union(alone.select("__row.*")).union(best.select("__row.*"))
+
+
+def join_sql(table: str = "documents") -> str:
+    """:func:`join` as DuckDB SQL, by comparing all pairs that share a shingle."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS ws FROM {table}),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {WIDTH} THEN [array_to_string(ws, ' ')]
+          ELSE list_transform(range(1, len(ws) - {WIDTH - 2}), lambda i: array_to_string(ws[i:i + {WIDTH - 1}], ' ')) END) AS shingle FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+    e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= {PERCENT} * (x.n + y.n - common)),
+    r(doc_id, reached) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached)
+    SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reached) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id"""

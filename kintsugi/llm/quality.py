@@ -129,3 +129,36 @@ def rate(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     got = df.withColumn("__quality", run(text_of(text_col)))
     return got.withColumns({f: F.col(f"__quality.{f}") for f in fields}).drop("__quality")
+
+
+def rate_sql(table: str = "documents") -> str:
+    """doc_id, the base columns and the verdict as DuckDB SQL."""
+    grams, covers, shares = [], [], []
+    for n, most in NGRAM_SHARES.items():
+        grams.append(f"g{n} AS (SELECT doc_id, p, row_number() OVER (PARTITION BY doc_id, g ORDER BY p) AS nth FROM ("
+                     f"SELECT doc_id, p, list(w) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING) AS g FROM w)"
+                     f" WHERE len(g) = {n})")
+        covers.append(f"c{n} AS (SELECT doc_id, sum(length(w)) AS chars FROM w JOIN (SELECT DISTINCT doc_id, p + unnest(range({n})) AS p"
+                      f" FROM g{n} WHERE nth > 1) USING (doc_id, p) GROUP BY doc_id)")
+        shares.append(f"coalesce(c{n}.chars, 0) / greatest(word_chars, 1) <= {most}")
+    words = r"[^\x20\x09-\x0D]+"
+    return rf"""
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM {table}),
+    l AS (SELECT doc_id, regexp_extract_all(text, '{words}') AS ws, text FROM t),
+    w AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS p FROM l),
+    b AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+                 CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols FROM l),
+    g3 AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS n FROM (
+           SELECT doc_id, p, list(w) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS g FROM w) WHERE len(g) = 3),
+    r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, p + unnest(range(3)) AS p FROM g3 WHERE n > 1) GROUP BY doc_id),
+    {", ".join(grams + covers)},
+    s AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line ORDER BY no) AS nth FROM (
+          SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS no FROM t)),
+    d AS (SELECT doc_id, count_if(nth > 1 AND regexp_matches(line, '{words}')) AS n, sum(length(line)) AS chars,
+                 coalesce(sum(length(line)) FILTER (nth > 1 AND regexp_matches(line, '{words}')), 0) AS again FROM s GROUP BY doc_id),
+    f AS (SELECT b.*, CAST(coalesce(d.n, 0) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+                 n_words < 50 OR 100 * coalesce(r.n, 0) > 50 * n_words AS base_failed, d.again / greatest(d.chars, 1) AS line_share
+          FROM b LEFT JOIN r USING (doc_id) LEFT JOIN d USING (doc_id))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND line_share <= {LINE_SHARE} AND {" AND ".join(shares)} AS kept
+    FROM f {" ".join(f"LEFT JOIN c{n} USING (doc_id)" for n in NGRAM_SHARES)}"""

@@ -77,7 +77,7 @@ def op9_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.rate(docs).drop("text")
+    return quality.rate(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -94,6 +94,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_jaccard": jaccard.join_sql(),
     "op7_linededup": linededup.dedup_sql(),
     "op9_urlfilter": urlfilter.judge_sql(),
+    "op10_quality": quality.rate_sql(),
 }
