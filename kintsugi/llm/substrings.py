@@ -41,10 +41,10 @@ LENGTH = 200
 GRAM = 64
 #: Anchors that a stretch can have; bytes of text handled at once.
 SPAN = LENGTH - GRAM + 1
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Contexts of one anchor that may share a pool; bytes of a pool.
 POOL_ROWS = 20_000
-POOL_BYTES = 8 << 20
+POOL_BYTES = 2 << 20
 TABLE_BITS = 24
 SYMBOL = 8
 #: Whole symbols that any stretch holds.
@@ -128,10 +128,17 @@ class Anchors:
         self.pos = p - begin[p]
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, so that Python objects exist for those only."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, Anchors]]:
     """Keys and anchors of the texts of a task, each text once."""
     seen: set[int] = set()
-    for batch in batches:
+    for batch in _parts(batches):
         keys, texts = [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if key not in seen:
@@ -164,14 +171,14 @@ def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def once(batches):
         seen: set[int] = set()
-        for batch in batches:
+        for batch in _parts(batches):
             keys = batch.column(0).to_numpy()
             fresh = [hit and k not in seen and not seen.add(k) for hit, k in zip(in_table(table.value, keys).tolist(), keys.tolist(), strict=True)]
             yield batch.filter(pa.array(fresh, pa.bool_()))
 
     def cut(batches):
         seen: set[int] = set()
-        for batch in batches:
+        for batch in _parts(batches, 100):
             for key, text, places in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if key in seen:
                     continue
@@ -292,7 +299,7 @@ def _pool_intervals(contexts: DataFrame) -> DataFrame:
 
     def run(batches):
         rows, size = [], 0
-        for batch in batches:
+        for batch in _parts(batches):
             for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if size > POOL_BYTES and row[0] != rows[-1][0]:
                     yield solved(rows)
@@ -314,7 +321,7 @@ def _hashed_intervals(contexts: DataFrame) -> DataFrame:
     """The same for anchors with too many contexts for a pool: stretches meet by hash."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             data = batch.column(5).to_pylist()
             context, key, pos, shift = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2, 3, 4))
             flat = np.frombuffer(b"".join(data), np.uint8)
@@ -377,7 +384,8 @@ def dedup(df: DataFrame, text_col: str = "text", pool_rows: int = POOL_ROWS) ->
 
     @F.arrow_udf("struct<n_bytes:long,n_removed:long,n_spans:long,kept:binary>")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, wholes, lists in batches:
+        for texts, wholes, lists in ([c.slice(first, 500) for c in columns] for columns in batches
+                                     for first in range(0, len(columns[0]), 500)):
             out = []
             begins, ends = lists.flatten().field("a"), lists.flatten().field("b")
             upto = np.concatenate(([0], np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))))
