@@ -58,6 +58,7 @@ def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool =
         try:
             sdf = qs[name](spark, sf_dir)
             scols = sdf.columns
+            rec["python"] = "Python" in sdf._jdf.queryExecution().executedPlan().toString()
             srows = [tuple(r) for r in sdf.collect()]
             rec["rows"] = len(srows)
             if name in oracle:

@@ -10,6 +10,7 @@ def test_catalogue_matches_oracle(spark):
     res = compare(spark, SF_SMALL, verbose=False)
     bad = {n: r for n, r in res.items() if "error" in r or not r.get("match", True)}
     assert not bad, bad
+    assert not [n for n, r in res.items() if r["python"]]  # all of it runs in the JVM
 
 
 def test_entry_contract(spark):
@@ -21,10 +22,9 @@ def test_entry_contract(spark):
     assert set(catalog.queries()) <= set(e.queries())
 
 
-def test_plans_avoid_python_rows_and_push_down(spark):
+def test_filters_and_columns_reach_the_scan(spark):
     from kintsugi.plans import catalog
-    q = catalog.queries()
-    plan = q["filter_gt"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "BatchEvalPython" not in plan
-    plan = q["join_report"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "BatchEvalPython" not in plan
+    plan = catalog.queries()["filter_eq_bool"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<o_orderkey:bigint>" in plan
+    plan = catalog.queries()["log_running_cost"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "params_json" not in plan
