@@ -60,6 +60,11 @@ def _located(df: DataFrame, found: dict[str, tuple[Column, str]]) -> DataFrame:
     def piece(k: str, i: Column) -> Column:
         return F.col(f"p_{k}")[i]
 
+    def kept(value: Column) -> Column:
+        # named twice, a computed array stays a column of its own; named once inside a
+        # lambda, the optimizer would compute it again for every element
+        return F.coalesce(value, value)
+
     def lengths(k: str) -> Column:
         return F.transform(f"m_{k}", lambda x, i: F.length(x) + F.length(piece(k, i)))
 
@@ -72,7 +77,8 @@ def _located(df: DataFrame, found: dict[str, tuple[Column, str]]) -> DataFrame:
 
     def start(k: str, i: Column) -> Column:
         chunk = F.floor(i / _CHUNK).cast("int")
-        return F.col(f"o_{k}")[chunk] + total(F.slice(f"l_{k}", chunk * _CHUNK + 1, i - chunk * _CHUNK)) + F.length(piece(k, i))
+        return kept(F.col(f"o_{k}")[chunk]) + total(kept(F.slice(f"l_{k}", chunk * _CHUNK + 1, i - chunk * _CHUNK))) \
+            + F.length(piece(k, i))
 
     def located(k: str) -> Column:
         return F.transform(f"m_{k}", lambda x, i: F.struct(
