@@ -19,9 +19,10 @@ from kintsugi.llm.queries import vocabulary_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose text is in a known language.  The model learns
-    from the labelled rows of its input outside fold 2."""
-    model = langid.train(docs.where(langid.fold() != 2))
+    """Keeps the documents whose text is in a known language.  The model and
+    its limits come from the labelled rows of its input outside fold 2."""
+    labelled = docs.where(langid.fold() != 2)
+    model = langid.with_limits(labelled, langid.train(labelled))
     return langid.predict(docs, model).where(~langid.rejects()).select(docs.columns)
 
 

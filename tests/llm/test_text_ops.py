@@ -79,6 +79,20 @@ def test_language_of_odd_rows(odd):
         langid.train(odd, max_languages=1)
 
 
+def test_texts_in_a_language_left_out_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("length(text) > 200")
+    for left_out in ("de", "en", "es", "fr"):
+        labelled = docs.where((F.col("lang") != left_out) & (langid.fold() != 2))
+        model = langid.with_limits(labelled, langid.train(labelled))
+        rows = langid.predict(docs, model).withColumn("out", langid.rejects()).collect()
+        assert np.mean([r.out for r in rows if r.lang == left_out]) > 0.9
+    labelled = docs.where(langid.fold() != 2)
+    model = langid.with_limits(labelled, langid.train(labelled))
+    assert langid.predict(docs, model).where(langid.rejects()).count() == 0
+    nothing = docs.limit(0)
+    assert langid.predict(docs, langid.with_limits(nothing, langid.train(nothing))).where(~langid.rejects()).count() == 0
+
+
 def test_globs_equal_a_plain_matcher():
     rng = random.Random(1)
     globs = ["".join(rng.choices(["a", "b", "/", ".", "*", "**", "?"], k=rng.randint(1, 9))) for _ in range(120)]
