@@ -1,8 +1,8 @@
 """HTML to text as a reader sees it: a tree builder with implied tags, then layout.
 
 The builder reads tags in order, closes elements whose end is implied (a ``p``
-before a block, an ``li`` before the next, cells and rows of tables) and opens
-those that are missing (a row around a stray cell).  Visibility rules drop what
+before a block, an ``li`` before the next, cells and rows of tables, a ``head``
+before the first thing that does not belong there) and opens those that are missing (a row around a stray cell).  Visibility rules drop what
 a browser does not show.  Layout keeps blocks apart by line ends or blank lines,
 marks list items and indents nested lists, keeps preformatted text as it is, and
 sets table cells in aligned columns.  Work is linear in the page's length.
@@ -27,6 +27,7 @@ from kintsugi.llm.common import text_of
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])))*+)>""")
 _ATTRIBUTE = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?""")
+_UNQUOTED_END = re.compile(r"""=\s*+[^\s"'>]++\s*+$""")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 _HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 
@@ -35,7 +36,15 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 #: Elements whose content is not shown.
 UNSEEN = frozenset("head script style title template noscript iframe noembed noframes object video audio canvas "
-                   "svg math datalist rp map".split())
+                   "datalist rp map annotation annotation-xml".split())
+#: In an svg image only text elements and embedded pages show text, outside of these.
+SVG_UNSEEN = frozenset("defs symbol clippath mask pattern marker lineargradient radialgradient filter desc metadata".split())
+#: Elements in svg and math whose content is parsed as in a page, and start tags that end svg and math.
+EMBEDDING = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing "
+                     "menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+#: Any other tag, and text, ends an open head.
+HEAD_CONTENT = frozenset("title meta link script style base basefont bgsound template noscript noframes head html".split())
 #: Blocks with a blank line around them, and blocks on lines of their own.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure fieldset".split())
 LINED = frozenset("address article aside body center dd details dialog dir div dt footer form header hgroup hr html "
@@ -153,13 +162,15 @@ class Table:
 
 
 class Element:
-    __slots__ = ("name", "shown", "pre", "table", "across", "down", "count")
+    __slots__ = ("name", "shown", "pre", "table", "across", "down", "count", "foreign", "drawn")
 
     def __init__(self, name: str, shown: bool, pre: bool):
         self.name, self.shown, self.pre = name, shown, pre
         self.table = None
         self.across = self.down = 1
         self.count = 0
+        #: Inside svg or math; inside an svg image that is shown.
+        self.foreign = self.drawn = False
 
 
 class Builder:
@@ -192,6 +203,10 @@ class Builder:
 
     # -- tags
     def start(self, name: str, attributes: str) -> None:
+        if self.open[-1].name == "head" and name not in HEAD_CONTENT:
+            self.close_upto(len(self.open) - 1)
+        while self.open[-1].foreign and name in BREAKOUT:
+            self.close_upto(len(self.open) - 1)
         if name in IMPLIED_ENDS:
             wanted, within = IMPLIED_ENDS[name]
             while (depth := self.find(wanted, within)) > 0:
@@ -208,16 +223,30 @@ class Builder:
         found = {}
         for key, value in _ATTRIBUTE.findall(attributes) if attributes.strip(" /") else ():
             found.setdefault(key.lower(), unescape(value.strip("\"'")) if value else "")
-        shown = above.shown and name not in UNSEEN and "hidden" not in found \
+        shown = (above.shown or above.drawn) and name not in UNSEEN and "hidden" not in found \
             and not _HIDING.search(found.get("style", "")) \
             and not (name == "dialog" and "open" not in found) \
             and not (above.name == "details" and above.count < 0 and name != "summary")
+        drawn = False
+        if above.drawn:
+            shown = shown and name not in SVG_UNSEEN and found.get("display", "").strip().lower() != "none" \
+                and found.get("visibility", "").strip().lower() not in ("hidden", "collapse")
+            drawn = shown and name != "foreignobject"
+            shown = shown and (above.shown or name in ("text", "foreignobject"))
+        if name == "svg":
+            drawn, shown = drawn or shown, False
         element = Element(name, shown, above.pre or name in ("pre", "textarea", "xmp"))
+        element.drawn = drawn
+        element.foreign = name in ("svg", "math") or (above.foreign and name not in EMBEDDING)
         if name == "details" and "open" not in found:
             element.count = -1
         if shown:
             if name == "br":
                 flow.line_end()
+            elif name == "text" and drawn:
+                flow.blank = True
+            elif name == "foreignobject" and above.drawn:
+                flow.block(1)
             elif name in SPACED:
                 flow.block(2 if not (name in LISTS and self.find(LISTS) > 0) else 1)
             elif name in LINED:
@@ -243,9 +272,14 @@ class Builder:
                                                 (("colspan", 1000), ("rowspan", 65534)))
                 self.flows.append(Flow())
                 element.table = True
-        if name not in VOID:
+        if name not in VOID and not self.closed_itself(element, attributes):
             self.push(element)
 
+    def closed_itself(self, element: Element, attributes: str) -> bool:
+        """Whether a tag ends with a slash that closes its element, as in svg and math."""
+        return attributes.rstrip().endswith("/") and (element.foreign or self.open[-1].foreign) \
+            and not _UNQUOTED_END.search(attributes)
+
     def marker(self, depth: int) -> str:
         if depth > 0 and self.open[depth].name == "ol":
             self.open[depth].count += 1
@@ -267,6 +301,10 @@ class Builder:
                 table.cell(text, element.across, element.down)
             return
         flow = self.flows[-1]
+        if name == "text" and element.drawn:
+            flow.blank = True
+        elif name == "foreignobject" and self.open[-1].drawn:
+            flow.block(1)
         if name in LISTS or name == "dd" or name == "blockquote":
             flow.indent -= 1
         if name == "table" and (text := element.table.text()):
@@ -287,6 +325,8 @@ class Builder:
             self.close_upto(depth)
 
     def text(self, raw: str) -> None:
+        if self.open[-1].name == "head" and raw.strip(" \t\n\r\f"):
+            self.close_upto(len(self.open) - 1)
         top = self.open[-1]
         if not top.shown or (top.name == "details" and top.count < 0):
             return
@@ -320,7 +360,7 @@ def render(page: str) -> str:
                 builder.end(name)
                 continue
             builder.start(name, found[3])
-            if name in RAW:
+            if name in RAW and builder.open[-1].name == name:
                 close = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, at)
                 builder.text(page[at:close.start() if close else size])
                 at = close.start() if close else size

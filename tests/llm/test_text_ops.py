@@ -173,6 +173,24 @@ def test_html_layout():
                                  "  3. x\n  4. y\n\na < b < c\nn\nsum\nlink")
 
 
+def test_html_head_and_body_tags_may_be_omitted():
+    head = "<html><head><title>t</title><meta charset=x><style>p {}</style>\n"
+    for page in (head + "<p>Text <b>here", head + "Text <b>here", "<title>t</title><p>Text <b>here", head + "<noscript>no</noscript><body>Text <b>here",
+                 "<head><script>var a = '<p>no'</script>Text <b>here</b>"):
+        assert html.render(page) == "Text here"
+    assert html.render(head + "<div>A</div><head><p>B</p></head>C") == "A\n\nB\n\nC"
+    assert html.render(head + "</head><body>x") == "x"
+
+
+def test_html_text_in_images_and_formulas():
+    page = """<p>See <svg viewBox="0 0 1 1"><title>no</title><defs/><defs><text>no</text></defs><style>no</style><g>no<path d="M0"/>
+      <text x=1>North</text><text>So<tspan>uth</tspan><desc>no</desc></text><text display="none">no</text></g>
+      <foreignObject><p>inside</foreignObject></svg> and <math><mi>x</mi><mo>=</mo><semantics><mn>2</mn><annotation>no</annotation></semantics></math>.
+      <svg hidden><text>no</text></svg><svg><text>open<p>After</p><math><mi>y<p>last"""
+    assert html.render(page).split() == "See North South inside and x=2. open After y last".split()
+    assert html.render('<svg><title/><text>a</text></svg>b') == "a b"
+
+
 def test_html_of_odd_rows(spark):
     pages = [None, "", "plain", "<p>" * 3000 + "x", "<table><tr><td>" * 500 + "deep", "<a b='", "<!-- open", "<td>stray</td>", "<" * 9, LONG]
     df = spark.createDataFrame([(i, p, 1) for i, p in enumerate(pages)], "page_id long, html string, text int")
