@@ -8,7 +8,7 @@ which words near it disclose it: over all documents of the corpus,
 
 and the disclosure PMI / IC is 1 for a term that never occurs without the entity
 nearby.  Terms of a context with enough support are generalised from
-``GENERALISE`` on and removed from ``REMOVE`` on.
+``GENERALISE`` on and removed from ``REMOVE`` on, wherever they occur in any text.
 
 Everything runs as DataFrame expressions: patterns, offsets (prefix sums over
 the pieces between matches), checksums, counts and joins.  The patterns use
@@ -23,6 +23,8 @@ Extra columns do not matter.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +40,11 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 IP_PARTS = r"^0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(\.0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}$"
-#: A term: letters that are no part of an address or number.
-TERM = r"(?<![\p{L}\p{N}@._%+-])\p{L}{3,}+(?![@_%+\p{N}-]|\.[\p{L}\p{N}])"
+#: A term: letters, also joined by hyphens, that are no part of an address or number.
+TERM = r"(?<![\p{L}\p{N}@._%+-])\p{L}++(?:-\p{L}++)*+(?![@_%+\p{N}-]|\.[\p{L}\p{N}])"
+
+#: A term of a context: one more character stands before it and two after it, so cut words are none.
+CONTEXT_TERM = rf"(?<=[\s\S]){TERM}(?=[\s\S]{{2}})"
 
 #: Characters of context on either side of an identifier.
 CONTEXT = 60
@@ -48,11 +53,21 @@ SUPPORT = 3
 GENERALISE = 0.85
 REMOVE = 0.95
 _CHUNK = 256
+#: Characters of the pieces from which contexts are cut.
+_SEGMENT = 1024
+#: Slots (2^bits) of the filter for disclosing terms.
+_TERM_BITS = 18
+
 
+def kept(value: Column) -> Column:
+    # named twice, a computed array stays a column of its own; named once inside a
+    # lambda, the optimizer would compute it again for every element
+    return F.coalesce(value, value)
 
-def _located(df: DataFrame, found: dict[str, tuple[Column, str]]) -> DataFrame:
+
+def _located(df: DataFrame, found: dict[str, tuple[Column, str]], wanted: Callable[[Column], Column] | None = None) -> DataFrame:
     """Adds for each name the array of matches of a pattern in a text column, as structs
-    (start, value, before, after): offset, match, and the pieces of text on either side.
+    (start, value): offset and match (of those that are wanted).
     Offsets are prefix sums in chunks, so they cost little even for many matches."""
     def total(xs: Column) -> Column:
         return F.aggregate(xs, F.lit(0), lambda a, x: a + x)
@@ -60,11 +75,6 @@ def _located(df: DataFrame, found: dict[str, tuple[Column, str]]) -> DataFrame:
     def piece(k: str, i: Column) -> Column:
         return F.col(f"p_{k}")[i]
 
-    def kept(value: Column) -> Column:
-        # named twice, a computed array stays a column of its own; named once inside a
-        # lambda, the optimizer would compute it again for every element
-        return F.coalesce(value, value)
-
     def lengths(k: str) -> Column:
         return F.transform(f"m_{k}", lambda x, i: F.length(x) + F.length(piece(k, i)))
 
@@ -81,8 +91,11 @@ def _located(df: DataFrame, found: dict[str, tuple[Column, str]]) -> DataFrame:
             + F.length(piece(k, i))
 
     def located(k: str) -> Column:
+        if wanted:
+            some = F.filter(F.transform(f"m_{k}", lambda x, i: F.struct(x.alias("value"), i.alias("i"))), lambda y: wanted(y["value"]))
+            return F.transform(some, lambda y: F.struct(start(k, y["i"]).alias("start"), y["value"].alias("value")))
         return F.transform(f"m_{k}", lambda x, i: F.struct(
-            start(k, i).alias("start"), x.alias("value"), piece(k, i).alias("before"), piece(k, i + 1).alias("after")))
+            start(k, i).alias("start"), x.alias("value")))
 
     names = list(found)
     df = df.withColumns({f"m_{k}": F.regexp_extract_all(text, F.lit(p), F.lit(0)) for k, (text, p) in found.items()})
@@ -119,7 +132,8 @@ def _valid(kind: str, value: Column) -> Column:
 
 
 def base_spans(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with ``base``: (start, kind, end, value, before, after, cut_before, cut_after), in order."""
+    """``df`` with ``base``: (start, kind, end, value, around), in order; ``around`` is the span with its
+    context, one more character before it and two after it (blanks beyond the text's ends)."""
     text = F.col("__text")
     hints = {"email": F.instr(text, "@") > 0, "phone": F.instr(text, "+") > 0}
     named = df.withColumn("__text", text_of(text_col))
@@ -127,26 +141,54 @@ def base_spans(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     def spans(i: int, kind: str) -> Column:
         return F.transform(F.filter(f"__{kind}", lambda x: _valid(kind, x["value"])), lambda x: F.struct(
-            x["start"].alias("start"), F.lit(i).alias("kind"), (x["start"] + F.length(x["value"])).alias("end"), x["value"].alias("value"),
-            F.right(x["before"], F.lit(CONTEXT)).alias("before"), F.left(x["after"], F.lit(CONTEXT)).alias("after"),
-            (F.length(x["before"]) > CONTEXT).alias("cut_before"), (F.length(x["after"]) > CONTEXT).alias("cut_after")))
+            x["start"].alias("start"), F.lit(i).alias("kind"), (x["start"] + F.length(x["value"])).alias("end"), x["value"].alias("value")))
+
+    def around(x: Column) -> Column:
+        at = F.greatest(x["start"] - CONTEXT - 1, F.lit(0))
+        first = F.floor(at / _SEGMENT).cast("int")
+        last = F.floor((x["end"] + CONTEXT + 2) / _SEGMENT).cast("int")
+        part = F.substr(F.array_join(F.slice(kept(F.col("__segments")), first + 1, last - first + 1), ""),
+                        at - first * _SEGMENT + 1, x["end"] + CONTEXT + 2 - at)
+        size = F.least(x["start"], F.lit(CONTEXT)) + 1 + x["end"] - x["start"] + CONTEXT + 2
+        return F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), x["value"].alias("value"),
+                        F.rpad(F.concat(F.when(x["start"] <= CONTEXT, " ").otherwise(""), part), size, F.lit(" ")).alias("around"))
 
     parts = [spans(i, kind) for i, kind in enumerate(PATTERNS)]
-    return located.withColumn("base", F.array_sort(F.concat(*parts))).drop("__text", *[f"__{k}" for k in PATTERNS])
+    sorted_ = located.withColumn("__spans", F.array_sort(F.concat(*parts))).drop(*[f"__{k}" for k in PATTERNS])
+    cut = sorted_.withColumn("__segments", F.when(F.size("__spans") > 0, F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{_SEGMENT}}}+"), F.lit(0))))
+    return cut.withColumn("base", F.transform("__spans", around)).drop("__text", "__spans", "__segments")
 
 
 def _context_terms(mentions: DataFrame) -> DataFrame:
-    """(id, r, entity, term, start, end) of the terms near each mention, cut words left out."""
-    sides = mentions.select("id", "r", "entity", F.explode(F.array(
-        F.struct((F.col("m.start") - F.length("m.before")).alias("at"), F.col("m.before").alias("part"),
-                 F.col("m.cut_before").alias("cut_left"), F.lit(False).alias("cut_right")),
-        F.struct(F.col("m.end").alias("at"), F.col("m.after").alias("part"),
-                 F.lit(False).alias("cut_left"), F.col("m.cut_after").alias("cut_right")))).alias("s"))
-    found = _located(sides.select("id", "r", "entity", "s.*"), {"terms": (F.col("part"), TERM)})
-    terms = found.select("id", "r", "entity", "at", "cut_left", "cut_right", F.length("part").alias("size"), F.explode("terms").alias("t"))
-    stop = F.col("t.start") + F.length("t.value")
-    return terms.where(~(F.col("cut_left") & (F.col("t.start") == 0)) & ~(F.col("cut_right") & (stop == F.col("size")))) \
-        .select("id", "r", "entity", F.lower("t.value").alias("term"), (F.col("at") + F.col("t.start")).alias("start"), (F.col("at") + stop).alias("end"))
+    """(r, entity, term) of the terms that lie within ``CONTEXT`` characters of a mention."""
+    return mentions.select("r", "entity", F.explode(_terms_of(F.col("m.around"), CONTEXT_TERM)).alias("term")).distinct()
+
+
+def _terms_of(text: Column, pattern: str = TERM) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.lower))
+
+
+def _occurrences(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(id, r, start, end, kind) of every occurrence of the terms (term, kind) in the texts of ``docs``.
+    A table of bits picks the texts and words that may be wanted before the join on the term."""
+    slot = F.xxhash64("term").bitwiseAND((1 << _TERM_BITS) - 1)
+    got = terms.select(slot.alias("slot")).select(F.expr("slot div 64").alias("word"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bit")) \
+        .groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
+    words = [0] * (1 << _TERM_BITS - 6)
+    for r in got:
+        words[r["word"]] = r["bits"]
+    table = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
+
+    def may(term: Column) -> Column:
+        h = F.xxhash64(term)
+        word = F.shiftright(h, 6).bitwiseAND((1 << _TERM_BITS - 6) - 1).cast("int")
+        return F.get(table, word).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int"))) != 0
+
+    some = docs.where(F.exists(_terms_of(F.col("text")), may))
+    found = _located(some, {"terms": (F.col("text"), TERM)}, lambda value: may(F.lower(value)))
+    every = found.select("id", "r", F.explode("terms").alias("t")) \
+        .select("id", "r", F.lower("t.value").alias("term"), F.col("t.start").alias("start"), (F.col("t.start") + F.length("t.value")).alias("end"))
+    return every.join(terms, "term").select("id", "r", "start", "end", "kind").distinct()
 
 
 def disclosing_terms(near: DataFrame, mentions: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
@@ -154,7 +196,7 @@ def disclosing_terms(near: DataFrame, mentions: DataFrame, docs: DataFrame, text
     together = near.select("entity", "term", "r").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")) \
         .where(F.col("n_both") >= SUPPORT)
     with_entity = mentions.select("entity", "r").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_of(text_col)), F.lit(TERM), F.lit(0)))).alias("term"))
+    words = docs.select(F.explode(_terms_of(text_of(text_col))).alias("term"))
     with_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).where(F.col("n_term") >= SUPPORT)
     n = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
     share = lambda c: F.col(c) / n
@@ -175,9 +217,9 @@ def sanitise(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     mentions = based.where(F.size("base") > 0).dropDuplicates(["id", "r"]).select("id", "r", F.explode("base").alias("m")) \
         .withColumn("entity", F.xxhash64("m.kind", "m.value"))
     near = stored(_context_terms(mentions))
-    terms = disclosing_terms(near, mentions, docs, "text")
     kind = F.when(F.col("disclosure") >= REMOVE, KINDS.index("remove")).otherwise(KINDS.index("generalise"))
-    more = near.join(terms, ["entity", "term"]).groupBy("id", "r", "start", "end").agg(F.min(kind).alias("kind")) \
+    terms = stored(disclosing_terms(near, mentions, docs, "text").groupBy("term").agg(F.min(kind).alias("kind")))
+    more = _occurrences(docs, terms) \
         .groupBy("r", "id").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
     plain = F.transform("base", lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
     met = based.alias("b").join(more.alias("t"), F.expr("b.r = t.r and b.id <=> t.id"), "left") \

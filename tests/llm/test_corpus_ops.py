@@ -265,6 +265,22 @@ def test_terms_that_give_an_identifier_away(spark):
     assert all(not rows[100 + i].spans and rows[100 + i].clean == rows[100 + i].text for i in range(200))
 
 
+def test_disclosing_terms_are_marked_wherever_they_occur(spark):
+    filler = "plain words about nothing much " * 60
+    told = [(i, f"write Zanzibarov or Li or Smith-Jones by zan@corp.example, {filler}then ZANZIBAROV \U0001f600 and Smith-Jones.") for i in range(9)]
+    told += [(9, f"{filler}Zanzibarov was there"), (10, f"x@corp.example, zan@corp.example {filler}")]
+    pairs = [(20 + i, f"Quillerman sent a{i}@b.example, two@b.example on") for i in range(4)]
+    df = spark.createDataFrame(told + pairs + [(100 + i, f"{filler}number{i}") for i in range(400)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.sanitise(df).join(df, "doc_id").collect()}
+    marked = {d: [r.text[s.start:s.end] for s in r.spans if s.kind >= 4] for d, r in rows.items()}
+    for i in range(9):
+        assert marked[i].count("Zanzibarov") == marked[i].count("ZANZIBAROV") == marked[i].count("Li") == 1 and marked[i].count("Smith-Jones") == 2
+        assert "Quillerman" not in marked[i] and not {"plain", "words"} & set(marked[i])
+    assert marked[9] == ["Zanzibarov"]
+    assert all("Quillerman" in marked[20 + i] for i in range(4))
+    assert not any(marked[100 + i] for i in range(400))
+
+
 def test_personal_data_stays_in_the_jvm(spark):
     df = spark.createDataFrame([(1, "a@b.c")], "doc_id long, text string")
     plan = pii.sanitise(df)._jdf.queryExecution().executedPlan().toString()
