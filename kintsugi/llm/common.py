@@ -63,10 +63,15 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def is_blank(codes: np.ndarray) -> np.ndarray:
+    """Whether each code point separates words (see ``WORD_PATTERN``)."""
+    return _BLANK[np.minimum(codes, 32)] & (codes <= 32)
+
+
 def word_hashes(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The words of several texts (see ``WORD_PATTERN``): their 64-bit polynomial
     hashes, their lengths, and the number of the first word of each text (and the end)."""
-    inside = ~_BLANK[np.minimum(codes, 32)] | (codes > 32)
+    inside = ~is_blank(codes)
     in_word = np.concatenate(([False], inside, [False]))
     cut = np.zeros(len(codes) + 1, bool)
     cut[offsets] = True

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kintsugi.llm import bpe, decontam, html, jaccard, langid, linededup, pii, quality, substrings, urlfilter
+from kintsugi.llm import bpe, common, decontam, fim, html, jaccard, knnquality, langid, linededup, pii, quality, substrings, urlfilter, \
+    vectorcodes
 
 
 def vocabulary_path() -> str:
@@ -80,6 +82,28 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_vectorcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vectorcodes.compress(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    rows = common.stored(coded.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label"))
+    per_label = rows.groupBy(F.col("label").alias("l")).agg(F.sum("error").alias("label_error"))
+    digest = hashlib.sha256(books.listed().encode()).hexdigest()
+    return rows.join(per_label, F.col("label").eqNullSafe(F.col("l"))) \
+        .select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.transform(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", F.col("n_chars").alias("n"), "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2(fim.restored(), 256).alias("restored_sha256"))
+
+
+def op13_knnquality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.coalesce(knnquality.held_out(), F.lit(False))
+    model = knnquality.train(docs, _table(spark, sf_dir, "labels").where(~held), "quality")
+    return knnquality.rate(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
@@ -91,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_langid": op8_langid,
     "op9_urlfilter": op9_urlfilter,
     "op10_quality": op10_quality,
+    "op11_vectorcodes": op11_vectorcodes,
+    "op12_fim": op12_fim,
+    "op13_knnquality": op13_knnquality,
 }
 
 ORACLE: dict[str, str] = {
@@ -98,4 +125,6 @@ ORACLE: dict[str, str] = {
     "op7_linededup": linededup.dedup_sql(),
     "op9_urlfilter": urlfilter.judge_sql(),
     "op10_quality": quality.rate_sql(),
+    "op11_vectorcodes": vectorcodes.compress_sql(),
+    "op12_fim": fim.transform_sql(),
 }
