@@ -161,7 +161,14 @@ def base_spans(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 def _context_terms(mentions: DataFrame) -> DataFrame:
     """(r, entity, term) of the terms that lie within ``CONTEXT`` characters of a mention."""
-    return mentions.select("r", "entity", F.explode(_terms_of(F.col("m.around"), CONTEXT_TERM)).alias("term")).distinct()
+    return _rows_of(mentions, _terms_of(F.col("m.around"), CONTEXT_TERM), "term", "r", "entity").distinct()
+
+
+def _rows_of(df: DataFrame, array: Column, name: str, *others: str) -> DataFrame:
+    """One row per element.  From a plain ``explode`` the optimizer infers a filter on the array's size and moves it
+    below the projections, where it holds the whole computation of the array a second time, patterns inside lambdas
+    included; it infers none from the outer form."""
+    return df.select(*others, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
 
 
 def _terms_of(text: Column, pattern: str = TERM) -> Column:
@@ -186,7 +193,7 @@ def _occurrences(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
     some = docs.where(F.exists(_terms_of(F.col("text")), may))
     found = _located(some, {"terms": (F.col("text"), TERM)}, lambda value: may(F.lower(value)))
-    every = found.select("id", "r", F.explode("terms").alias("t")) \
+    every = _rows_of(found, F.col("terms"), "t", "id", "r") \
         .select("id", "r", F.lower("t.value").alias("term"), F.col("t.start").alias("start"), (F.col("t.start") + F.length("t.value")).alias("end"))
     return every.join(terms, "term").select("id", "r", "start", "end", "kind").distinct()
 
@@ -196,7 +203,7 @@ def disclosing_terms(near: DataFrame, mentions: DataFrame, docs: DataFrame, text
     together = near.select("entity", "term", "r").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")) \
         .where(F.col("n_both") >= SUPPORT)
     with_entity = mentions.select("entity", "r").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    words = docs.select(F.explode(_terms_of(text_of(text_col))).alias("term"))
+    words = _rows_of(docs, _terms_of(text_of(text_col)), "term")
     with_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).where(F.col("n_term") >= SUPPORT)
     n = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
     share = lambda c: F.col(c) / n
