@@ -15,7 +15,7 @@ from kintsugi.functions.casts import DEFAULT_TIME_FORMATS, cast_expr
 from kintsugi.functions.nulls import is_missing, nullify_nan
 from kintsugi.functions.text import camel_to_snake, strip
 from kintsugi.functions.types import family, field_type, is_float, value_family
-from kintsugi.operators.quantile import exact_median
+from kintsugi.operators.quantile import exact_median, group_medians
 from kintsugi.operators.scan import ScanSpec, segmented_scan
 
 
@@ -159,11 +159,8 @@ def fill_nulls(df: DataFrame, column: str, value=None, strategy: str | None = No
 
     if strategy == "median":
         if partition_by:
-            # counts per group and value are pre-aggregated; the group's median weighs them
-            counts = df.filter(~miss).groupBy(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(partition_by)],
-                                              c.cast("double").alias("__v")).count()
-            stats = counts.groupBy(*[f"__g{i}" for i in range(len(partition_by))]).agg(
-                F.percentile("__v", 0.5, F.col("count")).alias("__fill"))
+            named = [F.col(g).alias(f"__g{i}") for i, g in enumerate(partition_by)]
+            stats = group_medians(df, column, partition_by).select(*named, F.col("median").alias("__fill"))
             return _join_group_fill(df, stats, column, partition_by, miss, c.cast(out_t))
         m = exact_median(df, column) if exact_median_fill else None
         fill = F.lit(m).cast("double") if exact_median_fill else df.filter(~miss).select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kintsugi.functions.text import is_padded, strip
-from kintsugi.operators import profile, repair
+from kintsugi.operators import profile, quantile, repair
 from kintsugi.plans.registry import query
 from kintsugi.sources import fixtures as fx
 
@@ -426,3 +426,14 @@ SELECT event_id, event_type, CASE WHEN {MISSING_SQL.format(c='value')}
 def fill_median_grouped(t):
     return repair.fill_nulls(fx.events_gappy(t).select("event_id", "event_type", "value"), "value",
                              strategy="median", partition_by=["event_type"])
+
+
+@query("group_order_statistics", """
+SELECT l_returnflag, l_linestatus, r AS rank, l_extendedprice AS value FROM (
+  SELECT l_returnflag, l_linestatus, l_extendedprice, count(*) OVER (PARTITION BY l_returnflag, l_linestatus) AS n,
+         row_number() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY l_extendedprice) - 1 AS r FROM lineitem)
+WHERE r IN (0, n // 10, n // 2, n - 1)""")
+def group_order_statistics(t):
+    """Smallest, tenth, middle and largest price of each group (one of them holds half of all rows)."""
+    return quantile.group_order_statistics(t["lineitem"], "l_extendedprice", ["l_returnflag", "l_linestatus"],
+                                           lambda n: [F.lit(0), F.floor(n / 10), F.floor(n / 2), n - 1])
