@@ -435,12 +435,15 @@ def log_penalties(t):
                     F.round("cost_pen", 6).alias("cost_pen"))
 
 
-@query("log_session_end", f"""WITH {_ANNOTATED_SQL}
+SESSION_END_SQL = f"""WITH {_ANNOTATED_SQL}
 SELECT session_id, max(CASE WHEN active THEN step END) AS end_step,
        CASE WHEN max(CASE WHEN active AND action_type = 'finish' THEN 1 END) = 1 THEN 'finish'
             WHEN max(CASE WHEN active THEN step END) >= {MAX_STEPS} THEN 'max_steps' ELSE 'open' END AS ended_by,
        count(*) AS actions, CAST(count_if(NOT active) AS BIGINT) AS ignored_actions
-FROM al GROUP BY session_id""")
+FROM al GROUP BY session_id"""
+
+
+@query("log_session_end", SESSION_END_SQL)
 def log_session_end(t):
     return actionlog.session_end(_annotated(t), max_steps=MAX_STEPS)
 

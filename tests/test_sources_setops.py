@@ -50,3 +50,32 @@ def test_approximate_median_option(spark):
     out = repair.fill_nulls(df, "v", strategy="median", exact_median_fill=False)
     assert out.filter(F.col("v").isNull()).count() == 0
     assert abs(out.agg(F.max(F.when(F.col("v") == 50.0, 1))).first()[0] - 1) == 0
+
+
+def test_sample_of_exact_size(spark):
+    import hashlib
+    df = spark.range(0, 3000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    by_hash = sorted(range(3000), key=lambda k: hashlib.md5(f"42:{k}".encode()).hexdigest())
+    for n in (0, 1, 17, 1000, 2999, 3000, 9000):
+        got = [r.k for r in setops.sample_exact(df.repartition(5), n, ["k"]).collect()]
+        assert len(got) == len(set(got)) == min(n, 3000) and set(got) == set(by_hash[:n])
+    assert {r.k for r in setops.sample_exact(df, 50, ["k"], seed=1).collect()} != set(by_hash[:50])
+    # repeated and missing keys, repeated rows: the size still holds and the choice is the same on every layout
+    tied = df.select((F.col("k") % 3).alias("k"), "v").unionByName(spark.createDataFrame([(None, 1)] * 40, "k long, v long"))
+    picks = [sorted(map(str, setops.sample_exact(tied.repartition(p), 700, ["k"]).collect())) for p in (2, 6)]
+    assert len(picks[0]) == 700 and picks[0] == picks[1]
+    with pytest.raises(ValueError):
+        setops.sample_exact(df, -1, ["k"])
+
+
+def test_last_rows_of_a_group_are_limited_before_the_shuffle(spark):
+    df = spark.range(0, 2000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 11).alias("g"),
+                                     F.when(F.col("id") % 5 > 0, (F.col("id") * 37) % 1000).alias("o"), "id")
+    last = setops.last_n_per_group(df, ["g"], ["o", "id"], 4)
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+    rows = {}
+    for r in df.collect():
+        rows.setdefault(r.g, []).append(((r.o is not None, r.o or 0), r.id))
+    expected = {(g, i, n + 1) for g, xs in rows.items() for n, (_, i) in enumerate(sorted(xs, reverse=True)[:4])}
+    assert {(r.g, r.id, r.pos_from_end) for r in last.collect()} == expected
