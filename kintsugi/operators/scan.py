@@ -6,15 +6,17 @@ and ``Window.partitionBy(g)`` puts a hot group (say a third of all rows) into
 one task.  ``segmented_scan`` instead:
 
 1. range-partitions on ``(group keys, order keys, hash of the row)``, so a hot
-   group, and even a hot tie in the order, is spread over many partitions, and
-   writes the rows with their partition number as one Parquet table in the
-   shared folder: every later pass sees the same layout, also after executor
-   loss, and reads only the columns it needs;
-2. computes the running values with windows over (partition number, group),
-   so no window holds more than one range partition;
-3. sums up each (partition number, group) that continues a group of an earlier
-   partition.  There are fewer of those than partitions; windows over them give
-   the carry, which is joined back (Spark picks the join from its size).
+   group, and even a hot tie in the order, is spread over many partitions, numbers
+   the sorted rows and writes them once as a table in the shared folder, with one
+   bucket per range partition.  This is the only shuffle of whole rows: later
+   passes see the same layout, also after executor loss, read only the columns
+   they need, and group by bucket without another exchange;
+2. sums up each (partition, group) by plain aggregates.  Only the first and the
+   last group of a partition can reach into another one; windows over those
+   states, at most two per partition, give the carry into each partition;
+3. computes the running values with windows over (partition, group), so no
+   window holds more than one range partition, and adds the carry, a table of
+   fewer rows than there are partitions, which is broadcast.
 
 All of it is Spark SQL expressions: values of every type come back as they were.
 """
@@ -22,15 +24,16 @@ All of it is Spark SQL expressions: values of every type come back as they were.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from kintsugi.functions.nulls import nullify_nan
 from kintsugi.functions.types import is_float
-from kintsugi.session import materialize
+from kintsugi.session import materialize_bucketed
 
-_PID, _TIE, _NUMBER = "__pid", "__tie", "__number"
+_SLOT, _POS, _TIE, _NUMBER = "__scan_slot", "__scan_pos", "__scan_tie", "__scan_nth"
 
 
 @dataclass(frozen=True)
@@ -63,23 +66,59 @@ def _source(df: DataFrame, spec: ScanSpec) -> Column:
     return F.coalesce(plain, F.lit(0))
 
 
+@lru_cache(maxsize=32)
+def _slots(buckets: int) -> tuple[int, ...]:
+    """For each bucket the smallest number that Spark places in it, so that every range partition gets its own."""
+    spark, reach, found = SparkSession.getActiveSession(), 8 * buckets, {}
+    while len(found) < buckets:
+        reach *= 4
+        rows = spark.range(reach).groupBy(F.pmod(F.hash("id"), F.lit(buckets)).alias("b")).agg(F.min("id").alias("id")).collect()
+        found = {r.b: r.id for r in rows}
+    return tuple(found[b] for b in range(buckets))
+
+
 class _Layout:
-    """Rows in range partitions, with what orders and groups them."""
+    """Rows in range partitions, numbered in order, one bucket per partition."""
 
     def __init__(self, df: DataFrame, order_by: list[str | Column], groups: list[str],
                  num_partitions: int | None):
         hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-        self.columns, self.groups = df.columns, groups
-        self.order = [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order_by] + [F.col(_TIE)]
-        keys = [F.col(g).asc_nulls_first() for g in groups] + self.order
+        self.groups = groups
+        order = [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order_by] + [F.col(_TIE)]
+        keys = [F.col(g).asc_nulls_first() for g in groups] + order
         tied = df.withColumn(_TIE, F.xxhash64(*hashable))
         # without an explicit count AQE sizes the range partitions by volume
         ranged = tied.repartitionByRange(num_partitions, *keys) if num_partitions else tied.repartitionByRange(*keys)
-        self.rows = materialize(ranged.withColumn(_PID, F.spark_partition_id()))
+        buckets = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slots = F.array(*[F.lit(x) for x in _slots(buckets)])
+        # the number of a sorted row: its partition's in the high bits, then its place in it
+        numbered = ranged.sortWithinPartitions(*keys).drop(_TIE).withColumn(_POS, F.monotonically_increasing_id())
+        placed = numbered.withColumn(_SLOT, F.get(slots, F.shiftright(_POS, 33).cast("int")))
+        self.rows = materialize_bucketed(placed, _SLOT, buckets)
+
+    def _carries(self, rows: DataFrame, specs: list[ScanSpec], names: list[str]) -> DataFrame:
+        """(slot, group) that continue a group of an earlier partition, with what reaches them from there."""
+        pos = F.col(_POS)
+        state = {"sum": F.sum, "count": F.sum, "last": lambda x: F.max_by(x, F.when(x.isNotNull(), pos)),
+                 "prev": lambda x: F.max_by(x, pos)}
+        keys = [F.col(g).alias(n) for g, n in zip(self.groups, names, strict=True)]
+        left = rows.groupBy(F.col(_SLOT).alias("__s"), *keys).agg(
+            F.min(pos).alias("__first"), F.max(pos).alias("__last"),
+            *[state[s.kind](_source(rows, s)).alias(f"__state{i}") for i, s in enumerate(specs)])
+        of_slot = Window.partitionBy("__s")
+        edge = left.withColumn("__from", F.min("__first").over(of_slot)).withColumn("__to", F.max("__last").over(of_slot)) \
+            .where((F.col("__first") == F.col("__from")) | (F.col("__last") == F.col("__to")))
+        in_order = Window.partitionBy(*names).orderBy("__first")
+        before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+        carry = edge.select("__s", *names, F.lag("__first").over(in_order).alias("__earlier"), *[
+            (F.last(f"__state{i}", ignorenulls=True).over(before) if s.kind == "last"
+             else F.lag(f"__state{i}").over(in_order) if s.kind == "prev"
+             else F.sum(f"__state{i}").over(before)).alias(f"__carry{i}") for i, s in enumerate(specs)])
+        return carry.where(F.col("__earlier").isNotNull()).drop("__earlier")
 
     def scan(self, rows: DataFrame, specs: list[ScanSpec]) -> DataFrame:
         """``rows`` (those of the layout, perhaps with more columns) with the specs' columns."""
-        within = Window.partitionBy(_PID, *self.groups).orderBy(*self.order)
+        within = Window.partitionBy(_SLOT, *self.groups).orderBy(_POS)
         upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         local = {_NUMBER: F.row_number().over(within)}
         for s in specs:
@@ -89,26 +128,10 @@ class _Layout:
                             "last": lambda x: F.last(x, ignorenulls=True).over(upto),
                             "prev": lambda x: F.lag(x).over(within)}[s.kind](src)
         done = rows.withColumns(local)
-
-        # the state in which each (partition, group) leaves the group
-        state = {"sum": F.sum, "count": F.sum, "last": lambda x: F.max_by(x, F.when(x.isNotNull(), F.col(_NUMBER))),
-                 "prev": lambda x: F.max_by(x, F.col(_NUMBER))}
-        keys = [F.col(g).alias(f"__g{i}") for i, g in enumerate(self.groups)]
-        names = [f"__g{i}" for i in range(len(keys))]
-        left = done.groupBy(F.col(_PID).alias("__p"), *keys).agg(
-            *[state[s.kind](_source(rows, s)).alias(f"__state{i}") for i, s in enumerate(specs)])
-        # groups that several partitions hold: at most one more than there are partitions in all
-        many = left.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1") if names else \
-            left.agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
-        same = _all(F.col(f"s.{n}").eqNullSafe(F.col(f"m.{n}")) for n in names)
-        spread = left.alias("s").join(many.alias("m"), same, "left_semi") if names else left
-        before = Window.partitionBy(*names).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-        carry = spread.select("__p", *names, *[
-            (F.last(f"__state{i}", ignorenulls=True).over(before) if s.kind == "last"
-             else F.lag(f"__state{i}").over(Window.partitionBy(*names).orderBy("__p")) if s.kind == "prev"
-             else F.sum(f"__state{i}").over(before)).alias(f"__carry{i}") for i, s in enumerate(specs)])
-        on = _all([F.col(_PID) == F.col("__p")] + [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(self.groups, names, strict=True)])
-        met = done.join(carry, on, "left")
+        names = [f"__g{i}" for i in range(len(self.groups))]
+        on = _all([F.col(_SLOT) == F.col("__s")] + [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(self.groups, names, strict=True)])
+        # fewer rows than partitions: bounded whatever the data
+        met = done.join(F.broadcast(self._carries(rows, specs, names)), on, "left")
         kinds = done.schema
         values = []
         for i, s in enumerate(specs):

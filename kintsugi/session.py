@@ -56,7 +56,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-_WRITTEN: list[tuple[SparkSession, str]] = []
+_WRITTEN: list[tuple[SparkSession, str, str | None]] = []
 
 
 def materialize(df):
@@ -67,16 +67,29 @@ def materialize(df):
     readers read only their columns.  ``release`` removes what was written."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    _WRITTEN.append((spark, path))
+    _WRITTEN.append((spark, path, None))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_bucketed(df, column: str, buckets: int):
+    """As ``materialize``, as a table bucketed by ``column``: what later groups, windows or joins by it (and others)
+    needs no shuffle."""
+    spark = df.sparkSession
+    name = f"kintsugi_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/table-{name}"
+    _WRITTEN.append((spark, path, name))
+    df.write.format("parquet").option("path", path).bucketBy(buckets, column).saveAsTable(name)
+    return spark.table(name)
+
+
 def release() -> None:
     """Delete the tables that ``materialize`` has written so far (run at exit too)."""
     while _WRITTEN:
-        spark, path = _WRITTEN.pop()
+        spark, path, name = _WRITTEN.pop()
         try:
+            if name:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
         except Exception:  # the JVM has gone; the folder's own lifetime ends the tables

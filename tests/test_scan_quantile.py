@@ -86,3 +86,22 @@ def test_prev_equals_lag(spark):
     w = W.partitionBy("g").orderBy("o", "id")
     exp = df.select("id", F.lag("ts").over(w).alias("p"), F.lag("o").over(w).alias("po"))
     assert sorted(map(tuple, got.select("id", "p", "po").collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_rows_are_shuffled_and_windowed_once(spark, tables):
+    from kintsugi.operators import actionlog
+    from kintsugi.sources import fixtures as fx
+    scanned = actionlog.annotate(fx.action_log(tables))
+    plan = scanned._jdf.queryExecution().executedPlan().toString()
+    # what is exchanged after the layout are the states at partition borders, behind an aggregate
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("BroadcastExchange") == 1
+    rows_side = plan[plan.index("BroadcastHashJoin"):plan.index("BroadcastExchange")]
+    assert rows_side.count("Window [") == 1 and "Exchange" not in rows_side
+
+
+def test_every_range_partition_has_a_bucket_of_its_own(spark):
+    from kintsugi.operators.scan import _slots
+    for n in (1, 7, 64):
+        slots = _slots(n)
+        got = spark.createDataFrame([(s,) for s in slots], "s long").select(F.pmod(F.hash("s"), F.lit(n)).alias("b")).collect()
+        assert [r.b for r in got] == list(range(n))
