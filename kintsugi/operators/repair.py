@@ -279,8 +279,8 @@ def row_facts(df: DataFrame, null_columns: list[str] | None = None,
 
 
 def dedup_report(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
-    """One row: rows before, rows after, rows dropped (NULLs equal); see
-    ``row_facts`` for the two-phase exact duplicate count."""
+    """One row: rows before, rows after, rows dropped (NULLs equal); rows are
+    counted by two 64-bit hashes, see ``row_facts``."""
     f = row_facts(df, subset=subset)
     return f.select(F.col("rows").alias("rows_before"),
                     (F.col("rows") - F.col("duplicates")).alias("rows_after"),
