@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import code_points, slices, stored, text_groups, text_of
+from kintsugi.llm.common import code_points, mixed, slices, stored, text_groups, text_of
 from kintsugi.llm.transducer import Transducer, compile_transducer
 
 #: Distinct pieces whose ids a Python worker keeps at hand.
@@ -148,6 +148,92 @@ class Vocabulary:
         return [p for p in parts if p >= 0]
 
 
+class Merger:
+    """The exact merges of many short pieces at a time: a matrix of ids, one piece a row.  Each round takes every row's
+    pair of lowest rank (the leftmost of equal ones), as ``Vocabulary.merge`` does for one piece."""
+
+    #: Longest piece in bytes; longer ones are merged one by one.
+    WIDEST = 32
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.single = np.array(vocabulary.single, np.int64)
+        self.merged = np.array(vocabulary.merged, np.int64)
+        self.none = len(self.merged)
+        keys = np.fromiter(vocabulary.merges.keys(), np.int64, len(vocabulary.merges))
+        ranks = np.fromiter(vocabulary.merges.values(), np.int64, len(vocabulary.merges))
+        # an open table of pairs: a pair stands in the first free slot from its own on
+        self.mask = (1 << (4 * len(keys) + 8).bit_length()) - 1
+        self.keys, self.ranks = np.full(self.mask + 1, -1, np.int64), np.zeros(self.mask + 1, np.int64)
+        todo, slot = np.arange(len(keys)), self._slot(keys)
+        while len(todo):
+            free = np.flatnonzero(self.keys[slot[todo]] < 0)
+            _, first = np.unique(slot[todo[free]], return_index=True)
+            put = todo[free[first]]
+            self.keys[slot[put]], self.ranks[slot[put]] = keys[put], ranks[put]
+            todo = np.setdiff1d(todo, put, assume_unique=True)
+            slot[todo] = slot[todo] + 1 & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return mixed(keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64) & self.mask
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair; of one that never merges, or without a right part (-1), the number of merges."""
+        out = np.full(left.shape, self.none, np.int64)
+        todo = np.flatnonzero(right.ravel() >= 0)
+        keys = left.ravel()[todo] << 32 | right.ravel()[todo]
+        slot, flat = self._slot(keys), out.reshape(-1)
+        while len(todo):
+            there = self.keys[slot]
+            hit = there == keys
+            flat[todo[hit]] = self.ranks[slot[hit]]
+            on = np.flatnonzero(~hit & (there >= 0))
+            todo, keys, slot = todo[on], keys[on], slot[on] + 1 & self.mask
+        return out
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece (of at most ``WIDEST`` bytes) as int32 bytes."""
+        size = np.array([len(p) for p in pieces], np.int64)
+        out: list[bytes] = [b""] * len(pieces)
+        least = 0
+        for width in (8, 16, self.WIDEST):
+            which = np.flatnonzero((size > least) & (size <= width))
+            for some in np.array_split(which, -(-len(which) // 8192)) if len(which) else ():
+                for i, ids in zip(some.tolist(), self._rows([pieces[i] for i in some.tolist()], size[some], width), strict=True):
+                    out[i] = ids
+            least = width
+        return out
+
+    def _rows(self, pieces: list[bytes], size: np.ndarray, width: int) -> Iterator[bytes]:
+        column = np.arange(width)
+        ids = np.full((len(pieces), width + 1), -1, np.int64)
+        ids[:, :width][column < size[:, None]] = self.single[np.frombuffer(b"".join(pieces), np.uint8)]
+        ranks = np.full((len(pieces), width + 1), self.none, np.int64)
+        ranks[:, :width] = self.rank(ids[:, :-1], ids[:, 1:])
+        active = np.arange(len(pieces))
+        while len(active):
+            best = ranks[active].argmin(axis=1)
+            rank = ranks[active, best]
+            going = rank < self.none
+            active, best, rank = active[going], best[going], rank[going]
+            if not len(active):
+                break
+            row = np.arange(len(active))
+            own = ids[active]
+            own[row, best] = self.merged[rank]
+            own[:, :-1] = np.take_along_axis(own, column + (column > best[:, None]), axis=1)
+            own[:, -1] = -1
+            near = ranks[active]
+            near[:, :-1] = np.take_along_axis(near, column + (column >= best[:, None]), axis=1)
+            near[row, best] = self.rank(own[row, best], own[row, best + 1])
+            left = np.flatnonzero(best > 0)
+            near[left, best[left] - 1] = self.rank(own[left, best[left] - 1], own[left, best[left]])
+            ids[active], ranks[active] = own, near
+        filled = ids >= 0
+        data = ids[filled].astype(np.int32).tobytes()
+        ends = (4 * np.cumsum(filled.sum(axis=1))).tolist()
+        return (data[a:b] for a, b in zip([0, *ends], ends, strict=False))
+
+
 def piece_starts(codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where pieces begin in the joined code points of several texts.
 
@@ -188,6 +274,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: bytes):
         self.vocabulary, self.lexicon = vocabulary, Transducer(lexicon)
+        self.merger = Merger(vocabulary)
         self.memo: dict[bytes, bytes] = {}
 
     def _learn(self, pieces: set[bytes]) -> None:
@@ -196,10 +283,15 @@ class Encoder:
         if len(self.memo) + len(todo) > MEMO:
             self.memo.clear()
             todo = list(pieces)
+        rest = []
         for piece, ids in zip(todo, self.lexicon.lookup(todo), strict=True):
-            if ids is None:
-                ids = np.array(self.vocabulary.merge(piece), np.int32)
-            self.memo[piece] = ids.tobytes()
+            if ids is not None:
+                self.memo[piece] = ids.tobytes()
+            elif len(piece) > Merger.WIDEST:
+                self.memo[piece] = np.array(self.vocabulary.merge(piece), np.int32).tobytes()
+            else:
+                rest.append(piece)
+        self.memo.update(zip(rest, self.merger.merge(rest), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as int32 bytes."""
