@@ -46,6 +46,7 @@ def text_groups(texts: list[str], size: int = PIECE) -> Iterator[tuple[int, list
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_PLACE = np.uint64(0xC2B2AE3D27D4EB4F)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BLANK = np.zeros(33, bool)
 _BLANK[[32, *range(9, 14)]] = True
@@ -57,20 +58,17 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _powers(n: int) -> np.ndarray:
-    out = np.full(max(n, 1), _BASE, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 def is_blank(codes: np.ndarray) -> np.ndarray:
     """Whether each code point separates words (see ``WORD_PATTERN``)."""
     return _BLANK[np.minimum(codes, 32)] & (codes <= 32)
 
 
 def word_hashes(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words of several texts (see ``WORD_PATTERN``): their 64-bit polynomial
-    hashes, their lengths, and the number of the first word of each text (and the end)."""
+    """The words of several texts (see ``WORD_PATTERN``): their 64-bit hashes, their
+    lengths, and the number of the first word of each text (and the end).
+
+    A word's hash sums a mixed number per character and place.  (A polynomial modulo 2^64 has
+    equal values for some regular words of a few hundred characters, whatever its base.)"""
     inside = ~is_blank(codes)
     in_word = np.concatenate(([False], inside, [False]))
     cut = np.zeros(len(codes) + 1, bool)
@@ -82,8 +80,8 @@ def word_hashes(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     if not len(begins):
         return np.zeros(0, np.uint64), length, first_word
     position = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-    weighed = (codes[inside].astype(np.uint64) + np.uint64(1)) * _powers(int(length.max()))[position]
-    words = mixed(np.add.reduceat(weighed, np.cumsum(length) - length))
+    placed = mixed(codes[inside].astype(np.uint64) * _BASE + position.astype(np.uint64) * _PLACE)
+    words = mixed(np.add.reduceat(placed, np.cumsum(length) - length))
     return words + mixed(length.astype(np.uint64)), length, first_word
 
 
@@ -100,6 +98,15 @@ def slices(batch: pa.Array, size: int = 2 * PIECE) -> Iterator[pa.Array]:
         first = last
 
 
+def parts_of(batches: Iterator[pa.RecordBatch], text: int = 0) -> Iterator[pa.RecordBatch]:
+    """The batches cut by the size of a text column (see :func:`slices`)."""
+    for batch in batches:
+        first = 0
+        for part in slices(batch.column(text)):
+            yield batch.slice(first, len(part))
+            first += len(part)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as a Parquet table in the shared checkpoint folder and read back,
     so that later steps neither repeat its work nor depend on executors that may be lost."""

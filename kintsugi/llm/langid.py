@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import PIECE, code_points, text_groups
+from kintsugi.llm.common import PIECE, code_points, parts_of, slices, text_groups
 
 UNDETERMINED = "und"
 #: A text may lie so many spreads (median less first quartile, at least the given one) of its language's rows
@@ -113,7 +113,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in parts_of(batches):
             by_lang: dict[str, list[str]] = {}
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 by_lang.setdefault(lang, []).extend(text[i:i + PIECE] for i in range(0, len(text), PIECE))
@@ -150,7 +150,7 @@ def with_limits(df: DataFrame, model: LangModel, text_col: str = "text", lang_co
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         column = {lang: i for i, lang in enumerate(shared.value.languages)}
-        for batch in batches:
+        for batch in parts_of(batches):
             sums, n, any_letter = _sums(batch.column(0).to_pylist(), shared.value)
             own = np.array([column.get(x, -1) for x in batch.column(1).to_pylist()], np.int64)
             at = np.flatnonzero(any_letter & (own >= 0))
@@ -237,8 +237,13 @@ def predict(df: DataFrame, model: LangModel, text_col: str = "text") -> DataFram
     @F.arrow_udf("struct<lang_pred:string,score:double,known_lang:boolean>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            langs, scores, known = judge(batch.to_pylist(), shared.value)
-            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(known)],
+            langs, scores, known = [], [np.zeros(0)], [np.zeros(0, bool)]
+            for part in slices(batch):
+                found = judge(part.to_pylist(), shared.value)
+                langs += found[0]
+                scores.append(found[1])
+                known.append(found[2])
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(scores)), pa.array(np.concatenate(known))],
                                              names=["lang_pred", "score", "known_lang"])
 
     names = ["lang_pred", "score"] + ["known_lang"] * (model.lowest is not None)
