@@ -310,4 +310,4 @@ def test_pipeline_stages(spark, tmp_path):
 def test_every_operator_is_registered():
     import __spark_entry__ as entry
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if re.match(r"op\d+_", x)} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if re.match(r"op\d+_", x)} and "pipeline" in names
