@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import bit_table, code_points, in_table, mixed, stored, table_filter, text_groups, word_hashes
+from kintsugi.llm.common import bit_table, code_points, in_table, mixed, parts_of, stored, table_filter, text_groups, word_hashes
 
 #: Largest number of word edits, as a share of an item's words.
 SHARE = 0.15
@@ -198,7 +198,7 @@ def _candidates(docs: DataFrame, classes: list[int], names, keys, share: float,
             for c in classes for low, high in [class_lengths(c)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches, 1):
             for at, group in text_groups(batch.column(1).to_pylist()):
                 words, first = sequences(group)
                 doc = np.repeat(np.arange(len(group)), np.diff(first))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import bit_table, code_points, connected, in_table, mixed, stored, table_filter, text_groups, text_of, word_hashes
+from kintsugi.llm.common import bit_table, code_points, connected, in_table, mixed, parts_of, slices, stored, table_filter, text_groups, text_of, word_hashes
 
 WIDTH = 5
 #: Similarity, in percent of the union.
@@ -94,7 +94,7 @@ def set_keys(token: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Sets and keys of the texts of a task, in bounded groups, each set once."""
     seen: set[int] = set()
-    for batch in batches:
+    for batch in parts_of(batches):
         for _, group in text_groups(batch.column(0).to_pylist()):
             token, offsets = shingle_sets(group)
             keys = set_keys(token, offsets)
@@ -111,7 +111,7 @@ def keyed(df: DataFrame, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = [(np.diff(o), set_keys(t, o)) for t, o in
-                     (shingle_sets(g) for _, g in text_groups(batch.to_pylist()))]
+                     (shingle_sets(g) for part in slices(batch) for _, g in text_groups(part.to_pylist()))]
             n = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
             k = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
             yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(k, pa.int64(), mask=n == 0)],

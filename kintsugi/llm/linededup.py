@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import bit_table, code_points, in_table, mixed, stored, text_groups
+from kintsugi.llm.common import bit_table, code_points, in_table, mixed, parts_of, stored, text_groups
 
 #: Lines shorter than this are only compared for equality.
 MIN_FUZZY = 20
@@ -130,7 +130,7 @@ def _batch(columns: list, names: list[str]) -> pa.RecordBatch:
 
 
 def _each(batches: Iterator[pa.RecordBatch], text: int = 0) -> Iterator[tuple[int, pa.RecordBatch, Lines]]:
-    for batch in batches:
+    for batch in parts_of(batches, text):
         for first, group in text_groups(batch.column(text).to_pylist()):
             yield first, batch, Lines(group)
 

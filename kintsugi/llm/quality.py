@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import code_points, mixed, text_groups, text_of, word_hashes
+from kintsugi.llm.common import code_points, mixed, slices, text_groups, text_of, word_hashes
 
 #: Largest share of word characters inside n-grams seen before in the text.
 NGRAM_SHARES = {5: 0.15, 7: 0.13, 10: 0.10}
@@ -122,7 +122,7 @@ def rate(df: DataFrame, text_col: str = "text") -> DataFrame:
     @F.arrow_udf("struct<" + ",".join(f"{k}:{v}" for k, v in COLUMNS.items()) + ">")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = [measure(group) for _, group in text_groups(batch.to_pylist())]
+            parts = [measure(group) for part in slices(batch) for _, group in text_groups(part.to_pylist())]
             yield pa.StructArray.from_arrays(
                 [pa.array(np.concatenate([p[f] for p in parts]) if parts else [], kinds[COLUMNS[f]]) for f in fields],
                 names=fields)

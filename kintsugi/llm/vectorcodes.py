@@ -196,6 +196,18 @@ def assign(blocks: Blocks, entries: np.ndarray, block: int = BLOCK) -> tuple[np.
     return code, error
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they have so many rows: blocks of many points have small boxes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 _SAVED = "n long, size int, points binary, row binary, low binary, high binary, total binary"
 
 
@@ -247,7 +259,7 @@ def compress(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = max(1, CHUNK // dims)
-        for batch in batches:
+        for batch in _gathered(batches, step):
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 vectors = integers(part.column(0), dims, scale).reshape(-1, parts, width)
