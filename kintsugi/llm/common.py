@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,8 @@ from kintsugi.session import materialize
 
 # Code points of text handled at once inside a task; bounds numpy's memory.
 PIECE = 1 << 20
+# Code points of several texts handled together: arrays of eight bytes a code point stay small beside the heap.
+GROUP = 1 << 18
 
 #: Characters that separate words: blank, tab, line feed, VT, FF, CR.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -32,7 +36,7 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, offsets
 
 
-def text_groups(texts: list[str], size: int = PIECE) -> Iterator[tuple[int, list[str]]]:
+def text_groups(texts: list[str], size: int = GROUP) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of about ``size`` code points together: (index of the first, texts)."""
     first, group, total = 0, [], 0
     for i, t in enumerate(texts):
@@ -85,7 +89,23 @@ def word_hashes(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return words + mixed(length.astype(np.uint64)), length, first_word
 
 
-def slices(batch: pa.Array, size: int = 2 * PIECE) -> Iterator[pa.Array]:
+@lru_cache(maxsize=1)
+def _trim():
+    """The C library's call that returns free memory to the system, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return lambda _: 0
+
+
+def give_back() -> None:
+    """Returns this worker's free memory to the system: workers live on between tasks and stages, and what numpy
+    and Arrow keep for later would add up beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def slices(batch: pa.Array, size: int = 4 * GROUP) -> Iterator[pa.Array]:
     """Slices of a string or list column of about ``size`` bytes or elements each, so
     that Python objects exist for a part of an Arrow batch only."""
     length = pc.list_value_length(batch) if pa.types.is_list(batch.type) else pc.binary_length(batch)
@@ -96,6 +116,7 @@ def slices(batch: pa.Array, size: int = 2 * PIECE) -> Iterator[pa.Array]:
         last = max(first + 1, int(np.searchsorted(upto, done + size, side="right")))
         yield batch.slice(first, last - first)
         first = last
+    give_back()
 
 
 def parts_of(batches: Iterator[pa.RecordBatch], text: int = 0) -> Iterator[pa.RecordBatch]:
@@ -105,6 +126,7 @@ def parts_of(batches: Iterator[pa.RecordBatch], text: int = 0) -> Iterator[pa.Re
         for part in slices(batch.column(text)):
             yield batch.slice(first, len(part))
             first += len(part)
+    give_back()
 
 
 def stored(df: DataFrame) -> DataFrame:
