@@ -11,12 +11,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from kintsugi.functions.nulls import is_missing
 from kintsugi.functions.text import strip
-from kintsugi.functions.types import family, is_float, resolve_alias, spark_type_for
+from kintsugi.functions.types import family, field_type, is_float, resolve_alias, spark_type_for
 
 # The text layouts tried, in order, when text becomes a timestamp.
 DEFAULT_TIME_FORMATS = (
@@ -26,6 +26,16 @@ DEFAULT_TIME_FORMATS = (
     "yyyy-MM-dd",
 )
 
+# The text layouts that ``time_format_counts`` tells apart, in order of preference.
+KNOWN_TIME_FORMATS = DEFAULT_TIME_FORMATS + (
+    "yyyy/MM/dd",
+    "dd/MM/yyyy",
+    "MM/dd/yyyy",
+    "dd.MM.yyyy",
+    "dd-MM-yyyy",
+    "yyyyMMdd",
+)
+
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -142,3 +152,24 @@ def cast_expr(col: str, dt: T.DataType, target: str, *, null_text: bool = False,
     if stored == "datetime64[ns]":
         return to_timestamp(src, dt, formats, stripped=pre), False
     raise ValueError(f"unsupported target type {target!r}")
+
+
+def time_format_counts(df: DataFrame, column: str, formats: tuple[str, ...] = KNOWN_TIME_FORMATS) -> DataFrame:
+    """``(position, time_format, parsed, present)`` per candidate layout: how many of the present
+    (not NULL, not blank) texts it reads.  One aggregate over the column; no value leaves its task."""
+    if family(field_type(df, column)) != "text":
+        raise ValueError(f"column {column!r} is no text")
+    texts = df.select(strip(column).alias("s")).where("s <> ''")
+    counts = texts.agg(F.count(F.lit(1)).alias("present"), *[F.count(F.try_to_timestamp(F.col("s"), F.lit(f))).alias(f"__f{i}")
+                                                            for i, f in enumerate(formats)])
+    return counts.select("present", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(f).alias("time_format"), F.col(f"__f{i}").alias("parsed"))
+        for i, f in enumerate(formats)]))).select("position", "time_format", "parsed", "present")
+
+
+def infer_time_formats(df: DataFrame, column: str, formats: tuple[str, ...] = KNOWN_TIME_FORMATS) -> tuple[str, ...]:
+    """The layouts of a text column, for ``cast_expr(formats=...)``: those that read any value, most
+    values first, the earlier candidate at a tie.  A day above 12 anywhere thus settles whether days or
+    months come first; where nothing does, the candidates' order decides.  ``()`` where none reads any."""
+    found = time_format_counts(df, column, formats).where("parsed > 0").orderBy(F.desc("parsed"), "position")
+    return tuple(r.time_format for r in found.collect())  # at most one row per candidate

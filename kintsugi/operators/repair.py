@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from kintsugi.functions.casts import DEFAULT_TIME_FORMATS, cast_expr
+from kintsugi.functions.casts import DEFAULT_TIME_FORMATS, cast_expr, infer_time_formats
 from kintsugi.functions.nulls import is_missing, nullify_nan
 from kintsugi.functions.text import camel_to_snake, strip
-from kintsugi.functions.types import family, field_type, is_float, value_family
+from kintsugi.functions.types import family, field_type, is_float, resolve_alias, value_family
 from kintsugi.operators.quantile import exact_median, group_medians
 from kintsugi.operators.scan import ScanSpec, segmented_scan
 
@@ -34,12 +34,16 @@ def _replace(df: DataFrame, column: str, expr: Column) -> DataFrame:
 
 def cast_column(df: DataFrame, column: str, target: str, *, on_error: str = "null",
                 null_text: bool = False, truthy: bool = True,
-                formats: tuple[str, ...] = DEFAULT_TIME_FORMATS) -> DataFrame:
+                formats: tuple[str, ...] | None = DEFAULT_TIME_FORMATS) -> DataFrame:
     """Cast one column.  For integer targets ``on_error="fail"`` makes the
     job fail on the first value without an integer form (all-or-nothing);
-    ``"null"`` leaves such values NULL."""
+    ``"null"`` leaves such values NULL.  ``formats=None`` takes the time layouts
+    of a text from its values (one aggregate, see ``casts.infer_time_formats``)."""
     _require(df, column)
     dt = field_type(df, column)
+    if formats is None:
+        infer = family(dt) == "text" and resolve_alias(target) == "datetime64[ns]"
+        formats = (infer and infer_time_formats(df, column)) or DEFAULT_TIME_FORMATS
     src, pre = _prestrip(df, column, target)
     expr, strict = cast_expr(column, dt, target, null_text=null_text, truthy=truthy,
                              formats=formats, stripped_col=pre)
@@ -55,7 +59,6 @@ _STRIP_TMP = "__stripped"
 def _prestrip(df: DataFrame, column: str, target: str) -> tuple[DataFrame, str | None]:
     """Text parsed into numbers or times is stripped first; the stripped
     value is projected once so the parse expressions reuse it."""
-    from kintsugi.functions.types import resolve_alias
     if family(field_type(df, column)) != "text" or resolve_alias(target) in ("object", "bool"):
         return df, None
     return df.withColumn(_STRIP_TMP, strip(column)), _STRIP_TMP
@@ -241,7 +244,7 @@ def drop_duplicates(df: DataFrame, subset: list[str] | None = None,
                            for c in df.columns])
 
 
-def _row_hash(df: DataFrame, cols: list[str], salt: str | None = None) -> Column:
+def row_hash(df: DataFrame, cols: list[str], salt: str | None = None) -> Column:
     """64-bit hash of the row; -0.0 is folded into 0.0 (grouping treats
     them as equal) and NaN hashes canonically.  NULLs are told apart from
     values by position; a salt gives another hash."""
@@ -267,7 +270,7 @@ def row_facts(df: DataFrame, null_columns: list[str] | None = None,
     """
     keys = subset or df.columns
     null_columns = null_columns or []
-    hashed = df.select(_row_hash(df, keys).alias("__h"), _row_hash(df, keys, "second").alias("__h2"), *[
+    hashed = df.select(row_hash(df, keys).alias("__h"), row_hash(df, keys, "second").alias("__h2"), *[
         is_missing(c, field_type(df, c)).cast("long").alias(f"__n{i}")
         for i, c in enumerate(null_columns)])
     per_hash = hashed.groupBy("__h", "__h2").agg(F.count(F.lit(1)).alias("__rows"), *[

@@ -17,3 +17,4 @@ from kintsugi.plans import score_log_queries  # noqa: F401,E402
 from kintsugi.plans import flagship  # noqa: F401,E402
 from kintsugi.plans import stream_queries  # noqa: F401,E402
 from kintsugi.plans import byproduct_queries  # noqa: F401,E402
+from kintsugi.plans import version_queries  # noqa: F401,E402

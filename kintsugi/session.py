@@ -59,6 +59,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _WRITTEN: list[tuple[SparkSession, str, str | None]] = []
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder's path in the shared folder, removed by ``release``."""
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path, None))
+    return path
+
+
 def materialize(df):
     """Write ``df`` once as Parquet into the shared folder and read it back.
 
@@ -66,8 +73,7 @@ def materialize(df):
     facts): its lineage runs once, a lost executor does not replay it, and later
     readers read only their columns.  ``release`` removes what was written."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    _WRITTEN.append((spark, path, None))
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
