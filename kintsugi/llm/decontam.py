@@ -1,7 +1,8 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit check.
 
 Texts and benchmark items become sequences of words (runs of letters and digits
-in lower case).  A document is contaminated where a stretch of its words is
+in lower case; letters of scripts that put no blanks between words are a word each).
+A document is contaminated where a stretch of its words is
 within ``share`` of an item's length in word edits (insert, remove, replace).
 
 Every word position is a window as long as the items of a length class.  An edit
@@ -11,14 +12,17 @@ the items of their class, cannot be the closest within the bound and are passed
 writes the current word and moves on if a random bit of (word, j) says so, which
 turns few edits into few differing places.  Each repetition samples places of a
 walk of its own as the LSH key; the number of repetitions is what a simulation
-at the bound needs for the target recall.  Windows whose key is some item's are
+at the bound needs for the target recall, however many that are.  Long items drift
+further, so their keys sample fewer places: the windows that are left are few by then.  Windows whose key is some item's are
 joined with the items and verified by an exact edit distance.
 
 Only bit tables of fixed size are broadcast; candidates meet the items in a
 Spark join, so the benchmark may grow.
 
-Defined results: a null or empty text contains nothing; items with fewer than
-``MIN_WORDS`` words are not searched (any text has them); null items are skipped.
+Defined results: a null or empty text contains nothing; null items and items without
+a word are in no text.  Items too short for an edit (under 7 words at the default share)
+are found where their words stand in a row, so an item of one word is in every text that
+has the word; ``min_words`` leaves shorter items out where a caller asks for that.
 Repeated rows, and rows that share an id, get one result per id and item.
 Repeated items are reported each.  Extra columns do not matter.
 """
@@ -26,6 +30,7 @@ Repeated items are reported each.  Extra columns do not matter.
 from __future__ import annotations
 
 import math
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,11 +43,13 @@ from kintsugi.llm.common import bit_table, code_points, in_table, mixed, parts_o
 
 #: Largest number of word edits, as a share of an item's words.
 SHARE = 0.15
-MIN_WORDS = 5
 #: Share of the passages with the most allowed edits that should be found.
 RECALL = 0.98
-#: Sampled places of a key; ratio between length classes.
+#: Most sampled places of a key; repetitions above which a class samples fewer; windows of a simulation.
 SAMPLES = 3
+FEWER_AT = 48
+TRIALS = 400
+#: Ratio between length classes.
 RATIO = 1.25
 TRIPLE_BITS = 22
 KEY_BITS = 24
@@ -51,22 +58,37 @@ _SALT = np.uint64(0x9E3779B97F4A7C15)
 _WORD = (1 << 64) - 1
 
 
+_ALONE = np.uint32(1 << 31)
+#: Beginnings of the Unicode names of letters in scripts without blanks between words.
+UNSPACED = ("CJK ", "HIRAGANA ", "KATAKANA ", "THAI ", "LAO ", "KHMER ", "MYANMAR ", "TIBETAN ")
+
+
 @lru_cache(maxsize=1)
 def _word_table() -> np.ndarray:
-    """Lower-case code point of letters and digits; a blank for all else."""
+    """Lower-case code point of letters and digits, marked where it is a word alone; a blank for all else."""
     table = np.full(0x110000, 32, np.uint32)
     for i in range(0x110000):
         c = chr(i)
         if c.isalnum():
             low = c.lower()
             table[i] = ord(low) if len(low) == 1 else i
+            if i > 0x0E00 and unicodedata.name(c, "").startswith(UNSPACED):
+                table[i] |= _ALONE
     return table
 
 
 def sequences(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts, and the number of the first word of each (and the end)."""
     codes, offsets = code_points(texts)
-    words, _, first = word_hashes(_word_table()[codes], offsets)
+    codes = _word_table()[codes]
+    alone = codes >= _ALONE
+    if alone.any():  # blanks on both sides
+        size = np.where(alone, 3, 1)
+        ends = np.concatenate(([0], np.cumsum(size)))
+        spaced = np.full(ends[-1], 32, np.uint32)
+        spaced[ends[:-1] + alone] = codes & ~_ALONE
+        codes, offsets = spaced, ends[offsets]
+    words, _, first = word_hashes(codes, offsets)
     return words, first
 
 
@@ -96,11 +118,12 @@ def edits_allowed(n: int, share: float) -> int:
     return int(n * share + 1e-9)
 
 
-def walk_keys(words: np.ndarray, start: np.ndarray, stop: np.ndarray, length: int, repetition: int) -> np.ndarray:
+def walk_keys(words: np.ndarray, start: np.ndarray, stop: np.ndarray, length: int, repetition: int,
+              samples: int = SAMPLES) -> np.ndarray:
     """The LSH key of the window ``words[start:stop]`` in one repetition."""
     steps = 2 * length
     rng = np.random.default_rng([length, repetition])
-    sampled = set(rng.choice(steps, min(SAMPLES, steps), replace=False).tolist())
+    sampled = set(rng.choice(steps, min(samples, steps), replace=False).tolist())
     salts = rng.integers(1, 2**63, max(sampled) + 1, dtype=np.uint64)
     at = start.copy()
     key = np.full(len(start), (repetition + 1) * int(_SALT) + length & _WORD, np.uint64)
@@ -113,89 +136,116 @@ def walk_keys(words: np.ndarray, start: np.ndarray, stop: np.ndarray, length: in
     return mixed(key).astype(np.int64)
 
 
+def _edited(rng: np.random.Generator, words: np.ndarray, edits: int) -> np.ndarray:
+    """``words`` after random edits (each inserts, removes or replaces), filled up to the same length by others."""
+    place, kind = rng.choice(len(words), edits, replace=False), rng.integers(0, 3, edits)
+    size = np.ones(len(words), np.int64)
+    size[place[kind == 0]], size[place[kind == 1]] = 2, 0
+    new = np.repeat(words, size)
+    fresh = (np.cumsum(size) - size)[place[kind != 1]]  # the first of two copies, or the word itself
+    new[fresh] = rng.integers(1, 2**63, len(fresh), dtype=np.uint64)
+    return np.concatenate((new, rng.integers(1, 2**63, len(words), dtype=np.uint64)))[:len(words)]
+
+
 @lru_cache(maxsize=256)
-def repetitions(length: int, edits: int, target: float, trials: int = 400, most: int = 256) -> int:
+def repetitions(length: int, edits: int, target: float, samples: int = SAMPLES) -> int:
     """Repetitions after which the share ``target`` of simulated windows with ``edits`` random edits has met."""
     if not edits:
         return 1
     rng = np.random.default_rng([length, edits])
-    trials = max(20, min(trials, (1 << 21) // length))
-    own, other, stops = [], [], []
-    for _ in range(trials):
-        a = rng.integers(1, 2**63, length, dtype=np.uint64).tolist()
-        b = list(a)
-        for _ in range(edits):
-            i, kind = int(rng.integers(0, len(b) + 1)), int(rng.integers(0, 3))
-            new = int(rng.integers(1, 2**63, dtype=np.uint64))
-            if kind == 0:
-                b.insert(i, new)
-            elif i < len(b):
-                b[i:i + 1] = [] if kind == 1 else [new]
-        b = (b + rng.integers(1, 2**63, length, dtype=np.uint64).tolist())[:length]
-        own += a
-        other += b
-        stops.append(len(own))
-    stop = np.array(stops)
-    met = np.zeros(trials, bool)
-    for r in range(most):
-        met |= walk_keys(np.array(own, np.uint64), stop - length, stop, length, r) == \
-            walk_keys(np.array(other, np.uint64), stop - length, stop, length, r)
-        if met.mean() >= target:
-            return r + 1
-    return most
+    own = rng.integers(1, 2**63, (TRIALS, length), dtype=np.uint64)
+    other = np.concatenate([_edited(rng, row, edits) for row in own])
+    own, stop = own.ravel(), np.arange(1, TRIALS + 1) * length
+    met, r = np.zeros(TRIALS, bool), 0
+    while met.mean() < target:
+        met |= walk_keys(own, stop - length, stop, length, r, samples) == walk_keys(other, stop - length, stop, length, r, samples)
+        r += 1
+        if r > FEWER_AT and samples > 1:  # see class_plan
+            break
+    return r
 
 
-def edit_distances(items: list[np.ndarray], windows: list[np.ndarray]) -> np.ndarray:
-    """Fewest edits between each item and any beginning of its window, for pairs of equal item length."""
+@lru_cache(maxsize=256)
+def class_plan(c: int, share: float, recall: float) -> tuple[int, int]:
+    """(samples, repetitions) of a length class: the most samples whose repetitions reach the target
+    without passing ``FEWER_AT``; single samples are repeated as often as it takes."""
+    low, high = class_lengths(c)
+    for samples in range(SAMPLES, 0, -1):
+        found = repetitions(low, edits_allowed(high, share), recall, samples)
+        if found <= FEWER_AT:
+            break
+    return samples, found
+
+
+def closest(items: list[np.ndarray], windows: list[np.ndarray], spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For pairs of equal item length: fewest edits between the item and any stretch of its window that begins
+    within the first ``span + 1`` words, and where the first such stretch begins."""
     n, m, w = len(items), len(items[0]), max(map(len, windows))
     item = np.stack(items)
     window = np.zeros((n, w), np.int64)
     valid = np.zeros((n, w), bool)
     for i, x in enumerate(windows):
         window[i, :len(x)], valid[i, :len(x)] = x, True
-    step = np.arange(w + 1)
-    row = np.tile(step, (n, 1))
+    one = w + 1  # a cell is its edits times this, plus the word where its stretch begins
+    step, size = np.arange(w + 1), valid.sum(axis=1)
+    begin = np.minimum(step, np.minimum(spans, size)[:, None])
+    row = begin + (step - begin) * one
     for i in range(m):
-        other = (window != item[:, i:i + 1]) | ~valid
-        now = np.concatenate((row[:, :1] + 1, np.minimum(row[:, 1:] + 1, row[:, :-1] + other)), axis=1)
-        row = np.minimum.accumulate(now - step, axis=1) + step
-    size = valid.sum(axis=1)
-    return np.where(step <= size[:, None], row, m + w).min(axis=1)
+        other = ((window != item[:, i:i + 1]) | ~valid) * one
+        now = np.concatenate((row[:, :1] + one, np.minimum(row[:, 1:] + one, row[:, :-1] + other)), axis=1)
+        row = np.minimum.accumulate(now - step * one, axis=1) + step * one
+    best = np.where(step <= size[:, None], row, (m + w) * one).min(axis=1)
+    return best // one, best % one
+
+
+def edit_distances(items: list[np.ndarray], windows: list[np.ndarray]) -> np.ndarray:
+    """Fewest edits between each item and any beginning of its window, for pairs of equal item length."""
+    return closest(items, windows, np.zeros(len(items), np.int64))[0]
 
 
-def item_keys(benchmark: DataFrame, share: float = SHARE, recall: float = RECALL,
-              id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item, cls, words, names, keys) of every item that is searched."""
+def item_words(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", min_words: int = 1) -> DataFrame:
+    """(item, cls, words): the words and length class of every item that is searched."""
     id_type = dict(benchmark.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, first = sequences(batch.column(1).to_pylist())
-            keep = np.flatnonzero(np.diff(first) >= MIN_WORDS)
-            classes = length_class(np.diff(first)[keep])
-            keys, lists, names = [], [], []
-            for i, c in zip(keep.tolist(), classes.tolist(), strict=True):
-                low, high = class_lengths(c)
-                start = np.array([first[i]])
-                keys.append([int(walk_keys(words, start, start + low, low, r)[0]) for r in
-                             range(repetitions(low, edits_allowed(high, share), recall))])
-                lists.append(words[first[i]:first[i + 1]].astype(np.int64))
-                own, heads = words[first[i]:first[i + 1]], edits_allowed(first[i + 1] - first[i], share) + 1
-                names.append(np.concatenate((class_names(triples(own), c), class_names(own[:heads], c, True))))
+            keep = np.flatnonzero(np.diff(first) >= max(1, min_words))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(keep)), pa.array(classes, pa.int64()),
-                 pa.array(lists, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
-                names=["item", "cls", "words", "names", "keys"])
+                [batch.column(0).take(pa.array(keep)), pa.array(length_class(np.diff(first)[keep]), pa.int64()),
+                 pa.array([words[first[i]:first[i + 1]].astype(np.int64) for i in keep.tolist()], pa.list_(pa.int64()))],
+                names=["item", "cls", "words"])
 
     rows = benchmark.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    return rows.mapInArrow(run, f"item {id_type}, cls long, words array<long>, names array<long>, keys array<long>")
+    return rows.mapInArrow(run, f"item {id_type}, cls long, words array<long>")
+
+
+def item_keys(items: DataFrame, plan: dict[int, tuple[int, int]], share: float = SHARE) -> DataFrame:
+    """``items`` with the ``names`` of their triples and first words, and their ``keys``;
+    ``plan`` gives the samples and repetitions of each length class."""
+    id_type = dict(items.dtypes)["item"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, keys = [], []
+            for c, words in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                own, low, start = np.array(words, np.int64).astype(np.uint64), class_lengths(c)[0], np.zeros(1, np.int64)
+                samples, repeats = plan[c]
+                keys.append([int(walk_keys(own, start, start + low, low, r, samples)[0]) for r in range(repeats)])
+                heads = own[:edits_allowed(len(own), share) + 1]
+                names.append(np.concatenate((class_names(triples(own), c), class_names(heads, c, True))))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(names, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
+                names=["item", "cls", "words", "names", "keys"])
+
+    return items.mapInArrow(run, f"item {id_type}, cls long, words array<long>, names array<long>, keys array<long>")
 
 
-def _candidates(docs: DataFrame, classes: list[int], names, keys, share: float, recall: float) -> DataFrame:
-    """(id, place, keys, window) of every window with keys that some item may have."""
+def _candidates(docs: DataFrame, plan: dict[int, tuple[int, int]], names, keys, share: float) -> DataFrame:
+    """(id, place, span, keys, window): windows with keys that some item may have.  Windows of a length class that
+    begin within its edits of each other are one row, whose stretches begin at ``place`` or up to ``span`` words later."""
     id_type = dict(docs.dtypes)["id"]
-    plan = [(c, low, high, edits_allowed(high, share), repetitions(low, edits_allowed(high, share), recall))
-            for c in classes for low, high in [class_lengths(c)]]
+    classes = [(c, low, high, edits_allowed(high, share), *plan[c]) for c in sorted(plan) for low, high in [class_lengths(c)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts_of(batches, 1):
@@ -203,75 +253,87 @@ def _candidates(docs: DataFrame, classes: list[int], names, keys, share: float,
                 words, first = sequences(group)
                 doc = np.repeat(np.arange(len(group)), np.diff(first))
                 end, place, three = first[1:][doc], np.arange(len(words)), triples(words)
-                for c, low, high, most, repeats in plan:
+                for c, low, high, most, samples, repeats in classes:
                     known = np.zeros(len(words) + 1, np.int64)
                     known[1:len(three) + 1] = in_table(names.value, class_names(three, c))
                     known = np.cumsum(known)
                     stop = np.minimum(place + low, end)
                     start = np.flatnonzero(known[np.maximum(stop - 2, place)] - known[place] >= low - 2 - 3 * most)
                     start = start[in_table(names.value, class_names(words[start], c, True))]
-                    hits = [(start[hit], key[hit]) for key in (walk_keys(words, start, stop[start], low, r) for r in range(repeats))
+                    hits = [(start[hit], key[hit]) for key in (walk_keys(words, start, stop[start], low, r, samples) for r in range(repeats))
                             for hit in [in_table(keys.value, key)] if hit.any()] if len(start) else []
                     if not hits:
                         continue
                     s, k = (np.concatenate(x) for x in zip(*hits, strict=True))
                     order = np.argsort(s, kind="stable")
                     s, k = s[order], k[order]
-                    begin = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-                    s = s[begin]
-                    size = np.minimum(s + high + most, end[s]) - s
+                    apart = (s[1:] - s[:-1] > most) | (doc[s[1:]] != doc[s[:-1]]) | (s[1:] // high != s[:-1] // high) & (s[1:] != s[:-1])
+                    begin = np.flatnonzero(np.concatenate(([True], apart)))
+                    span = s[np.append(begin[1:], len(s)) - 1] - s[begin]
+                    s, row = s[begin], np.cumsum(np.concatenate(([0], apart)))
+                    order = np.lexsort((k, row))  # each key once a row: the window travels with every one of them
+                    k, row = k[order], row[order]
+                    once = np.concatenate(([True], (k[1:] != k[:-1]) | (row[1:] != row[:-1])))
+                    k, begin = k[once], np.searchsorted(row[once], np.arange(len(s)))
+                    size = np.minimum(s + span + high + most, end[s]) - s
                     spot = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(s, size)
                     ends = np.concatenate(([0], np.cumsum(size)))
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(at + doc[s])), pa.array(s - first[doc[s]]),
+                        [batch.column(0).take(pa.array(at + doc[s])), pa.array(s - first[doc[s]]), pa.array(span),
                          pa.ListArray.from_arrays(pa.array(np.append(begin, len(k)), pa.int32()), pa.array(k)),
                          pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words[spot].astype(np.int64)))],
-                        names=["id", "place", "keys", "window"])
+                        names=["id", "place", "span", "keys", "window"])
 
-    return docs.mapInArrow(run, f"id {id_type}, place long, keys array<long>, window array<long>")
+    return docs.mapInArrow(run, f"id {id_type}, place long, span long, keys array<long>, window array<long>")
 
 
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         share: float = SHARE, recall: float = RECALL) -> DataFrame:
+         share: float = SHARE, recall: float = RECALL, min_words: int = 1) -> DataFrame:
     """(id, item, place, n_words, edits): each item that a document contains,
     at its closest (then first) place, counted in words."""
     spark = docs.sparkSession
-    items = stored(item_keys(benchmark, share, recall))
-    classes = sorted(r["cls"] for r in items.select("cls").distinct().collect())
+    words = stored(item_words(benchmark, min_words=min_words))
+    # length classes are as many as the logarithm of the longest item
+    plan = {r["cls"]: class_plan(r["cls"], share, recall) for r in words.select("cls").distinct().collect()}
+    items = stored(item_keys(words, plan, share))
     names = spark.sparkContext.broadcast(bit_table(items.select(F.explode("names").alias("k")), TRIPLE_BITS))
     keys = spark.sparkContext.broadcast(bit_table(items.select(F.explode("keys").alias("k")), KEY_BITS))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    found = _candidates(rows, classes, names, keys, share, recall)
+    found = _candidates(rows, plan, names, keys, share)
     by_key = items.select("item", "words", F.explode("keys").alias("key")).distinct()
-    met = found.select("id", "place", "window", F.explode("keys").alias("key")).join(by_key, "key").groupBy("id", "place", "item", "words").agg(F.first("window").alias("window"))
+    met = found.select("id", "place", "span", "window", F.explode("keys").alias("key")).join(by_key, "key") \
+        .select("id", "place", "span", "window", "item", "words").distinct()
 
-    @F.arrow_udf("int")
-    def distance(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for words, windows in batches:
+    @F.arrow_udf("struct<edits:int,place:long>")
+    def distance(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for words, windows, places, spans in batches:
             a, b = ([np.asarray(x, np.int64) for x in col.to_pylist()] for col in (words, windows))
+            span, begin = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (spans, places))
             out = np.zeros(len(a), np.int32)
             by_size: dict[int, list[int]] = {}
             for i, x in enumerate(a):
                 by_size.setdefault(len(x), []).append(i)
             for size, every in by_size.items():
-                step = max(1, (1 << 20) // (size + 1))
+                every.sort(key=lambda i: span[i])
+                reach = size + edits_allowed(size, share)
+                step = max(1, (1 << 20) // (size + int(span[every[-1]]) + 1))
                 for k in range(0, len(every), step):
                     some = every[k:k + step]
-                    reach = size + edits_allowed(size, share)
-                    out[some] = edit_distances([a[i] for i in some], [b[i][:reach] for i in some])
-            yield pa.array(out)
+                    out[some], start = closest([a[i] for i in some], [b[i][:span[i] + reach] for i in some], span[some])
+                    begin[some] += start
+            yield pa.StructArray.from_arrays([pa.array(out), pa.array(begin)], names=["edits", "place"])
 
-    checked = met.withColumn("edits", distance("words", "window")).withColumn("n_words", F.size("words")) \
-        .where(F.col("edits") <= F.floor(F.col("n_words") * F.lit(share) + F.lit(1e-9)))
-    return checked.groupBy("id", "item").agg(F.min(F.struct("edits", "place")).alias("best"), F.first("n_words").alias("n_words")) \
-        .select("id", "item", F.col("best.place").alias("place"), "n_words", F.col("best.edits").alias("edits"))
+    checked = met.withColumn("best", distance("words", "window", "place", "span")).withColumn("n_words", F.size("words").cast("long")) \
+        .where(F.col("best.edits") <= F.floor(F.col("n_words") * F.lit(share) + F.lit(1e-9)))
+    return checked.groupBy("id", "item").agg(F.min(F.struct("best.edits", "best.place")).alias("best"), F.first("n_words").alias("n_words")) \
+        .select("id", "item", F.col("best.place").alias("place"), F.col("n_words").cast("int").alias("n_words"), F.col("best.edits").alias("edits"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          share: float = SHARE, recall: float = RECALL) -> DataFrame:
+          share: float = SHARE, recall: float = RECALL, min_words: int = 1) -> DataFrame:
     """The rows of ``docs`` that contain no item of the benchmark.  Rows are told apart by a hash of id and text."""
     r = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
-    found = stored(find(docs.select(r.alias("r"), F.col(text_col).alias("text")), benchmark, "r", "text", share, recall)
+    found = stored(find(docs.select(r.alias("r"), F.col(text_col).alias("text")), benchmark, "r", "text", share, recall, min_words)
                    .select(F.col("id").alias("__r")).distinct())
     table = docs.sparkSession.sparkContext.broadcast(bit_table(found.select(F.col("__r").alias("k")), KEY_BITS))
     named = docs.select(F.struct("*").alias("__row"), r.alias("__r"))

@@ -171,7 +171,7 @@ def test_decontamination_finds_edited_passages(spark):
             planted.add((d, i))
         docs.append((d, " ".join(text).upper() if d % 3 else " ,".join(text), 0))
     docs += [(900, None, 0), (901, "", 0), (902, " ".join(items[0][1]), 0), (902, " ".join(items[0][1]), 0), (None, " ".join(items[1][1]), 0)]
-    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items] + [(77, None), (78, "too short"), (79, " ".join(items[0][1]))], "item_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items] + [(77, None), (78, "..."), (79, " ".join(items[0][1]))], "item_id long, text string")
     df = spark.createDataFrame(docs, "doc_id long, text string, place int")
     got = [(r.id, r.item) for r in decontam.find(df, bench).collect()]
     assert len(got) == len(set(got)) and {(902, 0), (902, 79), (None, 1)} <= set(got)
