@@ -51,6 +51,8 @@ FEWER_AT = 48
 TRIALS = 400
 #: Ratio between length classes.
 RATIO = 1.25
+#: Stands for all length classes in names: what no class has is looked up once.
+ANY = 1 << 20
 TRIPLE_BITS = 22
 KEY_BITS = 24
 _PAD = np.uint64(0x27D4EB2F165667C5)
@@ -233,7 +235,7 @@ def item_keys(items: DataFrame, plan: dict[int, tuple[int, int]], share: float =
                 samples, repeats = plan[c]
                 keys.append([int(walk_keys(own, start, start + low, low, r, samples)[0]) for r in range(repeats)])
                 heads = own[:edits_allowed(len(own), share) + 1]
-                names.append(np.concatenate((class_names(triples(own), c), class_names(heads, c, True))))
+                names.append(np.concatenate([x for k in (c, ANY) for x in (class_names(triples(own), k), class_names(heads, k, True))]))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(names, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
                 names=["item", "cls", "words", "names", "keys"])
@@ -252,15 +254,16 @@ def _candidates(docs: DataFrame, plan: dict[int, tuple[int, int]], names, keys,
             for at, group in text_groups(batch.column(1).to_pylist()):
                 words, first = sequences(group)
                 doc = np.repeat(np.arange(len(group)), np.diff(first))
-                end, place, three = first[1:][doc], np.arange(len(words)), triples(words)
+                end, three = first[1:][doc], triples(words)
+                heads = np.flatnonzero(in_table(names.value, class_names(words, ANY, True)))
+                shared = np.flatnonzero(in_table(names.value, class_names(three, ANY)))
                 for c, low, high, most, samples, repeats in classes:
-                    known = np.zeros(len(words) + 1, np.int64)
-                    known[1:len(three) + 1] = in_table(names.value, class_names(three, c))
-                    known = np.cumsum(known)
-                    stop = np.minimum(place + low, end)
-                    start = np.flatnonzero(known[np.maximum(stop - 2, place)] - known[place] >= low - 2 - 3 * most)
-                    start = start[in_table(names.value, class_names(words[start], c, True))]
-                    hits = [(start[hit], key[hit]) for key in (walk_keys(words, start, stop[start], low, r, samples) for r in range(repeats))
+                    start = heads[in_table(names.value, class_names(words[heads], c, True))]
+                    known = shared[in_table(names.value, class_names(three[shared], c))]
+                    stop = np.minimum(start + low, end[start])
+                    enough = np.searchsorted(known, np.maximum(stop - 2, start)) - np.searchsorted(known, start) >= low - 2 - 3 * most
+                    start, stop = start[enough], stop[enough]
+                    hits = [(start[hit], key[hit]) for key in (walk_keys(words, start, stop, low, r, samples) for r in range(repeats))
                             for hit in [in_table(keys.value, key)] if hit.any()] if len(start) else []
                     if not hits:
                         continue
