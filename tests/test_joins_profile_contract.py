@@ -106,3 +106,24 @@ def test_compare_keyed_counts_with_duplicate_and_null_keys(spark):
     assert (r.trusted_rows, r.live_rows, r.missing_keys, r.extra_rows, r.duplicate_live_keys) == (4, 5, 1, 1, 2)
     # key 1 (twice) and the NULL key match on both cells; key 2 has no live row
     assert (r.matched_cells, r.total_cells, r.score) == (6, 8, 0.75)
+
+
+def test_the_product_of_null_keys_is_made_by_many_tasks(spark):
+    left = spark.range(400, numPartitions=2).select(F.when(F.col("id") % 2 == 1, F.col("id")).alias("k"), F.col("id").alias("v"))
+    right = spark.range(300, numPartitions=2).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.col("id").alias("w"))
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        for how, n in (("inner", 20000 + 100), ("left", 20000 + 200), ("right", 20000 + 200), ("outer", 20000 + 300)):
+            got = joins.safe_join(left, right, "k", how)
+            assert got.count() == n
+            nulls = got.where("k is null and v is not null").groupBy(F.spark_partition_id().alias("p")).count().collect()
+            assert sum(r["count"] for r in nulls) == 20000 and max(r["count"] for r in nulls) <= 6000
+            assert got.where("k is null").groupBy("v", "w").count().where("count > 1").count() == 0
+    finally:
+        spark.conf.unset(merging)
+    none = right.where("k is not null")
+    assert joins.safe_join(left, none, "k", "left").where("k is null and w is null").count() == 200
+    mapped = left.withColumn("m", F.create_map("v", "v")).select("k", "m")
+    assert joins.safe_join(mapped, right, "k").count() == 20100
+    assert joins.safe_join(left.select("k"), right, "k").count() == 20100
