@@ -2,17 +2,18 @@
 
 ``session_window`` closes a session by a gap in time; an episode ends by what
 happens in it: with its first ``finish``, or at its step limit.  ``ledger`` keeps
-four counters per session as keyed state (``transformWithState``) and gives every
+four counters per session as keyed state (``transformWithState``; the key is a
+bucket of sessions, so a call to the state serves many of them) and gives every
 action the columns that ``actionlog.annotate`` computes from a whole table, plus
 ``ended_by`` on the one action that ends its session.
 
 Actions count in event order (time, then the other order columns).  A session's
-actions wait in its state until the watermark has passed them, so those that
+actions wait in its bucket's state until the watermark has passed them, so those that
 arrive out of order within ``delay`` are put in order; later ones are dropped, as
 Spark's watermark does.  Waiting actions are bounded by ``delay``, the counters by
 the number of sessions; with ``forget`` a session that was idle for so long starts
 anew, and its counters go when the watermark has passed that time.  The state of one session lives in one task, as all keyed
-streaming state does.
+streaming state does.  A bucket's counters are read and written together: streams of many millions of sessions take more ``buckets``.
 
 Needs the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``);
 :func:`replay` sets it for its own run.
@@ -20,9 +21,11 @@ Needs the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``)
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from itertools import islice
 
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql import types as T
@@ -33,7 +36,13 @@ from kintsugi.session import checkpoint_dir, materialize
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_COUNTERS = "step long, cum_cost double, cum_invalid long, ended boolean, last long"
+#: State travels as packs of Python values: a call for each value would cost more than what is counted.
+_PACKED = "packed binary"
+#: Actions in one pack.
+_PACK = 5000
+#: Sessions are dealt over so many buckets; each has one entry in the state.
+BUCKETS = 4096
+_BUCKET = "__bucket"
 #: The event time in microseconds, which no time zone of a worker touches.
 _AT = "__at"
 _ADDED = T.StructType([T.StructField("step", T.LongType()), T.StructField("cum_cost", T.DoubleType()),
@@ -41,69 +50,87 @@ _ADDED = T.StructType([T.StructField("step", T.LongType()), T.StructField("cum_c
                        T.StructField("ended_by", T.StringType())])
 
 
-class _Account(StatefulProcessor):
-    """Orders a session's actions behind the watermark and counts them."""
+class _Accounts(StatefulProcessor):
+    """Orders the actions of a bucket of sessions behind the watermark and counts them by session."""
 
-    def __init__(self, rows: T.StructType, order_by: list[str], max_steps: int, forget_ms: int | None):
-        self.rows, self.max_steps, self.forget_ms = rows, max_steps, forget_ms
-        self.at = rows.names.index(_AT)
+    def __init__(self, rows: T.StructType, session: str, order_by: list[str], max_steps: int, forget_ms: int | None):
+        self.max_steps, self.forget_ms = max_steps, forget_ms
+        self.session, self.at = rows.names.index(session), rows.names.index(_AT)
         self.order = [self.at, *(rows.names.index(c) for c in order_by[1:])]
         self.cost, self.invalid, self.kind = (rows.names.index(c) for c in ("cost", "invalid", "action_type"))
         self.out = Row(*rows.names, *_ADDED.names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.counters = handle.getValueState("counters", _COUNTERS)
-        self.waiting = handle.getListState("waiting", self.rows)
+        self.counters = handle.getValueState("counters", _PACKED)
+        self.waiting = handle.getListState("waiting", _PACKED)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        come = [tuple(row) for row in rows]
-        if come:
-            self.waiting.appendList(come)
-            self._wake(min(_ms(row[self.at]) for row in come), timerValues.getCurrentWatermarkInMs())
+        first = None
+        while come := [tuple(row) for row in islice(rows, _PACK)]:
+            self.waiting.appendList([(pickle.dumps(come),)])
+            least = min(row[self.at] for row in come)
+            first = least if first is None else min(first, least)
+        if first is not None:
+            self._wake(_ms(first), timerValues.getCurrentWatermarkInMs())
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
-        held = [tuple(row) for row in self.waiting.get()] if self.waiting.exists() else []
+        held = [row for pack in self.waiting.get() for row in pickle.loads(pack[0])]
         due = [row for row in held if _ms(row[self.at]) <= now]
         rest = [row for row in held if _ms(row[self.at]) > now]
-        if rest:
-            self.waiting.put(rest)
-            self._wake(min(_ms(row[self.at]) for row in rest), now)
-        elif held:
+        if due and rest:
+            self.waiting.put([(pickle.dumps(rest[i:i + _PACK]),) for i in range(0, len(rest), _PACK)])
+        elif due:
             self.waiting.clear()
-        yield from self._count(due)
-        if not rest and self.forget_ms is not None and self.counters.exists():
-            idle = self.counters.get()[4] + self.forget_ms
-            if idle <= now:
-                self.counters.clear()
-            else:
-                self._wake(idle, now)
+        packed = self.counters.get()
+        counters = pickle.loads(packed[0]) if packed else {}
+        yield from self._count(due, counters)
+        wanted = [_ms(min(row[self.at] for row in rest))] if rest else []
+        if self.forget_ms is not None:
+            idle = [k for k, c in counters.items() if c[4] + self.forget_ms <= now]
+            for k in idle:
+                del counters[k]
+            wanted += [min(c[4] for c in counters.values()) + self.forget_ms] if counters else []
+        if counters:
+            self.counters.update((pickle.dumps(counters),))
+        elif packed:
+            self.counters.clear()
+        if wanted:
+            self._wake(min(wanted), now)
 
     def _wake(self, ms: int, now: int) -> None:
-        """One timer to come per session: the earliest one wanted.  Those up to ``now`` are about to expire or just do."""
+        """One timer to come per bucket: the earliest one wanted.  Those up to ``now`` are about to expire or just do."""
         timers = [t for t in self.handle.listTimers() if t > now]
         if not timers or min(timers) > ms:
             for t in timers:
                 self.handle.deleteTimer(t)
             self.handle.registerTimer(ms)
 
-    def _count(self, due: list[tuple]) -> Iterator[Row]:
+    def _count(self, due: list[tuple], counters: dict) -> Iterator[Row]:
         new = (0, 0.0, 0, False, None)
-        step, cost, invalid, ended, last = self.counters.get() if self.counters.exists() else new
         due.sort(key=lambda row: [(row[i] is not None, row[i]) for i in self.order])
         for row in due:
+            name = _name(row[self.session])
+            step, cost, invalid, ended, last = counters.get(name, new)
             at = _ms(row[self.at])
             if self.forget_ms is not None and last is not None and at - last >= self.forget_ms:
                 step, cost, invalid, ended, _ = new
-            step, cost, invalid, last = step + 1, cost + row[self.cost], invalid + row[self.invalid], at
+            step, cost, invalid = step + 1, cost + row[self.cost], invalid + row[self.invalid]
             active = not ended and step <= self.max_steps
             why = None if not active else "finish" if row[self.kind] == "finish" else "max_steps" if step == self.max_steps else None
-            ended = ended or why is not None
+            counters[name] = (step, cost, invalid, ended or why is not None, at)
             yield self.out(*row, step, cost, invalid, active, why)
-        if due:
-            self.counters.update((step, cost, invalid, ended, last))
+
+
+def _name(session):
+    """A session's key in a dictionary: equal where Spark groups them together."""
+    try:
+        hash(session)
+    except TypeError:
+        return repr(session)
+    return session if session == session else "NaN"
 
 
 def _ms(micros: int) -> int:
@@ -112,7 +139,7 @@ def _ms(micros: int) -> int:
 
 
 def ledger(log: DataFrame, session: str = "session_id", order_by: list[str] = ("ts", "event_id"), delay: str = "1 hour",
-           max_steps: int = 20, forget: timedelta | None = None) -> DataFrame:
+           max_steps: int = 20, forget: timedelta | None = None, buckets: int = BUCKETS) -> DataFrame:
     """The streaming ``log`` with cost, invalid, step, cum_cost, cum_invalid, active and ended_by for each action.
 
     The first order column is the event time; actions without one are dropped (they have no place in the order)."""
@@ -120,12 +147,13 @@ def ledger(log: DataFrame, session: str = "session_id", order_by: list[str] = ("
     a = log.withColumn(ts, F.col(ts).cast("timestamp")).where(F.col(ts).isNotNull()) \
         .withColumn("cost", action_cost(F.col("action_type"))) \
         .withColumn("invalid", is_invalid(F.col("action_type"), F.col("valid")).cast("long")) \
-        .withColumn(_AT, F.unix_micros(ts))
+        .withColumn(_AT, F.unix_micros(ts)) \
+        .withColumn(_BUCKET, F.pmod(F.xxhash64(session), F.lit(buckets)).cast("int"))
     rows = T.StructType([T.StructField(f.name, f.dataType, True) for f in a.schema])
     out = T.StructType([*rows.fields, *_ADDED.fields])
     forget_ms = None if forget is None else int(forget.total_seconds() * 1000)
-    return a.withWatermark(ts, delay).groupBy(session).transformWithState(
-        _Account(rows, list(order_by), max_steps, forget_ms), out, outputMode="Append", timeMode="EventTime").drop(_AT)
+    return a.withWatermark(ts, delay).groupBy(_BUCKET).transformWithState(
+        _Accounts(rows, session, list(order_by), max_steps, forget_ms), out, outputMode="Append", timeMode="EventTime").drop(_AT, _BUCKET)
 
 
 def session_ends(accounts: DataFrame, session: str = "session_id") -> DataFrame:

@@ -87,3 +87,19 @@ def test_replay_of_the_log_equals_the_batch(spark, tables):
     empty = ledger.replay(log.limit(0))
     assert empty.count() == 0 and set(batch.columns) <= set(empty.columns)
     assert got.schema["ts"].dataType == log.schema["ts"].dataType
+
+
+def test_calls_to_the_state_do_not_grow_with_the_sessions(spark, store):
+    rows = [(s, s * 3 + i, START + timedelta(minutes=i), "finish" if i == 2 else "cast_type", True, "n") for s in range(300) for i in range(3)]
+    log = spark.createDataFrame(rows, SCHEMA)
+    base = tempfile.mkdtemp(prefix="kintsugi-ledger-")
+    log.union(spark.createDataFrame(CLOSE, SCHEMA)).write.parquet(f"{base}/log")
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{base}/log")
+    accounts = ledger.ledger(stream, buckets=16)
+    query = accounts.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out") \
+        .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sum(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress) < 300
+    got = spark.read.schema(accounts.schema).parquet(f"{base}/out").where("session_id >= 0")
+    batch = actionlog.annotate(log)
+    assert sorted(map(str, got.select(batch.columns).collect())) == sorted(map(str, batch.collect()))
