@@ -26,14 +26,16 @@ Extra columns stay as they are.  Lines of any length are handled whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import bit_table, code_points, in_table, mixed, parts_of, stored, text_groups
+from kintsugi.llm.common import GROUP, bit_table, code_points, in_table, mixed, parts_of, slices, stored, text_groups
 
 #: Lines shorter than this are only compared for equality.
 MIN_FUZZY = 20
@@ -46,14 +48,25 @@ _INVERSE = pow(_B, -1, 1 << 64)
 _K = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
 
+@lru_cache(maxsize=2)
+def _first_powers(base: int) -> np.ndarray:
+    out = np.full(2 * GROUP, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
 def _powers(base: int, n: int) -> np.ndarray:
+    """The powers of ``base`` up to the n-th; those that an ordinary group of texts needs are kept."""
+    known = _first_powers(base)
+    if n < len(known):
+        return known[:n + 1]
     out = np.full(n + 1, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
 class Lines:
-    """The lines of several texts with O(1) hashes of any stretch of them."""
+    """The lines of several texts with O(1) hashes of any stretch of them, which are made when first asked for."""
 
     def __init__(self, texts: list[str]):
         codes, offsets = code_points(texts)
@@ -69,17 +82,29 @@ class Lines:
         self.end = np.append(self.begin[1:] - 1, 0)
         self.end[first[1:] - 1] = offsets[1:]
         self.size = self.end - self.begin
-        self.power, inverse = _powers(_B, len(codes)), _powers(_INVERSE, len(codes))
-        self.inverse = inverse
-        value = mixed(codes.astype(np.uint64) + np.uint64(1)) * self.power[:-1]
-        self.upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)))
         letters = np.concatenate(([0], np.cumsum(~((codes == 32) | ((codes >= 9) & (codes <= 13))))))
         self.blank = letters[self.end] == letters[self.begin]
-        self.raw = self.stretch(self.begin, self.end)
         # what tells lines apart; the polynomials above only find lines that may be near each other
         self.hash = np.array([xxhash.xxh3_64_intdigest(line) for t in texts for line in t.encode("utf-8", "surrogatepass").split(b"\n")],
                              np.uint64).astype(np.int64)
 
+    @cached_property
+    def power(self) -> np.ndarray:
+        return _powers(_B, len(self.codes))
+
+    @cached_property
+    def inverse(self) -> np.ndarray:
+        return _powers(_INVERSE, len(self.codes))
+
+    @cached_property
+    def upto(self) -> np.ndarray:
+        value = mixed(self.codes.astype(np.uint64) + np.uint64(1)) * self.power[:-1]
+        return np.concatenate((np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)))
+
+    @cached_property
+    def raw(self) -> np.ndarray:
+        return self.stretch(self.begin, self.end)
+
     def stretch(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return (self.upto[b] - self.upto[a]) * self.inverse[a]
 
@@ -174,15 +199,13 @@ def _texts(texts: DataFrame, table) -> DataFrame:
     return texts.mapInArrow(run, "h long, line string").groupBy("h").agg(F.first("line").alias("line"))
 
 
-def _places(docs: DataFrame, table=None) -> DataFrame:
-    """(id, r, no, h) of every line with a word, or of those in the table."""
+def _places(docs: DataFrame) -> DataFrame:
+    """(id, r, no, h) of every line with a word."""
     id_type = dict(docs.dtypes)["id"]
 
     def run(batches):
         for first, batch, lines in _each(batches, 2):
             which = ~lines.blank
-            if table is not None:
-                which &= in_table(table.value, lines.hash)
             row = pa.array(first + lines.doc[which])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(row), batch.column(1).take(row), pa.array(lines.number[which]), pa.array(lines.hash[which])],
@@ -217,11 +240,11 @@ def dropped_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(id, r, numbers): for each document (id and hash ``r`` of id and text) the numbers of its dropped lines."""
     docs = df.select(F.col(id_col).alias("id"), _row_hash(id_col, text_col).alias("r"),
                      F.col(text_col).cast("string").alias("text")).where("text is not null")
-    firsts = stored(_places(docs).groupBy("h").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n")))
+    places = stored(_places(docs))
+    firsts = stored(places.groupBy("h").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n")))
     near = _near(docs.select("text"), firsts).withColumn("near", F.lit(True))
     acts = stored(firsts.join(near, "h", "left").where("n > 1 or near"))
-    table = df.sparkSession.sparkContext.broadcast(bit_table(acts.select(F.col("h").alias("k")), FILTER_BITS))
-    hit = _places(docs, table).join(acts, "h").where(F.col("near") | (F.col("first") < _place()))
+    hit = places.join(acts, "h").where(F.col("near") | (F.col("first") < _place()))
     return hit.groupBy("id", "r").agg(F.array_sort(F.collect_set("no")).alias("numbers"))
 
 
@@ -236,15 +259,19 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     @F.arrow_udf("struct<text:string,n:long>")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, numbers in batches:
-            kept, count = [], []
-            for t, gone in zip(texts.to_pylist(), numbers.to_pylist(), strict=True):
-                lines = [] if t is None else t.split("\n")
-                count.append(len(lines))
-                if gone:
-                    out = set(gone)
-                    t = "\n".join(x for i, x in enumerate(lines) if i not in out)
-                kept.append(t)
-            yield pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(count, pa.int64())], names=["text", "n"])
+            done, first = [], 0
+            for part in slices(texts):
+                gone = numbers.slice(first, len(part))
+                first += len(part)
+                changed = pc.fill_null(pc.greater(pc.list_value_length(gone), 0), False)
+                kept = []
+                for t, out in zip(part.filter(changed).to_pylist(), gone.filter(changed).to_pylist(), strict=True):
+                    out = set(out)
+                    kept.append("\n".join(x for i, x in enumerate(t.split("\n")) if i not in out))
+                count = pc.fill_null(pc.add(pc.count_substring(part, "\n").cast(pa.int64()), 1), 0)
+                text = pc.replace_with_mask(part, changed, pa.array(kept, part.type)) if kept else part
+                done.append(pa.StructArray.from_arrays([text, count], names=["text", "n"]))
+            yield pa.concat_arrays(done) if done else pa.array([], pa.struct([("text", texts.type), ("n", pa.int64())]))
 
     keyed = df.withColumns({"__id": F.col(id_col), "__r": _row_hash(id_col, text_col)})
     drops = drops.select(F.col("id").alias("__drop_id"), F.col("r").alias("__r"), F.col("numbers").alias("__gone"))
