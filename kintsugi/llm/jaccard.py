@@ -73,10 +73,12 @@ def shingle_sets(texts: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.n
             for w in words[first[d]:first[d + 1]]:
                 x = x * _STEP + w
             extra.append(mixed(x)[0])
-        h, doc = np.concatenate((h, np.array(extra, np.uint64))), np.concatenate((doc, short))
+        at = np.searchsorted(doc, short)
+        h, doc = np.insert(h, at, np.array(extra, np.uint64)), np.insert(doc, at, short)
     token = (h >> np.uint64(1)).astype(np.int64)
-    order = np.lexsort((token, doc))
-    token, doc = token[order], doc[order]
+    ends = np.searchsorted(doc, np.arange(len(texts) + 1)).tolist()
+    for a, b in zip(ends, ends[1:]):  # a sort for each text: short ones are sorted much faster than all together
+        token[a:b].sort()
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (doc[1:] != doc[:-1])
     token, doc = token[new], doc[new]
@@ -141,9 +143,17 @@ def _frequent_slots(texts: DataFrame, bits: int) -> np.ndarray:
 def _ranked(token: np.ndarray, offsets: np.ndarray, frequent: np.ndarray, bits: int):
     """Tokens of each set in the global order, whether each is frequent, and its place in its set."""
     late = frequent[token >> (63 - bits)]
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    order = np.lexsort((token, late, doc))
-    return token[order], late[order], np.arange(len(token)) - np.repeat(offsets[:-1], np.diff(offsets)), doc
+    size = np.diff(offsets)
+    doc = np.repeat(np.arange(len(size)), size)
+    upto = np.concatenate(([0], np.cumsum(late)))  # each set is sorted: its rare tokens go first, in the same order
+    behind = upto[:-1] - upto[offsets[:-1]][doc]
+    rare = (size - np.diff(upto[offsets]))[doc]
+    before = np.repeat(offsets[:-1], size)
+    own = np.arange(len(token)) - before
+    place = before + np.where(late, rare + behind, own - behind)
+    ranked, marks = np.empty_like(token), np.empty_like(late)
+    ranked[place], marks[place] = token, late
+    return ranked, marks, own, doc
 
 
 def _prefixes(texts: DataFrame, frequent, percent: int, bits: int) -> DataFrame:
