@@ -305,7 +305,8 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     found = _candidates(rows, plan, names, keys, share)
     by_key = items.select("item", "words", F.explode("keys").alias("key")).distinct()
     met = found.select("id", "place", "span", "window", F.explode("keys").alias("key")).join(by_key, "key") \
-        .select("id", "place", "span", "window", "item", "words").distinct()
+        .select("id", "place", "span", "window", "item", "words").distinct() \
+        .repartition("id", "item")  # distances are for other tasks, which need no worker for the windows too
 
     @F.arrow_udf("struct<edits:int,place:long>")
     def distance(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -326,7 +327,8 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
                     begin[some] += start
             yield pa.StructArray.from_arrays([pa.array(out), pa.array(begin)], names=["edits", "place"])
 
-    checked = met.withColumn("best", distance("words", "window", "place", "span")).withColumn("n_words", F.size("words").cast("long")) \
+    # non-deterministic to Spark: else a filter on its result runs it a second time, in one more worker for each task
+    checked = met.withColumn("best", distance.asNondeterministic()("words", "window", "place", "span")).withColumn("n_words", F.size("words").cast("long")) \
         .where(F.col("best.edits") <= F.floor(F.col("n_words") * F.lit(share) + F.lit(1e-9)))
     return checked.groupBy("id", "item").agg(F.min(F.struct("best.edits", "best.place")).alias("best"), F.first("n_words").alias("n_words")) \
         .select("id", "item", F.col("best.place").alias("place"), F.col("n_words").cast("int").alias("n_words"), F.col("best.edits").alias("edits"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import bit_table, code_points, connected, in_table, mixed, parts_of, slices, stored, table_filter, text_groups, text_of, word_hashes
+from kintsugi.llm.common import bit_table, code_points, connected, in_table, mixed, parts_of, slices, stored, text_groups, text_of, word_hashes
 
 WIDTH = 5
 #: Similarity, in percent of the union.
@@ -106,21 +106,25 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np
             yield token[keep], np.concatenate(([0], np.cumsum(size))), keys[fresh]
 
 
-def keyed(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with ``n_shingles`` and ``set_key`` (null for the empty set)."""
+def keyed(df: DataFrame, text_col: str = "text", table=None) -> DataFrame:
+    """``df`` with ``n_shingles`` and ``set_key`` (null for the empty set), and with a broadcast
+    :func:`bit_table` also ``in_table``, whether the key is in it (never for the empty set)."""
 
-    @F.arrow_udf("struct<n:long,k:long>")
+    @F.arrow_udf("struct<n:long,k:long,hit:boolean>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = [(np.diff(o), set_keys(t, o)) for t, o in
                      (shingle_sets(g) for part in slices(batch) for _, g in text_groups(part.to_pylist()))]
             n = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
             k = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
-            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(k, pa.int64(), mask=n == 0)],
-                                             names=["n", "k"])
+            hit = in_table(table.value, k) & (n > 0) if table is not None else np.zeros(len(k), bool)
+            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(k, pa.int64(), mask=n == 0), pa.array(hit)],
+                                             names=["n", "k", "hit"])
 
-    got = df.withColumn("__set", run(text_of(text_col)))
-    return got.withColumns({"n_shingles": F.col("__set.n"), "set_key": F.col("__set.k")}).drop("__set")
+    # non-deterministic to Spark: else a filter on its result runs it a second time, in one more worker for each task
+    got = df.withColumn("__set", run.asNondeterministic()(text_of(text_col)))
+    found = {"n_shingles": F.col("__set.n"), "set_key": F.col("__set.k")} | ({"in_table": F.col("__set.hit")} if table is not None else {})
+    return got.withColumns(found).drop("__set")
 
 
 def _frequent_slots(texts: DataFrame, bits: int) -> np.ndarray:
@@ -293,13 +297,11 @@ def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     _, classes = components(df, id_col, text_col)
     grouped = stored(classes.where("n_rows > 1 or not (least_id <=> component_id)").select("set_key", "component_id", "label"))
     table = df.sparkSession.sparkContext.broadcast(bit_table(grouped.select(F.col("set_key").alias("k")), FILTER_BITS))
-    named = keyed(df.select(F.struct("*").alias("__row"), F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")), "__text")
-    named = named.withColumn("__hit", F.when(F.col("set_key").isNull(), F.lit(False)).otherwise(
-        table_filter(table, F.coalesce("set_key", F.lit(0)))))
-    met = named.where("__hit").join(grouped, "set_key", "left")
+    named = keyed(df.select(F.struct("*").alias("__row"), F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")), "__text", table)
+    met = named.where("in_table").join(grouped, "set_key", "left")
     alone = met.where("label is null")
     best = met.where("label is not null and __id <=> component_id").dropDuplicates(["label"])
-    return named.where("not __hit").select("__row.*").union(alone.select("__row.*")).union(best.select("__row.*"))
+    return named.where("not in_table").select("__row.*").union(alone.select("__row.*")).union(best.select("__row.*"))
 
 
 def join_sql(table: str = "documents") -> str:

@@ -277,7 +277,8 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     drops = drops.select(F.col("id").alias("__drop_id"), F.col("r").alias("__r"), F.col("numbers").alias("__gone"))
     met = keyed.join(drops, (keyed["__r"] == drops["__r"]) & keyed["__id"].eqNullSafe(drops["__drop_id"]), "left") \
         .drop(drops["__r"])
-    done = met.withColumn("__cut", cut(F.col(text_col).cast("string"), F.col("__gone")))
+    # non-deterministic to Spark: else a filter on its result runs it a second time, in one more worker for each task
+    done = met.withColumn("__cut", cut.asNondeterministic()(F.col(text_col).cast("string"), F.col("__gone")))
     return done.withColumns({text_col: F.col("__cut.text"), "n_lines": F.col("__cut.n"),
                              "n_dropped": F.coalesce(F.size("__gone").cast("long"), F.lit(0))}) \
         .withColumn("n_dropped", F.greatest("n_dropped", F.lit(0).cast("long"))) \
