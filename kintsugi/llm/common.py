@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from kintsugi.session import materialize
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Code points of text handled at once inside a task; bounds numpy's memory.
 PIECE = 1 << 20
 # Code points of several texts handled together: arrays of eight bytes a code point stay small beside the heap.
@@ -139,8 +140,17 @@ def small_batches(spark: SparkSession) -> None:
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as a Parquet table in the shared checkpoint folder and read back,
-    so that later steps neither repeat its work nor depend on executors that may be lost."""
-    return materialize(df)
+    so that later steps neither repeat its work nor depend on executors that may be lost.
+
+    The write's shuffle files go when it ends.  Spark else keeps them until the driver happens to
+    collect its garbage, so that a chain of steps holds the shuffles of all of them on disk."""
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLES_GO, None)
+    conf.set(SHUFFLES_GO, "true")
+    try:
+        return materialize(df)
+    finally:
+        conf.unset(SHUFFLES_GO) if before is None else conf.set(SHUFFLES_GO, before)
 
 
 def bit_table(keys: DataFrame, bits: int) -> np.ndarray:

@@ -177,7 +177,7 @@ def _prefixes(texts: DataFrame, frequent, percent: int, bits: int) -> DataFrame:
 
 
 def _segments(texts: DataFrame, wanted, frequent, bits: int) -> DataFrame:
-    """(k, fragment, tokens) of the sets whose key is in the filter, each set in one partition."""
+    """(k, fragment, tokens) of the sets whose key is in the filter, dealt by k and fragment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for token, offsets, keys in _batches(batches):
@@ -194,16 +194,18 @@ def _segments(texts: DataFrame, wanted, frequent, bits: int) -> DataFrame:
                                              names=["k", "fragment", "tokens"])
 
     return texts.mapInArrow(run, "k long, fragment long, tokens array<long>") \
-        .repartition("k").dropDuplicates(["k", "fragment"])
+        .repartition("k", "fragment").dropDuplicates(["k", "fragment"])
 
 
 def _links(pairs: DataFrame, texts: DataFrame, frequent, bits: int, percent: int) -> DataFrame:
-    """The pairs (a, b, na, nb) whose overlap, counted per fragment and summed, is large enough."""
+    """The pairs (a, b, na, nb) whose overlap, counted per fragment and summed, is large enough.
+    Pairs are cut into fragments first: both joins then have the keys by which segments are dealt, which travel once."""
     wanted = bit_table(pairs.select(F.explode(F.array("a", "b")).alias("k")), FILTER_BITS)
     segments = _segments(texts, texts.sparkSession.sparkContext.broadcast(wanted), frequent, bits)
+    cut = pairs.withColumn("fragment", F.explode(F.expr(f"sequence(0L, {(2 << FRAGMENT_BITS) - 1}L)")))
     left = segments.select(F.col("k").alias("a"), "fragment", F.col("tokens").alias("left"))
-    right = segments.select(F.col("k").alias("b"), F.col("fragment").alias("f"), F.col("tokens").alias("right"))
-    partial = pairs.join(left, "a").join(right, "b").where("fragment = f") \
+    right = segments.select(F.col("k").alias("b"), "fragment", F.col("tokens").alias("right"))
+    partial = cut.join(left, ["a", "fragment"]).join(right, ["b", "fragment"]) \
         .select("a", "b", "na", "nb", F.size(F.array_intersect("left", "right")).alias("overlap"))
     return partial.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap")) \
         .where(F.expr(f"100 * overlap >= {percent} * (na + nb - overlap)")).select("a", "b")
@@ -218,8 +220,7 @@ def linked_classes(texts: DataFrame, percent: int = PERCENT, slot_bits: int = SL
     members = stored(buckets.where("lo <> hi").drop("lo", "hi").distinct())
     shares = members.groupBy("k", "n").agg((F.count(F.lit(1)) / F.col("n")).alias("hub"))
     members = stored(members.select("token", "k", "place").join(shares, "k"))
-    alone = shares.select(F.col("k").alias("node"), F.col("k").alias("label"))
-    stars = stored(_stars(members, alone, percent))
+    stars = stored(_stars(members, percent))
     found = stored(_links(stars, texts, frequent, slot_bits, percent))
     labels = connected(found)
     rest = stored(_open_pairs(members, labels, percent).join(stars.select("a", "b"), ["a", "b"], "left_anti"))
@@ -237,15 +238,14 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return mine.join(split.select("token"), "token")
 
 
-def _stars(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """For each set the hub of another component that heads most of its buckets: (a, b, na, nb).
+def _stars(members: DataFrame, percent: int) -> DataFrame:
+    """For each set the hub, another set, that heads most of its buckets: (a, b, na, nb).
     A bucket's hub is the set with the largest share of its shingles in shared buckets, which the
     middle of a group of near copies has."""
-    open_ = _open(members, labels)
-    best = open_.groupBy("token", "label").agg(F.max(F.struct("hub", "k", "n")).alias("h"))
-    one = best.groupBy("token").agg(F.max(F.struct("h", "label")).alias("one"))
-    two = best.join(one, "token").where("label <> one.label").groupBy("token", "one").agg(F.max("h").alias("two"))
-    met = open_.join(two, "token").withColumn("h", F.when(F.col("label") == F.col("one.label"), F.col("two")).otherwise(F.col("one.h")))
+    mine = members.select("token", F.struct("hub", "k", "n").alias("own"))
+    one = mine.groupBy("token").agg(F.max("own").alias("one"))
+    two = mine.join(one, "token").where("own.k <> one.k").groupBy("token", "one").agg(F.max("own").alias("two"))
+    met = mine.join(two, "token").select("own.k", "own.n", F.when(F.col("own.k") == F.col("one.k"), F.col("two")).otherwise(F.col("one")).alias("h"))
     counted = met.groupBy("k", "n", "h").agg(F.count(F.lit(1)).alias("n_shared")) \
         .groupBy("k", "n").agg(F.max(F.struct("n_shared", "h")).alias("best"))
     low = F.col("k") < F.col("best.h.k")
