@@ -140,15 +140,18 @@ def small_batches(spark: SparkSession) -> None:
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as a Parquet table in the shared checkpoint folder and read back,
-    so that later steps neither repeat its work nor depend on executors that may be lost.
+    so that later steps neither repeat its work nor depend on executors that may be lost."""
+    return materialize(df)
 
-    The write's shuffle files go when it ends.  Spark else keeps them until the driver happens to
-    collect its garbage, so that a chain of steps holds the shuffles of all of them on disk."""
+
+def stored_bare(df: DataFrame) -> DataFrame:
+    """As :func:`stored`, and the write's shuffle files go when it ends.  Spark else keeps them until the driver
+    happens to collect its garbage, so that a chain of steps holds the shuffles of all of them on disk."""
     conf = df.sparkSession.conf
     before = conf.get(SHUFFLES_GO, None)
     conf.set(SHUFFLES_GO, "true")
     try:
-        return materialize(df)
+        return stored(df)
     finally:
         conf.unset(SHUFFLES_GO) if before is None else conf.set(SHUFFLES_GO, before)
 

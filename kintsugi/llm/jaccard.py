@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kintsugi.llm.common import bit_table, code_points, connected, in_table, mixed, parts_of, slices, stored, text_groups, text_of, word_hashes
+from kintsugi.llm.common import bit_table, code_points, connected, in_table, mixed, parts_of, slices, stored_bare, text_groups, text_of, word_hashes
 
 WIDTH = 5
 #: Similarity, in percent of the union.
@@ -217,14 +217,14 @@ def linked_classes(texts: DataFrame, percent: int = PERCENT, slot_bits: int = SL
     frequent = spark.sparkContext.broadcast(_frequent_slots(texts, slot_bits))
     same = Window.partitionBy("token")
     buckets = _prefixes(texts, frequent, percent, slot_bits).withColumns({"lo": F.min("k").over(same), "hi": F.max("k").over(same)})
-    members = stored(buckets.where("lo <> hi").drop("lo", "hi").distinct())
+    members = stored_bare(buckets.where("lo <> hi").drop("lo", "hi").distinct())
     shares = members.groupBy("k", "n").agg((F.count(F.lit(1)) / F.col("n")).alias("hub"))
-    members = stored(members.select("token", "k", "place").join(shares, "k"))
-    stars = stored(_stars(members, percent))
-    found = stored(_links(stars, texts, frequent, slot_bits, percent))
+    members = stored_bare(members.select("token", "k", "place").join(shares, "k"))
+    stars = stored_bare(_stars(members, percent))
+    found = stored_bare(_links(stars, texts, frequent, slot_bits, percent))
     labels = connected(found)
-    rest = stored(_open_pairs(members, labels, percent).join(stars.select("a", "b"), ["a", "b"], "left_anti"))
-    more = stored(_links(rest, texts, frequent, slot_bits, percent))
+    rest = stored_bare(_open_pairs(members, labels, percent).join(stars.select("a", "b"), ["a", "b"], "left_anti"))
+    more = stored_bare(_links(rest, texts, frequent, slot_bits, percent))
     if not more.limit(1).count():
         return labels
     return connected(found.union(more))
@@ -258,7 +258,7 @@ def _stars(members: DataFrame, percent: int) -> DataFrame:
 def _open_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """All pairs (a, b, na, nb) of different components that share enough of their first shingles: sets with
     an overlap of c share ``SHARED`` of their first n - c + SHARED shingles (or all c of them)."""
-    open_ = stored(_open(members, labels))
+    open_ = stored_bare(_open(members, labels))
     one = open_.select("token", F.col("k").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("label").alias("la"))
     two = open_.select("token", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"))
     overlap = f"ceil({percent} * (na + nb) / {100 + percent}.0)"
@@ -272,7 +272,7 @@ def _open_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFram
 def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows, classes): each row's doc_id, ``n_shingles`` and ``set_key``; each set's ``set_key``, number of
     rows, smallest id, ``component_id`` (smallest id that can be reached) and ``label`` (one per component)."""
-    rows = stored(keyed(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    rows = stored_bare(keyed(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
                   .drop("text"))
     sets = rows.where("set_key is not null").groupBy("set_key") \
         .agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n_rows"))
@@ -295,7 +295,7 @@ def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The rows of ``df`` without near duplicates: of each component the row with the smallest id stays
     (one of them if several have it, or if none has an id), and every row with an empty set."""
     _, classes = components(df, id_col, text_col)
-    grouped = stored(classes.where("n_rows > 1 or not (least_id <=> component_id)").select("set_key", "component_id", "label"))
+    grouped = stored_bare(classes.where("n_rows > 1 or not (least_id <=> component_id)").select("set_key", "component_id", "label"))
     table = df.sparkSession.sparkContext.broadcast(bit_table(grouped.select(F.col("set_key").alias("k")), FILTER_BITS))
     named = keyed(df.select(F.struct("*").alias("__row"), F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")), "__text", table)
     met = named.where("in_table").join(grouped, "set_key", "left")

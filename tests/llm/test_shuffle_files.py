@@ -33,7 +33,7 @@ def test_a_stored_step_leaves_no_shuffle_files(spark):
             spark.conf.set(common.SHUFFLES_GO, setting)
         try:
             before = shuffle_files(spark)
-            kept = common.stored(frame)
+            kept = common.stored_bare(frame)
             assert not left_behind(spark, before)
             assert sorted(kept.collect()) == sorted(frame.collect())
             assert spark.conf.get(common.SHUFFLES_GO, None) == setting
